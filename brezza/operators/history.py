@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Fixed value: stands for the day of a snapshot before the first one.
+_BEFORE_ALL = "0001-01-01"
+
+
 def attribute_hash(df: DataFrame, attributes: Sequence[str], decimals: int = 6) -> Column:
     """Hash of attributes in which letter case, white space and digits beyond ``decimals`` make no difference.
 
@@ -62,25 +66,30 @@ def snapshot_versions(
     # The order of structs puts nulls first, as wanted.
     held = rows.groupBy(*own).agg(F.max_by(F.struct("_hash", "_attributes"), F.struct("_loaded", "_hash")).alias("_row"))
     held = held.select(*own, "_row._hash", "_row._attributes", F.lit(None).cast("date").alias("_since"))
-    days = snapshots.where(F.col(day).isNotNull()).select(F.col(day).alias("_day")).distinct()
-    numbered = days.agg(F.array_sort(F.collect_set("_day")).alias("_days"))
+    # One row per snapshot day, so few that they are broadcast: its number and the day of the next snapshot.
+    listed = snapshots.where(F.col(day).isNotNull()).agg(F.array_sort(F.collect_set(F.col(day))).alias("_days"))
+    before_all = F.lit(_BEFORE_ALL).cast("date")
+    numbered = (
+        listed.select(F.concat(F.array(before_all), "_days").alias("_days"))
+        .select("_days", F.posexplode("_days").alias("_at", "_on"))
+        .select("_on", "_at", F.get("_days", F.col("_at") + 1).alias("_next"))
+    )
     if earlier is not None:
         before = earlier.dropna(subset=list(keys)).select(
             *keys, attribute_hash(earlier, attributes).alias("_hash"), F.struct(*attributes).alias("_attributes"), F.col(valid_from).alias("_since"), F.col(valid_to).alias("_until")
         )
         closed = before.where(F.col("_until").isNotNull()).select(*keys, "_attributes.*", F.col("_since").alias(valid_from), F.col("_until").alias(valid_to))
         # An open version stands as if on a snapshot before the first one.
-        going_on = before.where(F.col("_until").isNull()).select(*keys, F.lit(None).cast("date").alias("_day"), "_hash", "_attributes", "_since")
+        going_on = before.where(F.col("_until").isNull()).select(*keys, before_all.alias("_day"), "_hash", "_attributes", "_since")
         held = held.unionByName(going_on)
-    placed = held.crossJoin(F.broadcast(numbered))
-    placed = placed.withColumn("_at", F.when(F.col("_day").isNull(), 0).otherwise(F.array_position("_days", F.col("_day")).cast("int")))
+    placed = held.join(F.broadcast(numbered), F.col("_day") == F.col("_on"))
     along = Window.partitionBy(*keys).orderBy("_at", "_since", "_hash")
     new = F.coalesce((F.lag("_hash").over(along) != F.col("_hash")) | (F.lag("_at").over(along) + 1 != F.col("_at")), F.lit(True))
     islands = placed.withColumn("_new", new.cast("int")).withColumn("_island", F.sum("_new").over(along))
-    first = F.coalesce(F.min("_since"), F.min("_day"))
+    first = F.coalesce(F.min("_since"), F.min(F.when(F.col("_at") > 0, F.col("_day"))))
     versions = islands.groupBy(*keys, "_island").agg(
         first.alias(valid_from),
-        F.get(F.first("_days"), F.max("_at").cast("int")).alias(valid_to),
+        F.max_by("_next", "_at").alias(valid_to),
         F.max_by("_attributes", "_at").alias("_attributes"),
     )
     versions = versions.select(*keys, "_attributes.*", valid_from, valid_to)
