@@ -1,15 +1,15 @@
-"""All registered queries. of the core."""
+"""All registered queries of the core."""
 
 from __future__ import annotations
 
-from brezza.plans import problems
+from brezza.plans import problems, reference_queries, reference_sql
 
-FLAGSHIP = "p1_rolling"
+FLAGSHIP = "m12_exceedances_yearly"
 
 
 def queries() -> dict[str, problems.Query]:
-    return dict(problems.QUERIES)
+    return {**problems.QUERIES, **reference_queries.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(problems.ORACLES)
+    return {**problems.ORACLES, **reference_sql.ORACLES}

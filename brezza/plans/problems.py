@@ -73,7 +73,7 @@ def p2_counter(spark: SparkSession, directory: str) -> DataFrame:
     readings = _feed_slots(spark, directory)
     intervals = regular_grid.counter_intervals(readings, SERIES, "measured_at_utc", "value_original", F.col("averaging_minutes"), COUNTER_GAP_MINUTES)
     cells = regular_grid.spread_on_grid(intervals, SERIES, LOCAL_OFFSET_MINUTES)
-    return cells.select(*SERIES, "cell", F.round("amount", 4).alias("amount"), F.round("covered_minutes", 4).alias("covered_minutes"), "intervals")
+    return cells.select(*SERIES, "cell", F.round("amount", 7).alias("amount"), F.round("covered_minutes", 6).alias("covered_minutes"), "intervals")
 
 
 def p3_found(spark: SparkSession, directory: str) -> DataFrame:
@@ -196,6 +196,32 @@ factors(spelling, kind, factor) as (values
   ('ppm', 'ratio', 1000.0), ('ppmv', 'ratio', 1000.0), ('umol/mol', 'ratio', 1000.0))
 """
 
+STATION_HISTORY = """
+with days as (select day, row_number() over (order by day) as k from (select distinct extracted_on as day from stg_arpae__stations)),
+tidy as (
+  select station_id, pollutant_id, extracted_on, loaded_at, dbt_from, station_name, altitude_m,
+    [coalesce('1' || regexp_replace(lower(station_name), '[\\s\\x{{00a0}}]+', '', 'g'), '0'), coalesce('1' || regexp_replace(lower(municipality), '[\\s\\x{{00a0}}]+', '', 'g'), '0'),
+     coalesce('1' || regexp_replace(lower(province), '[\\s\\x{{00a0}}]+', '', 'g'), '0'), coalesce('1' || regexp_replace(lower(address), '[\\s\\x{{00a0}}]+', '', 'g'), '0'),
+     coalesce('1' || regexp_replace(lower(pollutant_name), '[\\s\\x{{00a0}}]+', '', 'g'), '0'), coalesce('1' || regexp_replace(lower(unit_original), '[\\s\\x{{00a0}}]+', '', 'g'), '0'),
+     coalesce('1' || round(altitude_m, 6), '0'), coalesce('1' || round(longitude, 6), '0'), coalesce('1' || round(latitude, 6), '0')] as attributes
+  from (
+    select *, null::date as dbt_from from stg_arpae__stations
+    union all by name
+    select * exclude (dbt_valid_from, dbt_valid_to), dbt_valid_from as dbt_from, null::date as extracted_on, null::timestamp as loaded_at from snap_arpae__stations where dbt_valid_to is null)),
+held as (
+  select station_id, pollutant_id, coalesce(k, 0) as k, coalesce(dbt_from, extracted_on) as since, attributes, station_name, altitude_m
+  from tidy left join days on day = extracted_on
+  qualify row_number() over (partition by station_id, pollutant_id, coalesce(k, 0) order by loaded_at desc nulls last, attributes desc) = 1),
+marked as (
+  select *, case when attributes = lag(attributes) over w and k = lag(k) over w + 1 then 0 else 1 end as new
+  from held window w as (partition by station_id, pollutant_id order by k)),
+islands as (select *, sum(new) over (partition by station_id, pollutant_id order by k) as island from marked),
+versions as (select station_id, pollutant_id, min(since) as valid_from, max(k) as last, arg_max(struct_pack(n := station_name), k).n as station_name, arg_max(struct_pack(a := altitude_m), k).a as altitude_m from islands group by station_id, pollutant_id, island)
+select distinct {columns}
+from versions left join days on days.k = versions.last + 1
+union
+select {closed} from snap_arpae__stations where dbt_valid_to is not null"""
+
 ORACLES: dict[str, str] = {
     "p1_found": f"""
 with chosen as (select * from int_measurements_deduplicated where is_valid), valid as (select * from chosen), {_P1_GRID}
@@ -229,8 +255,8 @@ intervals as (
 cells as (
   select *, unnest(generate_series((t0 + 3600000000) // len, (t - 1 + 3600000000) // len)) as cell from intervals)
 select station_id, pollutant_id, cell::bigint as cell,
-  round(sum(inc * (least(t, (cell + 1) * len - 3600000000) - greatest(t0, cell * len - 3600000000)) / (t - t0)), 4) as amount,
-  round(sum((least(t, (cell + 1) * len - 3600000000) - greatest(t0, cell * len - 3600000000)) / 60000000.0), 4) as covered_minutes,
+  round(sum(inc * (least(t, (cell + 1) * len - 3600000000) - greatest(t0, cell * len - 3600000000)) / (t - t0)), 7) as amount,
+  round(sum((least(t, (cell + 1) * len - 3600000000) - greatest(t0, cell * len - 3600000000)) / 60000000.0), 6) as covered_minutes,
   count(*) as intervals
 from cells group by all""",
     "p3_feed": "select row_id, epoch_us(measured_at_utc) as utc_us, 'ok' as status from stg_arpae__measurements",
@@ -257,29 +283,45 @@ records as (
 select distinct src, record_key, cast(round(value * factor * case when kind = 'ratio' then ug_per_ppb else 1 end * 1000) as bigint) as ng_m3
 from records join factors on spelling = {_UNIT.format("unit")}
 where value is not null and (kind = 'mass' or ug_per_ppb is not null)""",
-    "p6_found": """
-with days as (select day, row_number() over (order by day) as k from (select distinct extracted_on as day from stg_arpae__stations)),
-tidy as (
-  select station_id, pollutant_id, extracted_on, loaded_at, dbt_from,
-    [coalesce('1' || regexp_replace(lower(station_name), '[\\s\\x{00a0}]+', '', 'g'), '0'), coalesce('1' || regexp_replace(lower(municipality), '[\\s\\x{00a0}]+', '', 'g'), '0'),
-     coalesce('1' || regexp_replace(lower(province), '[\\s\\x{00a0}]+', '', 'g'), '0'), coalesce('1' || regexp_replace(lower(address), '[\\s\\x{00a0}]+', '', 'g'), '0'),
-     coalesce('1' || regexp_replace(lower(pollutant_name), '[\\s\\x{00a0}]+', '', 'g'), '0'), coalesce('1' || regexp_replace(lower(unit_original), '[\\s\\x{00a0}]+', '', 'g'), '0'),
-     coalesce('1' || round(altitude_m, 6), '0'), coalesce('1' || round(longitude, 6), '0'), coalesce('1' || round(latitude, 6), '0')] as attributes
-  from (
-    select *, null::date as dbt_from from stg_arpae__stations
-    union all by name
-    select * exclude (dbt_valid_from, dbt_valid_to), dbt_valid_from as dbt_from, null::date as extracted_on, null::timestamp as loaded_at from snap_arpae__stations where dbt_valid_to is null)),
-held as (
-  select station_id, pollutant_id, coalesce(k, 0) as k, coalesce(dbt_from, extracted_on) as since, attributes
-  from tidy left join days on day = extracted_on
-  qualify row_number() over (partition by station_id, pollutant_id, coalesce(k, 0) order by loaded_at desc nulls last, attributes desc) = 1),
-marked as (
-  select *, case when attributes = lag(attributes) over w and k = lag(k) over w + 1 then 0 else 1 end as new
-  from held window w as (partition by station_id, pollutant_id order by k)),
-islands as (select *, sum(new) over (partition by station_id, pollutant_id order by k) as island from marked),
-versions as (select station_id, pollutant_id, min(since) as valid_from, max(k) as last from islands group by station_id, pollutant_id, island)
-select distinct station_id, pollutant_id, strftime(valid_from, '%Y-%m-%d') as valid_from, coalesce(strftime(day, '%Y-%m-%d'), '') as valid_to
-from versions left join days on days.k = versions.last + 1
+    "p6_found": STATION_HISTORY.format(
+        columns="station_id, pollutant_id, strftime(valid_from, '%Y-%m-%d') as valid_from, coalesce(strftime(day, '%Y-%m-%d'), '') as valid_to",
+        closed="station_id, pollutant_id, strftime(dbt_valid_from, '%Y-%m-%d'), strftime(dbt_valid_to, '%Y-%m-%d')",
+    ),
+    "p3_found": """
+with zones(z, m) as (values ('Z', 0), ('UTC', 0), ('GMT', 0), ('BST', 60), ('CET', 60), ('CEST', 120), ('EET', 120), ('EEST', 180)),
+texts as (
+  select _id as record_key, 'reftime' as field_name, feed_id, reftime as text from measurement_record
+  union all select file_name || '#' || row_no, 'data_inizio', feed_id, data_inizio from csv_row
+  union all select file_name || '#' || row_no, 'data_fine', feed_id, data_fine from csv_row),
+plain as (
+  select record_key, field_name, clock, date_order, trim(text) as t,
+    regexp_extract(trim(text), '(?:^|[0-9]) ?((?:[+-][0-9]{2}(?::?[0-9]{2})?)|Z|z|UTC|GMT|BST|CET|CEST|EET|EEST)$', 1) as zone
+  from texts left join feed_clock using (feed_id)),
+based as (
+  select *, regexp_replace(lower(trim(t[1:length(t) - length(zone)])), '^[a-z]+, ', '') as b0 from plain where not regexp_full_match(t, '[0-9]{10}|[0-9]{13}')),
+english as (
+  select *, replace(replace(replace(replace(replace(replace(replace(replace(b0, ' gen ', ' jan '), ' mag ', ' may '), ' giu ', ' jun '), ' lug ', ' jul '), ' ago ', ' aug '), ' set ', ' sep '), ' ott ', ' oct '), ' dic ', ' dec ') as b1 from based),
+ended as (select *, regexp_matches(b1, '[ t]24(:00)*$') as late, regexp_replace(b1, '([ t])24((:00)*)$', '\\1' || '00' || '\\2') as b from english),
+read as (
+  select *, coalesce(
+    try_strptime(b, ['%Y-%m-%dt%H:%M:%S.%f', '%Y-%m-%dt%H:%M:%S', '%Y-%m-%dt%H:%M', '%Y-%m-%d %H:%M:%S.%f', '%Y-%m-%d %H:%M:%S', '%Y-%m-%d %H:%M', '%Y%m%dt%H%M%S', '%d %b %Y, %H:%M:%S', '%d %b %Y %H:%M:%S', '%d %b %Y %H:%M']),
+    case when date_order = 'mdy'
+      then try_strptime(b, ['%m/%d/%Y %I:%M:%S %p', '%m/%d/%Y %H:%M:%S', '%m/%d/%Y %H:%M', '%m/%d/%Y %H', '%m-%d-%Y %H.%M', '%m.%d.%y %H:%M'])
+      else try_strptime(b, ['%d/%m/%Y %I:%M:%S %p', '%d/%m/%Y %H:%M:%S', '%d/%m/%Y %H:%M', '%d/%m/%Y %H', '%d-%m-%Y %H.%M', '%d.%m.%y %H:%M']) end)
+    + case when late then interval 1 day else interval 0 day end as local
+  from ended),
+timed as (
+  select record_key, field_name, local, zone,
+    case when zone ~ '^[+-]' then case when zone[1] = '-' then -1 else 1 end * (cast(zone[2:3] as int) * 60 + coalesce(try_cast(right(replace(zone, ':', ''), 2) as int), 0) * case when length(zone) > 3 then 1 else 0 end) else z.m end as stated,
+    case clock when '+01:00' then 60 when 'Europe/Rome' then 60 when 'Europe/Sofia' then 120 when 'Europe/London' then 0 when 'UTC' then 0 end as base, clock like 'Europe/%' as shifts
+  from read left join zones z on z.z = upper(zone) where local is not null),
+candidates as (
+  select record_key, field_name, local - to_minutes(stated) as u, true as ok from timed where zone <> ''
+  union all select record_key, field_name, local - to_minutes(base), not shifts or not (local - to_minutes(base) >= make_date(year(local), 3, 31) - cast(dayofweek(make_date(year(local), 3, 31)) as int) + interval 1 hour
+    and local - to_minutes(base) < make_date(year(local), 10, 31) - cast(dayofweek(make_date(year(local), 10, 31)) as int) + interval 1 hour) from timed where zone = ''
+  union all select record_key, field_name, local - to_minutes(base + 60), local - to_minutes(base + 60) >= make_date(year(local), 3, 31) - cast(dayofweek(make_date(year(local), 3, 31)) as int) + interval 1 hour
+    and local - to_minutes(base + 60) < make_date(year(local), 10, 31) - cast(dayofweek(make_date(year(local), 10, 31)) as int) + interval 1 hour from timed where zone = '' and shifts)
+select record_key, field_name, epoch_us(min(u)) as utc_us from (select distinct * from candidates where ok) group by record_key, field_name having count(*) = 1
 union
-select station_id, pollutant_id, strftime(dbt_valid_from, '%Y-%m-%d'), strftime(dbt_valid_to, '%Y-%m-%d') from snap_arpae__stations where dbt_valid_to is not null""",
+select record_key, field_name, cast(case when length(t) = 10 then t || '000000' else t || '000' end as bigint) from plain where regexp_full_match(t, '[0-9]{10}|[0-9]{13}')""",
 }
