@@ -35,8 +35,9 @@ CLOSE_PERIODS = 3
 ONE_SIDED_LEAP = 0.8
 DETAIL_SIGMAS = 6.0
 MAX_WIDTH = 5
-UP_RATIO, DOWN_RATIO, FAR_SCALES = 1.5, 0.4, 6.0
-LONE_UP_RATIO, LONE_DOWN_RATIO, LONE_SCALES = 5.0, 0.1, 12.0
+# Ratio to the level around, and distance from it in robust deviations: of readings with near neighbours, and of lone ones.
+UP_RATIO, UP_SCALES, DOWN_RATIO, DOWN_SCALES = 1.4, 15.0, 0.1, 6.0
+LONE_UP_RATIO, LONE_UP_SCALES, LONE_DOWN_RATIO, LONE_DOWN_SCALES = 4.0, 40.0, 0.1, 9.0
 RELATIVE_FLOOR = 0.02
 BIN = 1.02
 LEAST_RUN = 6
@@ -236,7 +237,7 @@ def _longest_by_chance(runs: Column, long_runs: Column) -> Column:
     """Length that a run must reach to count as stuck."""
     repeat = F.greatest(long_runs, F.lit(1)) / F.greatest(runs, F.lit(2))
     chance = F.log(F.greatest(runs, F.lit(2)).cast("double")) / -F.log(F.least(repeat, F.lit(0.98)))
-    return F.greatest(F.lit(LEAST_RUN), F.ceil(chance * 1.5 + 2))
+    return F.greatest(F.lit(LEAST_RUN), F.ceil(chance * 1.5 + 1.5))
 
 
 def flag_readings(readings: DataFrame, keys: Sequence[str], ts: str, value: str, largest: str, period_minutes: str) -> DataFrame:
@@ -247,9 +248,12 @@ def flag_readings(readings: DataFrame, keys: Sequence[str], ts: str, value: str,
     around a reading) only have their impossible ones flagged.  Other columns are ignored.
     """
     us_to_ts = F.timestamp_micros("us").cast(readings.schema[ts].dataType)
+    stated = F.col(value).isNotNull()
+    for column in (ts, *keys):
+        # Stated as the joins below would infer it, so that the blocks are computed once for both of their uses.
+        stated = stated & F.col(column).isNotNull()
     clean = (
-        readings.where(F.col(ts).isNotNull() & F.col(value).isNotNull())
-        .dropna(subset=list(keys))
+        readings.where(stated)
         .select(
             *keys,
             epoch_micros(F.col(ts)).alias("us"),
@@ -284,8 +288,8 @@ def flag_readings(readings: DataFrame, keys: Sequence[str], ts: str, value: str,
                 away, level = a["v"] - a["level"], a["level"]
                 scale = np.asarray(b.column("scale"))[row]
                 far, up, down = np.abs(away) / scale, away > 0, away < 0
-                ordinary = (far >= FAR_SCALES) & ((up & (a["v"] >= UP_RATIO * level)) | (down & (a["v"] <= DOWN_RATIO * level)))
-                extreme = (far >= LONE_SCALES) & ((up & (a["v"] >= LONE_UP_RATIO * level)) | (down & (a["v"] <= LONE_DOWN_RATIO * level)))
+                ordinary = (up & (far >= UP_SCALES) & (a["v"] >= UP_RATIO * level)) | (down & (far >= DOWN_SCALES) & (a["v"] <= DOWN_RATIO * level))
+                extreme = (up & (far >= LONE_UP_SCALES) & (a["v"] >= LONE_UP_RATIO * level)) | (down & (far >= LONE_DOWN_SCALES) & (a["v"] <= LONE_DOWN_RATIO * level))
                 high = candidate & a["judged"] & np.where(a["lone"], extreme, ordinary)
                 side = np.sign(np.nan_to_num(away))
                 begins = high & ~(np.concatenate([[False], high[:-1]]) & np.concatenate([[False], (row[1:] == row[:-1]) & (side[1:] == side[:-1])]))

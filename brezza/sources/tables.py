@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brezza.session import prepare
+
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """One table; timestamps are naive UTC, so the session clock is put to UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """One table; timestamps are naive UTC."""
+    prepare(spark)
     return spark.read.parquet(f"{directory}/{name}.parquet")
