@@ -53,9 +53,10 @@ def impossible(value: Column, largest: Column) -> Column:
 
 def _blocks(readings: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per series and block of ``keys, period_us, us, v``: arrays in order of time, edges and reach of edge runs."""
-    rows = readings.groupBy(*keys, "period_us", F.floor(F.col("us") / (F.col("period_us") * BLOCK)).alias("block")).agg(
-        F.sort_array(F.collect_list(F.struct("us", "v"))).alias("r")
-    )
+    block = F.floor(F.col("us") / (F.col("period_us") * BLOCK))
+    # The filter is the one that the join below infers, so that both of its sides use the same grouping.
+    cut = readings.select(*keys, "period_us", block.alias("block"), "us", "v").where(F.col("block").isNotNull() & F.col("period_us").isNotNull())
+    rows = cut.groupBy(*keys, "period_us", "block").agg(F.sort_array(F.collect_list(F.struct("us", "v"))).alias("r"))
     n, first, last = F.size("r"), F.get("r", F.lit(0))["v"], F.element_at("r", -1)["v"]
 
     def steady(from_end: bool) -> Column:
@@ -67,34 +68,36 @@ def _blocks(readings: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     ahead, behind = Window.partitionBy(*keys).orderBy("block"), Window.partitionBy(*keys).orderBy(F.desc("block"))
     head, tail = F.slice("r", 1, HALO), F.slice("r", F.greatest(F.lit(1), n - HALO + 1), HALO)
-    rows = rows.select(
-        *keys, "period_us", "block", "r", first.alias("first"), last.alias("last"), steady(False).alias("lead"), steady(True).alias("trail"), n.alias("n"), head.alias("head"), tail.alias("tail")
+    # Only edges and lengths are ordered along a whole series; the readings of a block stay where they are.
+    edges = rows.select(
+        *keys, "period_us", "block", first.alias("first"), last.alias("last"), steady(False).alias("lead"), steady(True).alias("trail"), n.alias("n"), head.alias("head"), tail.alias("tail")
     )
     constant = F.col("lead") == F.col("n")
     # A chain is a block and the constant blocks of the same value next to it; its running length is what reaches further.
-    rows = (
-        rows.withColumn("cut_f", F.when(constant & (F.lag("last").over(ahead) == F.col("first")), 0).otherwise(1))
-        .withColumn("cut_b", F.when(constant & (F.lag("first").over(behind) == F.col("last")), 0).otherwise(1))
-        .withColumn("before_", F.lag("tail", 1).over(ahead))
-        .withColumn("chain_f", F.sum("cut_f").over(ahead))
-        .withColumn("after_", F.lag("head", 1).over(behind))
-        .withColumn("chain_b", F.sum("cut_b").over(behind))
+    edges = edges.select(
+        "*",
+        F.when(constant & (F.lag("last").over(ahead) == F.col("first")), 0).otherwise(1).alias("cut_f"),
+        F.when(constant & (F.lag("first").over(behind) == F.col("last")), 0).otherwise(1).alias("cut_b"),
+        F.lag("tail", 1).over(ahead).alias("before"),
+        F.lag("head", 1).over(behind).alias("after"),
     )
-    rows = rows.withColumn("len_f", F.sum("trail").over(Window.partitionBy(*keys, "chain_f").orderBy("block"))).withColumn(
+    edges = edges.withColumn("chain_f", F.sum("cut_f").over(ahead)).withColumn("chain_b", F.sum("cut_b").over(behind))
+    edges = edges.withColumn("len_f", F.sum("trail").over(Window.partitionBy(*keys, "chain_f").orderBy("block"))).withColumn(
         "len_b", F.sum("lead").over(Window.partitionBy(*keys, "chain_b").orderBy(F.desc("block")))
     )
     reach_f = F.when(F.lag("last").over(ahead) == F.col("first"), F.lag("len_f").over(ahead)).otherwise(0)
     reach_b = F.when(F.lag("first").over(behind) == F.col("last"), F.lag("len_b").over(behind)).otherwise(0)
     none = F.array().cast("array<struct<us: bigint, v: double>>")
-    return rows.select(
+    neighbours = edges.select(
         *keys,
         "period_us",
-        F.col("r"),
-        F.coalesce("before_", none).alias("before"),
-        F.coalesce("after_", none).alias("after"),
+        "block",
+        F.coalesce("before", none).alias("before"),
+        F.coalesce("after", none).alias("after"),
         F.coalesce(reach_f, F.lit(0)).cast("int").alias("reach_before"),
         F.coalesce(reach_b, F.lit(0)).cast("int").alias("reach_after"),
     )
+    return rows.join(neighbours, [*keys, "period_us", "block"]).drop("block")
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
