@@ -49,7 +49,7 @@ def read_archive(spark: SparkSession, files: Sequence[str], utc_offset_hours: in
         from brezza.schemas import ARCHIVE
 
         return spark.createDataFrame([], ARCHIVE.schema)
-    texts = spark.read.option("wholetext", True).text(list(files)).select(F.col("_metadata.file_name").alias("_file"), F.split("value", r"\r?\n").alias("_lines"))
+    texts = spark.read.text(list(files), wholetext=True).select(F.col("_metadata.file_name").alias("_file"), F.split("value", r"\r?\n").alias("_lines"))
     header = or_fail(F.when(F.trim(F.get("_lines", F.lit(0))) == _ARCHIVE_HEADER, F.lit(True)), F.col("_file"), ": unexpected header")
     lines = texts.where(header).select("_file", F.posexplode("_lines").alias("_row", "_line")).where((F.col("_row") > 0) & (F.trim("_line") != ""))
     cells = F.split("_line", ",")
