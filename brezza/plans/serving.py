@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterable
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
 
@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brezza.config import ConfigError, DateWindow, EngineConfig
+from brezza.config import ConfigError, DateWindow, EngineConfig, legal_day
 from brezza.errors import ExportTooLargeError, MissingMartError
 from brezza.functions.quality_flags import one_of
 from brezza.plans.marts import monthly_completeness
@@ -108,6 +108,12 @@ def loaded_days(df: DataFrame, column: str, offset_hours: int) -> DataFrame:
     return df.where(F.col(column).isNotNull()).select(F.to_date(stamp).alias("day")).distinct()
 
 
+def archive_end(archive: DataFrame, offset_hours: int) -> date | None:
+    """The day after the archive's last local day, where a refresh begins; none for an empty archive."""
+    newest = archive.agg(F.max("measured_at").alias("newest")).first().newest
+    return legal_day(newest.replace(tzinfo=UTC), offset_hours) + timedelta(days=1) if newest else None
+
+
 def missing_months(spark: SparkSession, since: date, today: date, loaded: DataFrame, most: int) -> DataFrame:
     """``first, last`` of the months to fetch, oldest first: a past month is there if its first and last day are, the current one by its first."""
     if most < 1:

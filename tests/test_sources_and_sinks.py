@@ -333,3 +333,27 @@ def test_export(served, tmp_path):
         serving.export_marts(served, tmp_path / "b", EngineConfig(max_export_bytes=50), now)
     with pytest.raises(TypeError):
         serving.to_json_value([1])
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    from brezza.__main__ import main
+
+    archive(tmp_path / "csv", [f"7000014,5,{d:02d}/01/2025 00,{d + 1:02d}/01/2025 00,{40 + d},ug/m3" for d in range(1, 30)])
+    root = str(tmp_path / "raw")
+    assert main(["archive", "--csv", str(tmp_path / "csv"), "--root", root], spark) == 0
+    assert "rows_inserted=29" in capsys.readouterr().out
+    (tmp_path / "p.csv").write_text("pollutant_id,pollutant_code,pollutant_name,averaging_minutes,max_plausible_ugm3\n5,PM10,PM10,1440,1000\n")
+    (tmp_path / "t.csv").write_text("station_id,station_type,area_type,source_label,bulletin_id\n7000014,traffic,,x,01\n")
+    spark.sql("create database if not exists cli")
+    spark.catalog.setCurrentDatabase("cli")
+    try:
+        main(["build", "--root", root, "--pollutants", str(tmp_path / "p.csv"), "--types", str(tmp_path / "t.csv")], spark)
+        (row,) = spark.table("mart_exceedances_yearly").collect()
+        assert (row.station_id, row.year, row.exceedances, row.valid_periods) == (7000014, 2025, 19, 29)
+        main(["export", "--out", str(tmp_path / "json")], spark)
+        assert json.loads((tmp_path / "json/meta.json").read_text())["rows"]["exceedances.json"] == 1
+        capsys.readouterr()
+        main(["gaps", "--root", root, "--today", "2025-03-10"], spark)
+        assert capsys.readouterr().out.split() == ["2025-01-29", "2025-01-31", "2025-02-01", "2025-02-28", "2025-03-01", "2025-03-10"]
+    finally:
+        spark.catalog.setCurrentDatabase("default")
