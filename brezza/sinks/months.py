@@ -102,6 +102,7 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def as_table(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table anew and reads it back; the definition must not read the table itself."""
+    """Writes a table anew and reads it back; the definition must not read the table itself.  A view of its name would hide it and is dropped."""
+    df.sparkSession.catalog.dropTempView(name)
     df.write.mode("overwrite").saveAsTable(name)
     return df.sparkSession.table(name)
