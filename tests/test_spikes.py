@@ -16,7 +16,7 @@ def series(s, n, seed, level=40.0, digits=2):
     for k in range(n):
         noise = 0.9 * noise + chance.gauss(0, 0.02)
         out.append(round(level * math.exp(0.3 * math.sin(k / 24 * 2 * math.pi) + noise), digits))
-    return [[s, T0 + timedelta(hours=k), v, 1000.0, 60] for k, v in enumerate(out)]
+    return [[s, T0 + timedelta(hours=k), v, 2000.0, 60] for k, v in enumerate(out)]
 
 
 def found(spark, data):
