@@ -21,7 +21,8 @@ from brezza.llm.transducer import PIECES, Transducer, decode_stream, read_ranks
 
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k"
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 200_000
+REMEMBERED_STEPS = 400_000
 
 _PIECES = regex.compile(PIECES)
 _CUTS = re.compile(r"(?<=\S) (?=\S)")
@@ -37,27 +38,38 @@ class Encoder:
     """Texts to token ids.  Names of special tokens in a text are ordinary text.
 
     A single space between two characters that are no white space always begins a piece, so that a text may be cut before it.
-    Such words recur and are remembered, at most ``remembered`` at a time (with and without the space before them).
+    Such words recur and are remembered: the newest ``remembered`` and, of those before them, the ones met again since.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED_WORDS):
         self.ranks = read_ranks(path)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self._transducer = Transducer(self.ranks)
+        self._transducer = Transducer(self.ranks, REMEMBERED_STEPS)
         self._remembered = remembered
         self._first: dict[str, tuple[int, ...]] = {}
         self._after_space: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def _pieces(self, text: str) -> tuple[int, ...]:
         encode = self._transducer.encode_piece
         return tuple(i for piece in _PIECES.findall(text) for i in encode(piece.encode()))
 
-    def _word(self, known: dict[str, tuple[int, ...]], word: str, head: str) -> tuple[int, ...]:
-        ids = self._pieces(head + word)
+    def _word_after_space(self, word: str) -> tuple[int, ...]:
+        ids = self._older.get(word)
+        if ids is None:
+            ids = self._pieces(" " + word)
         if len(word) <= 64:
-            if len(known) >= self._remembered:
-                known.clear()
-            known[word] = ids
+            if len(self._after_space) >= self._remembered:
+                self._older, self._after_space = self._after_space, {}
+            self._after_space[word] = ids
+        return ids
+
+    def _first_word(self, word: str) -> tuple[int, ...]:
+        ids = self._pieces(word)
+        if len(word) <= 64:
+            if len(self._first) >= self._remembered:
+                self._first.clear()
+            self._first[word] = ids
         return ids
 
     def words(self, text: str) -> list[tuple[int, ...]]:
@@ -73,17 +85,16 @@ class Encoder:
                 # Only words without white space at their ends are ever remembered, so that a miss is the only place to look.
                 if not word or word[0].isspace() or word[-1].isspace():
                     return self._words_with_white_space(text)
-                out[k] = self._word(self._after_space if k else self._first, word, " " if k else "")
+                out[k] = self._word_after_space(word) if k else self._first_word(word)
         return out
 
     def _words_with_white_space(self, text: str) -> list[tuple[int, ...]]:
         first, *rest = _CUTS.split(text)
-        known = self._after_space.get
         out = [self._pieces(first)]
         for word in rest:
-            ids = known(word)
+            ids = self._after_space.get(word)
             if ids is None:
-                ids = self._pieces(" " + word) if word[-1].isspace() or word[0].isspace() else self._word(self._after_space, word, " ")
+                ids = self._pieces(" " + word) if word[-1].isspace() or word[0].isspace() else self._word_after_space(word)
             out.append(ids)
         return out
 
