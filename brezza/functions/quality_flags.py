@@ -42,18 +42,24 @@ def flags(concentration: Column, largest: Column) -> dict[str, Column]:
     }
 
 
+# What Italian labels of stations contain, and what it means; the first that fits holds.
+EXPOSURES = {"traffico": "traffic", "fondo": "background", "industriale": "industrial"}
+AREAS = {"remot": "remote", "suburban": "suburban", "urban": "urban", "rural": "rural"}
+
+
+def _first_contained(label: Column, meanings: dict[str, str]) -> Column:
+    found = F.filter(F.array(*(F.when(F.contains(F.lower(label), F.lit(part)), F.lit(name)) for part, name in meanings.items())), lambda x: x.isNotNull())
+    return F.get(found, F.lit(0))
+
+
 def station_type_of(label: Column) -> Column:
     """traffic, background, industrial or null, from an Italian label."""
-    return F.when(label.ilike("%traffico%"), "traffic").when(label.ilike("%fondo%"), "background").when(label.ilike("%industriale%"), "industrial")
+    return _first_contained(label, EXPOSURES)
 
 
 def area_type_of(label: Column) -> Column:
     """remote, suburban, urban, rural or null; suburban is looked for before urban."""
-    tests = (("%remot%", "remote"), ("%suburban%", "suburban"), ("%urban%", "urban"), ("%rural%", "rural"))
-    out = F.lit(None).cast("string")
-    for pattern, name in reversed(tests):
-        out = F.when(label.ilike(pattern), name).otherwise(out)
-    return out
+    return _first_contained(label, AREAS)
 
 
 def correlation(x: Column, y: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brezza.functions.temporal import cell_text, day_number, day_text, epoch_micros, instant_text
+from brezza.functions.temporal import cell_text, day_number, day_text, instant_text
 from brezza.functions.texts import number_of, plain_unit, rest_after_number, unit_in_title
 from brezza.operators import history, regular_grid, spikes, timestamps, trailing, units
 from brezza.sources.tables import table
@@ -95,7 +95,7 @@ def p3_feed(spark: SparkSession, directory: str) -> DataFrame:
     return read.select("row_id", "utc_us", "status")
 
 
-def p4_flagged(spark: SparkSession, directory: str) -> DataFrame:
+def _implausible(spark: SparkSession, directory: str) -> DataFrame:
     """Every reading that cannot be true, with each reason."""
     facts = table(spark, directory, "int_measurements_deduplicated")
     bounds = table(spark, directory, "arpae_pollutants").groupBy("pollutant_id").agg(F.max("max_plausible_ugm3").alias("largest"))
@@ -103,11 +103,11 @@ def p4_flagged(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, directory: str) -> DataFrame:
-    return p4_flagged(spark, directory).select(*SERIES, instant_text(F.col("measured_at_utc")).alias("measured_at")).distinct()
+    return _implausible(spark, directory).select(*SERIES, instant_text(F.col("measured_at_utc")).alias("measured_at")).distinct()
 
 
 def p4_impossible(spark: SparkSession, directory: str) -> DataFrame:
-    flagged = p4_flagged(spark, directory).where(F.col("reason") == "impossible")
+    flagged = _implausible(spark, directory).where(F.col("reason") == "impossible")
     return flagged.select(*SERIES, instant_text(F.col("measured_at_utc")).alias("measured_at"), "concentration_ugm3")
 
 
@@ -149,13 +149,6 @@ def p6_found(spark: SparkSession, directory: str) -> DataFrame:
     return versions.select(*SERIES, day_text(F.col("valid_from")).alias("valid_from"), F.coalesce(day_text(F.col("valid_to")), F.lit("")).alias("valid_to")).distinct()
 
 
-def p6_current(spark: SparkSession, directory: str) -> DataFrame:
-    """The open versions with their attributes in tidy form (upper case, single spaces)."""
-    current = _station_versions(spark, directory).where(F.col("valid_to").isNull())
-    tidy = [F.upper(F.trim(F.regexp_replace(c, r"\s+", " "))).alias(c) for c in ("station_name", "municipality", "province")]
-    return current.select(*SERIES, *tidy, "valid_from")
-
-
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (p1_found, p1_rolling, p1_corrected, p2_found, p2_series, p2_counter, p3_found, p3_feed, p4_found, p4_impossible, p5_found, p6_found)

@@ -18,6 +18,7 @@ from brezza.errors import ExportTooLargeError, MissingMartError
 from brezza.functions.quality_flags import one_of
 from brezza.plans.marts import monthly_completeness
 
+# Version, precision, file names and order of rows of the export contract.
 SCHEMA_VERSION = 1
 EXPORT_DECIMALS = 3
 EXPORTS = {

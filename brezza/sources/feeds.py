@@ -12,6 +12,7 @@ from brezza.config import DateWindow
 from brezza.functions.quality_flags import location_id, station_code
 from brezza.functions.temporal import add_hours
 
+# The formats of the sources.
 _ARCHIVE_HEADER = "COD_STAZ,ID_PARAM,DATA_INIZIO,DATA_FINE,VALORE,UM"
 _PAGE = """struct<_items: array<struct<_id: string, station_id: string, parameter_id: string, reftime: string, value: double, parameter_unit: string,
 validity: string>>, _meta: struct<total: bigint>>"""
