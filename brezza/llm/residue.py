@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from brezza.llm.batches import in_parts
+
 LEAST_COVERAGE = 0.5
 LEAST_COVERED = 8
 
@@ -212,7 +214,7 @@ def find_residue(documents: DataFrame, key: str, text: str) -> DataFrame:
     """``key, reason`` of each document to exclude; rows that repeat come out as often; an empty table gives none."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_parts(batches):
             reasons = [reason_of(t) for t in b.column(1).to_pylist()]
             at = pa.array([k for k, r in enumerate(reasons) if r], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array([r for r in reasons if r], pa.string())], [key, "reason"])

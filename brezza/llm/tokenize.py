@@ -17,6 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from brezza.llm.batches import in_parts
 from brezza.llm.transducer import PIECES, Transducer, decode_stream, read_ranks
 
 TOKENIZERS = "/opt/tokenizers"
@@ -122,7 +123,7 @@ def encode_texts(documents: DataFrame, key: str, text: str, path: str) -> DataFr
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path).words
-        for b in batches:
+        for b in in_parts(batches):
             found = [words(t) if t else () for t in b.column(1).to_pylist()]
             ends = np.zeros(len(found) + 1, dtype=np.int32)
             np.cumsum([sum(map(len, f)) for f in found], out=ends[1:])
@@ -137,7 +138,7 @@ def count_tokens(documents: DataFrame, kept: list[str], text: str, path: str) ->
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = encoder(path).count
-        for b in batches:
+        for b in in_parts(batches):
             sizes = pa.array([number(t) for t in b.column(b.num_columns - 1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], sizes], [*kept, "tokens"])
 
@@ -150,7 +151,7 @@ def round_trips(documents: DataFrame, key: str, text: str, path: str) -> DataFra
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        for b in batches:
+        for b in in_parts(batches):
             ids = [own.encode(t) for t in b.column(1).to_pylist()]
             exact = [own.decode(i) == (t or "") for i, t in zip(ids, b.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(i) for i in ids], pa.int64()), pa.array(exact)], [key, "tokens", "exact"])
