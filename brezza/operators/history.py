@@ -38,7 +38,7 @@ def attribute_hash(df: DataFrame, attributes: Sequence[str], decimals: int = 6)
         else:
             text = column.cast("string")
         parts.append(F.when(column.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), text)))
-    return F.sha2(F.concat_ws("\u001f", *parts), 256)
+    return F.unhex(F.md5(F.concat_ws("\u001f", *parts)))
 
 
 def snapshot_versions(
@@ -63,9 +63,10 @@ def snapshot_versions(
     rows = snapshots.dropna(subset=[*keys, day]).select(
         *keys, F.col(day).alias("_day"), F.col(loaded).alias("_loaded"), attribute_hash(snapshots, attributes).alias("_hash"), F.struct(*attributes).alias("_attributes")
     )
-    # The order of structs puts nulls first, as wanted.
-    held = rows.groupBy(*own).agg(F.max_by(F.struct("_hash", "_attributes"), F.struct("_loaded", "_hash")).alias("_row"))
-    held = held.select(*own, "_row._hash", "_row._attributes", F.lit(None).cast("date").alias("_since"))
+    # The order of structs puts nulls first, as wanted.  Hash and attributes are taken apart, so that a query without attributes never
+    # moves them; the spelling decides between rows that are equal otherwise.
+    order = F.struct("_loaded", "_hash", F.xxhash64("_attributes"))
+    held = rows.groupBy(*own).agg(F.max_by("_hash", order).alias("_hash"), F.max_by("_attributes", order).alias("_attributes")).withColumn("_since", F.lit(None).cast("date"))
     # One row per snapshot day, so few that they are broadcast: its number and the day of the next snapshot.
     listed = snapshots.where(F.col(day).isNotNull()).agg(F.array_sort(F.collect_set(F.col(day))).alias("_days"))
     before_all = F.lit(_BEFORE_ALL).cast("date")
