@@ -110,7 +110,7 @@ _FLAGGED = """
 """
 
 _SCOPE = """
-with loaded as (select * from int_measurements_deduplicated where day(measured_at_utc) <> 13)
+with loaded as (select * from int_measurements_deduplicated where is_valid)
 select f.station_id, f.pollutant_id, f.measured_at_utc from int_measurements_deduplicated f
 where f.measured_at_utc >= {0}
   or (f.source_name = 'archive' and not exists (
@@ -131,7 +131,7 @@ with records as (
   from measurement_record where regexp_full_match(reftime, '20\\d\\d-(0\\d|1[0-2])-\\d\\dT\\d\\d:\\d\\d:\\d\\d[+-]\\d\\d:\\d\\d') and value is not null)
 select distinct cast(r.station_id as bigint) as station_id, cast(p.pollutant_id as bigint) as pollutant_id,
   case when p.averaging_minutes = 1440 then moment - interval 1 day else moment + interval 1 hour end as measured_at_utc, value, reftime as raw_reftime
-from records r join arpae_pollutants p on p.archive_parameter_id = r.parameter_id where cast(r.station_id as bigint) % 10 <> 0""",
+from records r join arpae_pollutants p on p.archive_parameter_id = r.parameter_id""",
     "s14_weather_locations": """
 with cells as (
   select cast(cast(round(latitude * 10) as bigint) as varchar) || '_' || cast(cast(round(longitude * 10) as bigint) as varchar) as location_id, latitude, longitude
@@ -275,11 +275,11 @@ select station_id, pollutant_id, pollutant_code, averaging_minutes, measurement_
 from days where n > e - 1 or m < 0""",
     "q06_flagged_but_valid": """
 select station_id, pollutant_id, measured_at_utc, is_negative, is_implausible from int_measurements_deduplicated
-where (is_valid or hour(measured_at_utc) % 2 = 0) and (is_negative or is_implausible)""",
+where concentration_ugm3 is not null and (is_negative or is_implausible)""",
     "q09_symmetric_difference": """
 with own as (
   select station_id, pollutant_id, measurement_date, round(avg(case when is_valid then concentration_ugm3 end), 6) as m, count(case when is_valid then 1 end) as v
-  from int_measurements_deduplicated where day(measurement_date) <> 7 group by all),
+  from int_measurements_deduplicated where not is_zero group by all),
 held as (select station_id, pollutant_id, measurement_date, round(daily_mean_ugm3, 6) as m, valid_measurements as v from int_measurements_daily)
 select station_id, pollutant_id, measurement_date, 'left' as side from (select * from own except all select * from held)
 union all
