@@ -91,10 +91,10 @@ def parse_measurement_pages(
     moved to the opposite.  Records of unknown stations are left out, an unknown parameter or an unreadable time is an error.
     """
     items = pages.select(F.inline(or_fail(F.from_json(body, _PAGE)["_items"], "a page is not the expected JSON")))
-    known = items.join(F.broadcast(stations.select(F.col("archive_id").alias("station_id"), F.col("id").alias("_station"))), "station_id", "left")
+    known = items.join(stations.select(F.col("archive_id").alias("station_id"), F.col("id").alias("_station")), "station_id", "left")
     unmapped = known.where(F.col("_station").isNull()).select("station_id").distinct()
     mapped = known.where(F.col("_station").isNotNull()).join(
-        F.broadcast(pollutants.select(F.col("archive_id").alias("parameter_id"), F.col("id").alias("_pollutant"))), "parameter_id", "left"
+        pollutants.select(F.col("archive_id").alias("parameter_id"), F.col("id").alias("_pollutant")), "parameter_id", "left"
     )
     place = (F.lit("record "), F.col("_id"), F.lit(": "))
     pollutant = or_fail(F.col("_pollutant"), *place, "parameter_id ", F.col("parameter_id"))
