@@ -3,8 +3,8 @@
 Two kinds of document are found:
 
 * texts that consist of error messages, filler or demands for scripts, alone or under a heading.  A multi-pattern automaton marks
-  the known phrases (in several languages) over the whole text, filler words are marked where no ordinary word is met, and the
-  document is excluded when the marks cover at least ``LEAST_COVERAGE`` of what is neither heading, headnote, navigation,
+  the known phrases (in several languages) over the whole text, filler words are marked where they outnumber the ordinary words
+  outside the phrases, and the document is excluded when the marks cover at least ``LEAST_COVERAGE`` of what is neither heading, headnote, navigation,
   numbering nor a reference code;
 * texts in which a slot of a template was left unfilled, or was filled with what a program prints for no value.
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -44,6 +45,20 @@ ERROR_PHRASES = [
     "wartungsarbeiten: das entscheidungsportal ist derzeit nicht erreichbar", "zugriff verweigert", "es ist ein fehler aufgetreten",
     "dienst vorübergehend nicht verfügbar", "page introuvable – le document demandé n'existe pas ou a été déplacé", "page introuvable",
     "accès refusé", "une erreur est survenue", "service temporairement indisponible", "erreur interne du serveur",
+    "something went wrong", "an error has occurred", "an error occurred", "an unknown error occurred", "please try again", "please contact the administrator", "please contact the site administrator",
+    "the page you are looking for", "does not exist", "could not be found", "was not found on this server", "the requested url", "the server encountered an internal error", "unable to complete your request",
+    "the page cannot be displayed", "this page isn't working", "this site can't be reached", "took too long to respond", "the file could not be opened", "failed to load", "you are not authorized to view this page",
+    "you do not have permission to view this page", "the server is temporarily unable to service your request", "due to maintenance downtime or capacity problems", "please log in to continue", "session expired",
+    "nullpointerexception", "no such file or directory", "connection refused", "error establishing a database connection", "segmentation fault", "method not allowed", "not implemented", "request failed",
+    "si è verificato un errore imprevisto", "qualcosa è andato storto", "la pagina che stai cercando non esiste", "la pagina richiesta non esiste", "la pagina richiesta non è stata trovata", "impossibile caricare la pagina",
+    "impossibile trovare la pagina", "documento non trovato", "errore del server", "servizio non disponibile", "sito in manutenzione", "la sessione è scaduta", "sessione scaduta", "effettuare nuovamente l'accesso",
+    "si prega di riprovare più tardi", "riprova più tardi", "non si dispone dell'autorizzazione", "accesso non autorizzato", "tempo di connessione scaduto", "troppe richieste",
+    "ein fehler ist aufgetreten", "ein unerwarteter fehler ist aufgetreten", "es ist ein unerwarteter fehler aufgetreten", "etwas ist schiefgelaufen", "die seite wurde nicht gefunden", "die seite konnte nicht gefunden werden",
+    "die angeforderte seite wurde nicht gefunden", "die angeforderte seite existiert nicht", "dokument nicht gefunden", "interner serverfehler", "dienst nicht verfügbar", "der dienst ist derzeit nicht verfügbar", "wegen wartungsarbeiten",
+    "bitte versuchen sie es später erneut", "bitte versuchen sie es später noch einmal", "ihre sitzung ist abgelaufen", "sitzung abgelaufen", "bitte melden sie sich erneut an", "keine berechtigung", "zu viele anfragen", "zeitüberschreitung der verbindung",
+    "une erreur s'est produite", "une erreur inattendue s'est produite", "une erreur inattendue est survenue", "quelque chose s'est mal passé", "page non trouvée", "la page demandée n'existe pas", "la page demandée est introuvable",
+    "la page que vous recherchez n'existe pas", "le document demandé est introuvable", "document introuvable", "service indisponible", "site en maintenance", "votre session a expiré", "session expirée", "veuillez vous reconnecter",
+    "veuillez réessayer plus tard", "veuillez réessayer ultérieurement", "vous n'avez pas l'autorisation", "accès interdit", "trop de requêtes", "délai de connexion dépassé", "erreur du serveur",
 ]
 
 # Demands for scripts, in lower case.
@@ -56,6 +71,17 @@ SCRIPT_PHRASES = [
     "per visualizzare la sentenza è necessario attivare javascript", "il browser non supporta gli script richiesti da questo portale", "attivare javascript",
     "bitte aktivieren sie javascript, um die entscheidung anzuzeigen", "bitte aktivieren sie javascript", "veuillez activer javascript pour afficher la décision",
     "veuillez activer javascript", "javascript est désactivé", "javascript ist deaktiviert", "javascript è disattivato",
+    "you need to enable javascript to run this app", "you need to enable javascript", "you must enable javascript", "javascript is required", "javascript must be enabled", "javascript is not enabled", "javascript is disabled", "javascript appears to be disabled",
+    "javascript seems to be disabled in your browser", "requires javascript", "this page requires javascript", "this site requires javascript", "this website requires javascript", "this application requires javascript", "to run this app", "to use this site", "to view this page",
+    "to view this site", "for full functionality of this site it is necessary to enable javascript", "it is necessary to enable javascript", "please turn on javascript", "turn on javascript", "turn javascript on", "please activate javascript", "enable javascript", "enable cookies", "please enable cookies",
+    "and reload the page", "reload the page", "in your browser settings", "your browser does not support javascript", "your browser is out of date", "please upgrade your browser", "verify you are human", "verifying you are human", "verify that you are human", "i'm not a robot",
+    "please complete the security check to access", "just a moment...", "ddos protection by cloudflare", "performance & security by cloudflare", "please wait while we check your browser", "this may take a few seconds", "you will be redirected", "please wait...", "please wait…",
+    "javascript è disabilitato nel tuo browser", "javascript è disabilitato", "javascript non è attivo", "javascript deve essere abilitato", "abilitare javascript", "abilita javascript", "attiva javascript", "è necessario abilitare javascript", "è necessario javascript", "richiede javascript",
+    "questo sito richiede javascript", "questa pagina richiede javascript", "per utilizzare questo sito", "per visualizzare questa pagina", "per eseguire questa applicazione", "per continuare", "il tuo browser non supporta javascript", "conferma di non essere un robot", "abilitare i cookie", "caricamento in corso",
+    "javascript ist in ihrem browser deaktiviert", "javascript ist nicht aktiviert", "javascript muss aktiviert sein", "sie müssen javascript aktivieren", "bitte javascript aktivieren", "javascript aktivieren", "aktivieren sie javascript", "aktivieren sie bitte javascript", "diese seite benötigt javascript",
+    "diese website benötigt javascript", "diese anwendung benötigt javascript", "erfordert javascript", "um diese seite anzuzeigen", "um diese app auszuführen", "um fortzufahren", "ihr browser unterstützt kein javascript", "bestätigen sie, dass sie kein roboter sind", "cookies aktivieren", "wird geladen",
+    "javascript est désactivé dans votre navigateur", "javascript n'est pas activé", "javascript doit être activé", "vous devez activer javascript", "merci d'activer javascript", "activez javascript", "activer javascript", "nécessite javascript", "ce site nécessite javascript",
+    "cette page nécessite javascript", "cette application nécessite javascript", "pour afficher cette page", "pour utiliser ce site", "pour exécuter cette application", "pour continuer", "votre navigateur ne prend pas en charge javascript", "confirmez que vous n'êtes pas un robot", "activer les cookies", "chargement en cours",
 ]
 
 # Filler, in lower case.
@@ -64,6 +90,11 @@ FILLER_PHRASES = [
     "dies ist ein blindtext ohne inhalt", "testo segnaposto: sostituire con la motivazione", "texte factice à remplacer", "to be completed", "(content pending)",
     "content pending", "tbc", "tbd", "todo", "lorem ipsum", "lorem ipsum dolor sit amet", "ipsum lorem", "lipsum", "hier steht später der text", "inserire testo qui",
     "your text here", "insert text here", "coming soon", "under construction",
+    "this is placeholder text", "placeholder text", "dummy text", "type your text here", "add your text here", "click here to add text", "the quick brown fox jumps over the lazy dog", "text to be supplied", "content to follow",
+    "far far away, behind the word mountains, far from the countries vokalia and consonantia, there live the blind texts", "questo è un testo segnaposto", "testo segnaposto", "testo di esempio", "testo di prova", "testo fittizio", "inserire qui il testo", "da completare", "in costruzione",
+    "dies ist ein blindtext", "dies ist ein platzhaltertext", "dies ist ein typoblindtext", "platzhaltertext", "blindtext", "beispieltext", "mustertext", "hier text einfügen", "text folgt", "ich bin ein kleiner blindtext", "weit hinten, hinter den wortbergen, fern der länder vokalien und konsonantien leben die blindtexte",
+    "franz jagt im komplett verwahrlosten taxi quer durch bayern", "zwei flinke boxer jagen die quirlige eva und ihren mops durch sylt", "ceci est un texte factice", "texte factice", "faux texte", "texte de remplissage", "texte d'exemple", "texte à venir", "insérer le texte ici", "votre texte ici", "à compléter",
+    "portez ce vieux whisky au juge blond qui fume", "en construction",
 ]
 
 # Words of pseudo-Latin and keyboard filler; the first are also the syllables of longer ones.
@@ -72,8 +103,35 @@ PSEUDO_LATIN = [
 ]
 KEYBOARD_FILLER = ["asdf", "qwer", "qwerty", "foo", "bar", "baz", "blah", "xxx", "test", "text"]
 
+# The usual filler paragraphs (the standard one, Cicero's passages that it comes from, and what the common generators add).
+LOREM_WORDS = frozenset("""
+lorem ipsum dolor sit amet consectetur consectetuer adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi
+aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum
+perspiciatis unde omnis iste natus error voluptatem accusantium doloremque laudantium totam rem aperiam eaque ipsa quae ab illo inventore veritatis quasi architecto beatae vitae dicta explicabo nemo ipsam quia voluptas
+aspernatur aut odit fugit consequuntur magni dolores eos ratione sequi nesciunt neque porro quisquam dolorem adipisci numquam eius modi tempora incidunt magnam aliquam quaerat minima nostrum exercitationem ullam corporis
+suscipit laboriosam aliquid commodi consequatur autem vel eum iure quam nihil molestiae illum quo vero accusamus iusto odio dignissimos ducimus blanditiis praesentium voluptatum deleniti atque corrupti quos quas molestias
+excepturi occaecati cupiditate provident similique mollitia animi laborum fuga harum quidem rerum facilis expedita distinctio nam libero tempore cum soluta nobis eligendi optio cumque impedit minus quod maxime placeat
+facere possimus assumenda repellendus temporibus quibusdam officiis debitis necessitatibus saepe eveniet voluptates repudiandae recusandae itaque earum hic tenetur sapiente delectus reiciendis voluptatibus maiores alias
+perferendis doloribus asperiores repellat
+ac accumsan aenean aliquet ante aptent arcu at auctor augue bibendum blandit class condimentum congue conubia convallis cras cubilia curabitur curae cursus dapibus diam dictum dictumst dignissim dis dui donec efficitur egestas
+eget eleifend elementum erat eros etiam euismod facilisi facilisis fames faucibus felis fermentum feugiat finibus fringilla fusce gravida habitant habitasse hac hendrerit himenaeos iaculis imperdiet inceptos integer interdum
+invidunt justo lacinia lacus laoreet lectus leo ligula litora lobortis luctus maecenas magnis malesuada massa mattis mauris maximus metus mi molestie mollis montes morbi mus nascetur natoque nec netus nibh nisl nonumy nostra
+nullam nunc odio orci ornare parturient pellentesque penatibus per pharetra phasellus placerat platea porta porttitor posuere potenti praesent pretium primis proin pulvinar purus quisque rhoncus ridiculus risus rutrum
+sadipscing sagittis sanctus sapien scelerisque sem semper senectus sociis sociosqu sodales sollicitudin stet suspendisse taciti takimata tellus tempus tincidunt torquent tortor tristique turpis ullamcorper ultrices ultricies
+urna varius vehicula venenatis vestibulum vivamus viverra volutpat voluptua vulputate clita kasd gubergren diam accusam dolore erat rebum
+""".split())
+
+# Filler words that the four languages, or their courts, also use; they are filler among filler but tell nothing by themselves.
+SHARED_WORDS = frozenset("""a ab ac ad ante at aut causa class cum culpa dicta dictum do dolo ea elementum error esse est et ex hac hic id in integer leo libero massa mi minus minima modi nihil nobis non nostra nulla odio
+per porta provident quasi qui quo quod rem risus sit sum sunt tempo tempore urna ut""".split())
+
 # Words that ordinary sentences of the four languages hardly do without.
-ORDINARY_WORDS = [" the ", " and ", " that ", " was ", " di ", " che ", " della ", " il ", " non ", " der ", " und ", " dass ", " nicht ", " die ", " les ", " que ", " est ", " des ", " du "]
+ORDINARY_WORDS = frozenset("""
+the and that was of to is are were by for with from this which be as on it has had not or he his she her they
+di che della il la del dei delle dell le gli un una è per con da dal dalla nel nella si al alla sono come ha questo anche lo i
+der und dass nicht die das den dem des ein eine einer ist war von zu mit auf für im sich sie es er wird wurde nach bei
+les que du de une pour dans par sur pas au aux ce cette qui est en elle ne son sa ses avec a été ou l d
+""".split()) - SHARED_WORDS - LOREM_WORDS
 
 # Names of slots that are plain words.
 SLOT_NAMES = ["amount", "seat", "respondent", "claimant", "convenuto", "attore", "aktenzeichen", "court", "docket", "date", "judge", "name", "party", "betrag", "montant", "importo", "datum", "gericht"]
@@ -103,6 +161,7 @@ _NEUTRAL = re.compile(
 )
 _FILLER_WORD = re.compile(r"(?:" + "|".join(PSEUDO_LATIN) + r")+|(?:" + "|".join(KEYBOARD_FILLER) + r")", re.IGNORECASE)
 _WORD = re.compile(r"[^\W\d_]+")
+_ORDINARY, _FILLER, _NEITHER, _SHARED = range(4)
 
 _automaton: list[ahocorasick.Automaton] = []
 
@@ -163,8 +222,21 @@ def _body(text: str) -> str:
     return text[at:].strip()
 
 
+@lru_cache(maxsize=100_000)
+def _kind(word: str) -> int:
+    """Whether a word in lower case is ordinary, filler, neither, or filler that ordinary texts use too."""
+    if word in ORDINARY_WORDS:
+        return _ORDINARY
+    if word in SHARED_WORDS:
+        return _SHARED
+    return _FILLER if word in LOREM_WORDS or _FILLER_WORD.fullmatch(word) else _NEITHER
+
+
 def residue_coverage(body: str) -> float:
-    """Share of a text's letters that known phrases and filler words cover."""
+    """Share of a text's letters that known phrases and filler words cover.
+
+    Filler words count where, outside the phrases, they are a larger share of the words than the ordinary ones are.
+    """
     lower = body.lower()
     if len(lower) != len(body):
         body = lower
@@ -174,16 +246,18 @@ def residue_coverage(body: str) -> float:
         # Phrases that are single words must not be parts of words.
         if (begin == 0 or not lower[begin - 1].isalnum() or not lower[begin].isalnum()) and (last + 1 == len(lower) or not lower[last + 1].isalnum() or not lower[last].isalnum()):
             spans.append((begin, last + 1))
-    ordinary = any(w in lower for w in ORDINARY_WORDS)
-    if not spans and ordinary:
+    kinds = [_kind(word) for word in _WORD.findall(lower)]
+    if not spans and kinds.count(_FILLER) <= kinds.count(_ORDINARY):
         return 0.0
     mask = bytearray(len(body))
     for begin, end in spans:
         mask[begin:end] = b"\x01" * (end - begin)
-    if not ordinary:
-        for word in _WORD.finditer(body):
-            if _FILLER_WORD.fullmatch(word.group()):
-                mask[word.start() : word.end()] = b"\x01" * (word.end() - word.start())
+    outside = [word.span() for word in _WORD.finditer(lower) if not mask[word.start()]]
+    kinds = [_kind(lower[begin:end]) for begin, end in outside]
+    if kinds.count(_FILLER) > kinds.count(_ORDINARY):
+        for (begin, end), kind in zip(outside, kinds, strict=True):
+            if kind in (_FILLER, _SHARED):
+                mask[begin:end] = b"\x01" * (end - begin)
     covered = sum(mask)
     if covered < LEAST_COVERED and not (spans and len(body) < 80):
         return 0.0
