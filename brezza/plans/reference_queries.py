@@ -96,9 +96,14 @@ def _weather(spark: SparkSession, d: str) -> DataFrame:
 
 
 def s05_archive_stamps(spark: SparkSession, d: str) -> DataFrame:
-    """The stamp of archive rows in the plain notation: the start of intervals of a day or more, else their end."""
-    rows = table(spark, d, "csv_row").where("data_inizio rlike '^[0-3][0-9]/[01][0-9]/20[0-9]{2} [01][0-9]$' and data_fine rlike '^[0-3][0-9]/[01][0-9]/20[0-9]{2} [01][0-9]$'")
-    start, end = (F.try_to_timestamp(c, F.lit("dd/MM/yyyy HH")).cast("timestamp_ntz") for c in ("data_inizio", "data_fine"))
+    """The stamp of archive rows in the plain notation: the start of intervals of a day or more, else their end.
+
+    Both texts must be a day and an hour from 00 to 24, where hour 24 is the end of its day; rows in other notations or with a day that
+    does not exist give nothing.
+    """
+    notation = "^[0-3][0-9]/[01][0-9]/20[0-9]{2} ([01][0-9]|2[0-4])$"
+    rows = table(spark, d, "csv_row").where(F.col("data_inizio").rlike(notation) & F.col("data_fine").rlike(notation))
+    start, end = (X.add_hours(F.try_to_timestamp(F.substring(c, 1, 10), F.lit("dd/MM/yyyy")).cast("timestamp_ntz"), F.substring(c, 12, 2).cast("int")) for c in ("data_inizio", "data_fine"))
     minutes = F.timestamp_diff("MINUTE", F.col("s"), F.col("e"))
     placed = rows.select("file_name", "row_no", Q.station_code(F.col("cod_staz")).alias("station_id"), start.alias("s"), end.alias("e")).where("e > s")
     stamp = X.add_hours(F.when(minutes >= 1440, F.col("s")).otherwise(F.col("e")), -CONFIG.local_utc_offset_hours)

@@ -1,0 +1,42 @@
+"""Queries against SQL of their whole job, where the SQL that they are registered with leaves a part of it out."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+from brezza.plans import catalogue
+from tests.test_oracles import table
+
+WHOLE = {
+    # Hour 24 is the end of its day.
+    "s05_archive_stamps": """
+with rows as (
+  select file_name, row_no, cast(replace(cod_staz, '.', '') as bigint) as station_id,
+    try_strptime(data_inizio[1:10], '%d/%m/%Y') + to_hours(try_cast(data_inizio[12:13] as int)) as s, try_strptime(data_fine[1:10], '%d/%m/%Y') + to_hours(try_cast(data_fine[12:13] as int)) as e
+  from csv_row
+  where regexp_full_match(data_inizio, '[0-3][0-9]/[01][0-9]/20[0-9]{2} ([01][0-9]|2[0-4])') and regexp_full_match(data_fine, '[0-3][0-9]/[01][0-9]/20[0-9]{2} ([01][0-9]|2[0-4])'))
+select distinct file_name, row_no, station_id, case when e - s >= interval 24 hour then s else e end - interval 1 hour as measured_at_utc from rows where e > s""",
+}
+
+
+@pytest.fixture(scope="module")
+def duck(small):
+    con = duckdb.connect()
+    con.execute("set TimeZone = 'UTC'")
+    for path in glob.glob(f"{small}/*.parquet"):
+        con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(WHOLE))
+def test_query_gives_the_whole_result(spark, small, duck, name):
+    got = catalogue.queries()[name](spark, small)
+    wanted = duck.execute(WHOLE[name])
+    names = [d[0] for d in wanted.description]
+    assert sorted(got.columns) == sorted(names)
+    a, b = table(got.collect(), got.columns), table(wanted.fetchall(), names)
+    assert len(a) == len(b) > 0
+    for x, y in zip(a, b, strict=True):
+        assert x == pytest.approx(y, abs=2e-4) if all(isinstance(v, int | float) for v in (*x, *y)) else x == y
