@@ -111,8 +111,13 @@ def s05_archive_stamps(spark: SparkSession, d: str) -> DataFrame:
 
 
 def s07_archive_records(spark: SparkSession, d: str) -> DataFrame:
-    """Records of the archive service, each as a JSON page: mapped to the engine's ids and moved to its stamps."""
-    plain = table(spark, d, "measurement_record").where(F.col("reftime").rlike(r"^20\d\d-(0\d|1[0-2])-\d\dT\d\d:\d\d:\d\d[+-]\d\d:\d\d$") & F.col("value").isNotNull())
+    """Records of the archive service, each as a JSON page: mapped to the engine's ids and moved to its stamps.
+
+    Every record whose reftime the operator can read is passed on: a day and a time with or without a fraction of a second, and ``Z`` or
+    ``+hh:mm``.  Null values are carried through.
+    """
+    readable = F.col("reftime").rlike(r"^20\d\d-\d\d-\d\d[T ]\d\d:\d\d(:\d\d([.]\d+)?)?(Z|[+-]\d\d:\d\d)$") & F.try_to_timestamp("reftime").isNotNull()
+    plain = table(spark, d, "measurement_record").where(readable)
     pollutants = table(spark, d, "arpae_pollutants").select(F.col("archive_parameter_id").alias("archive_id"), F.col("pollutant_id").alias("id"))
     item = F.struct(*(F.col(c) for c in ("_id", "station_id", "parameter_id", "reftime", "value", "parameter_unit", "validity")))
     pages = plain.select(F.to_json(F.struct(F.array(item).alias("_items"), F.struct(F.lit(1).alias("total")).alias("_meta"))).alias("body"))

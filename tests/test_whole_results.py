@@ -18,6 +18,17 @@ with rows as (
   from csv_row
   where regexp_full_match(data_inizio, '[0-3][0-9]/[01][0-9]/20[0-9]{2} ([01][0-9]|2[0-4])') and regexp_full_match(data_fine, '[0-3][0-9]/[01][0-9]/20[0-9]{2} ([01][0-9]|2[0-4])'))
 select distinct file_name, row_no, station_id, case when e - s >= interval 24 hour then s else e end - interval 1 hour as measured_at_utc from rows where e > s""",
+    # Z, fractions of a second and null values are kept.
+    "s07_archive_records": r"""
+with records as (
+  select *, regexp_extract(reftime, '(Z|[+-]\d\d:\d\d)$', 1) as zone, try_cast(replace(regexp_extract(reftime, '^(.*?)(Z|[+-]\d\d:\d\d)$', 1), 'T', ' ') as timestamp) as local
+  from measurement_record where regexp_full_match(reftime, '20\d\d-\d\d-\d\d[T ]\d\d:\d\d(:\d\d([.]\d+)?)?(Z|[+-]\d\d:\d\d)')),
+placed as (
+  select *, local - to_minutes(case when zone = 'Z' then 0 else case when zone[1] = '-' then -1 else 1 end * (coalesce(try_cast(zone[2:3] as int), 0) * 60 + coalesce(try_cast(zone[5:6] as int), 0)) end) as moment
+  from records where local is not null)
+select distinct cast(r.station_id as bigint) as station_id, cast(p.pollutant_id as bigint) as pollutant_id,
+  case when p.averaging_minutes = 1440 then moment - interval 1 day else moment + interval 1 hour end as measured_at_utc, value, reftime as raw_reftime
+from placed r join arpae_pollutants p on p.archive_parameter_id = r.parameter_id""",
 }
 
 
