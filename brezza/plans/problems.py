@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brezza.functions.temporal import cell_text, day_number, day_text, instant_text
 from brezza.functions.texts import number_of, plain_unit, rest_after_number, unit_in_title
-from brezza.operators import history, regular_grid, spikes, timestamps, trailing, units
+from brezza.operators import history, regular_grid, relational, spikes, timestamps, trailing, units
 from brezza.sources.tables import table
 
 SERIES = ["station_id", "pollutant_id"]
@@ -33,17 +33,34 @@ def p1_rolling(spark: SparkSession, directory: str) -> DataFrame:
     return totals.select(*SERIES, "day", "period_days", F.round("total", 6).alias("total_ugm3"), F.round("mean", 6).alias("mean_ugm3"), "readings")
 
 
+def _latest_feed(spark: SparkSession, directory: str) -> DataFrame:
+    """``station_id, pollutant_id, measured_at_utc, concentration_ugm3``: the latest delivery of each reading, in ug/m3 from whatever unit it states; null where there is none."""
+    feed = table(spark, directory, "stg_arpae__measurements")
+    key = [*SERIES, "measured_at_utc"]
+    latest = relational.latest_per_key(feed.select(*key, "concentration_ugm3", "value_original", "unit_original", F.struct("ingested_at", "row_id").alias("_at")), key, "_at")
+    conversions = units.conversion_table(table(spark, directory, "arpae_pollutants"), "pollutant_id", "ug_per_ppb").withColumnRenamed("pollutant_id", "_quantity")
+    stated = latest.withColumn("_unit", units.stated_unit(F.col("unit_original")))
+    matched = stated.join(conversions, (F.col("pollutant_id") == F.col("_quantity")) & (F.col("_unit") == F.col("spelling")), "left")
+    return matched.select(*key, F.coalesce("concentration_ugm3", F.col("value_original") * F.col("factor") + F.col("shift")).alias("concentration_ugm3"))
+
+
 def p1_corrected(spark: SparkSession, directory: str) -> DataFrame:
-    """Trailing totals after the plain readings of the newest feed arrive as late corrections of the fact's forest."""
+    """Trailing totals after the readings of the newest feed arrive as late corrections of the fact's forest.
+
+    Of several deliveries of a reading the latest holds, also against the fact's own.  Readings that are null, negative, above the
+    largest plausible value, or in a unit that cannot be converted correct nothing by themselves, but still replace earlier ones.
+    """
     facts = table(spark, directory, "int_measurements_deduplicated")
-    feed = table(spark, directory, "stg_arpae__measurements")
     forest = trailing.build_forest(trailing.day_leaves(facts, SERIES, "measurement_date", "concentration_ugm3", F.col("is_valid")), SERIES)
+    feed = _latest_feed(spark, directory)
+    bounds = table(spark, directory, "arpae_pollutants").groupBy("pollutant_id").agg(F.max("max_plausible_ugm3").alias("largest"))
+    value = F.col("concentration_ugm3")
+    valid = value.isNotNull() & ~F.coalesce(spikes.impossible(value, F.col("largest")), F.lit(False))
     local_day = F.to_date(F.col("measured_at_utc") + F.expr("interval 1 hour"))
-    late = (
-        feed.where(F.col("concentration_ugm3") >= 0)
-        .groupBy(*SERIES, day_number(local_day).alias("day_no"))
-        .agg(F.sum("concentration_ugm3").alias("sum_change"), F.count(F.lit(1)).alias("count_change"))
-    )
+    added = feed.join(bounds, "pollutant_id", "left").where(valid).select(*SERIES, day_number(local_day).alias("day_no"), value.alias("change"), F.lit(1).alias("readings"))
+    replaced = facts.where("is_valid").join(feed.select(*SERIES, "measured_at_utc"), [*SERIES, "measured_at_utc"], "left_semi")
+    removed = replaced.select(*SERIES, day_number(F.col("measurement_date")).alias("day_no"), (-value).alias("change"), F.lit(-1).alias("readings"))
+    late = added.unionByName(removed).groupBy(*SERIES, "day_no").agg(F.sum("change").alias("sum_change"), F.sum("readings").alias("count_change"))
     totals = trailing.query_forest(trailing.correct_forest(forest, late, SERIES), SERIES, PERIODS)
     return totals.select(*SERIES, "day", "period_days", F.round("total", 4).alias("total_ugm3"), "readings")
 
