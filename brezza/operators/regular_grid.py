@@ -47,22 +47,23 @@ def instant_intervals(readings: DataFrame, keys: Sequence[str], ts: str, value:
     )
 
 
-def counter_intervals(readings: DataFrame, keys: Sequence[str], ts: str, counter: str, minutes: Column, max_gap_minutes: int) -> DataFrame:
+def counter_intervals(readings: DataFrame, keys: Sequence[str], ts: str, counter: str, minutes: Column, max_gap_minutes: int | Column) -> DataFrame:
     """``keys, minutes, from_us, to_us, increment, is_reset`` between consecutive readings of a cumulative counter.
 
     Of several readings at one instant the largest holds; null readings are left out.  A reading below its predecessor is
-    a reset.  Readings further apart than ``max_gap_minutes`` leave the time between them uncovered.
+    a reset.  Readings further apart than ``max_gap_minutes`` (of the later one) leave the time between them uncovered.
     """
+    gap = F.lit(max_gap_minutes) if isinstance(max_gap_minutes, int) else max_gap_minutes
     at = (
         readings.where(F.col(ts).isNotNull() & F.col(counter).isNotNull() & (minutes > 0))
         .dropna(subset=list(keys))
         .groupBy(*keys, minutes.cast("int").alias("minutes"), epoch_micros(F.col(ts)).alias("to_us"))
-        .agg(F.max(counter).cast("double").alias("reading"))
+        .agg(F.max(counter).cast("double").alias("reading"), F.max(gap.cast("bigint") * MICROS_PER_MINUTE).alias("gap_us"))
     )
     block = F.floor(F.col("to_us") / (F.col("minutes").cast("bigint") * MICROS_PER_MINUTE * BLOCK_CELLS))
     paired = with_previous(at, [*keys, "minutes"], "to_us", block, ["to_us", "reading"])
     reset = F.col("reading") < F.col("prev_reading")
-    return paired.where((F.col("to_us") - F.col("prev_to_us")) <= F.lit(max_gap_minutes * MICROS_PER_MINUTE)).select(
+    return paired.where((F.col("to_us") - F.col("prev_to_us")) <= F.col("gap_us")).select(
         *keys,
         "minutes",
         F.col("prev_to_us").alias("from_us"),

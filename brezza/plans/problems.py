@@ -16,6 +16,7 @@ SERIES = ["station_id", "pollutant_id"]
 PERIODS = (7, 30)
 LOCAL_OFFSET_MINUTES = 60
 COUNTER_GAP_MINUTES = 3 * 1440
+COUNTER_GAP_PERIODS = COUNTER_GAP_MINUTES // 60
 STATION_ATTRIBUTES = ["station_name", "municipality", "province", "address", "altitude_m", "longitude", "latitude", "pollutant_name", "unit_original"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,11 +87,21 @@ def p2_series(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def p2_counter(spark: SparkSession, directory: str) -> DataFrame:
-    """The feed's values taken as a cumulative counter that restarts wherever they fall: increments per slot."""
+    """The feed's values taken as a cumulative counter that restarts wherever they fall: increments per slot, and how far each slot is covered.
+
+    ``coverage`` is ``none`` (no interval, null amount), ``part`` or ``whole``.  Readings more than ``COUNTER_GAP_PERIODS`` averaging
+    periods apart leave the time between them uncovered.  Intervals do not overlap, so that the covered minutes add up.
+    """
     readings = _feed_slots(spark, directory)
-    intervals = regular_grid.counter_intervals(readings, SERIES, "measured_at_utc", "value_original", F.col("averaging_minutes"), COUNTER_GAP_MINUTES)
+    gap = F.col("averaging_minutes") * COUNTER_GAP_PERIODS
+    intervals = regular_grid.counter_intervals(readings, SERIES, "measured_at_utc", "value_original", F.col("averaging_minutes"), gap)
     cells = regular_grid.spread_on_grid(intervals, SERIES, LOCAL_OFFSET_MINUTES)
-    return cells.select(*SERIES, "cell", F.round("amount", 7).alias("amount"), F.round("covered_minutes", 6).alias("covered_minutes"), "intervals")
+    covered = F.round("covered_minutes", 6)
+    filled = cells.select(*SERIES, "cell", F.round("amount", 7).alias("amount"), covered.alias("covered_minutes"), "intervals", F.when(covered < F.col("minutes"), "part").otherwise("whole").alias("coverage"))
+    empty = regular_grid.uncovered_cells(cells, SERIES).select(
+        *SERIES, "cell", F.lit(None).cast("double").alias("amount"), F.lit(0.0).alias("covered_minutes"), F.lit(0).cast("bigint").alias("intervals"), F.lit("none").alias("coverage")
+    )
+    return filled.unionByName(empty)
 
 
 def p3_found(spark: SparkSession, directory: str) -> DataFrame:

@@ -44,6 +44,24 @@ chosen as (
   from latest where concentration_ugm3 >= 0 and (largest is null or concentration_ugm3 <= largest)),
 valid as (select * from chosen where is_valid), {problems._P1_GRID}
 select station_id, pollutant_id, day, period_days, round(s, 4) as total_ugm3, c as readings from totals""",
+    # The largest gap is 72 averaging periods; cells between the first and the last covered one of a series that no interval covers are marked.
+    "p2_counter": """
+with readings as (
+  select m.station_id, m.pollutant_id, p.averaging_minutes * 60000000::bigint as len, epoch_us(m.measured_at_utc) as t, max(m.value_original) as v
+  from stg_arpae__measurements m join arpae_pollutants p using (pollutant_id) where m.value_original is not null group by all),
+pairs as (select *, lag(t) over w as t0, lag(v) over w as v0 from readings window w as (partition by station_id, pollutant_id order by t)),
+intervals as (select station_id, pollutant_id, len, t0, t, case when v < v0 then v else v - v0 end as inc from pairs where t - t0 <= 72 * len),
+touched as (select *, unnest(generate_series((t0 + 3600000000) // len, (t - 1 + 3600000000) // len)) as cell from intervals),
+cells as (
+  select station_id, pollutant_id, len, cell::bigint as cell,
+    round(sum(inc * (least(t, (cell + 1) * len - 3600000000) - greatest(t0, cell * len - 3600000000)) / (t - t0)), 7) as amount,
+    round(sum((least(t, (cell + 1) * len - 3600000000) - greatest(t0, cell * len - 3600000000)) / 60000000.0), 6) as covered_minutes, count(*) as intervals
+  from touched group by all),
+spans as (select station_id, pollutant_id, min(cell) as a, max(cell) as z from cells group by all),
+grid as (select station_id, pollutant_id, unnest(generate_series(a, z)) as cell from spans)
+select station_id, pollutant_id, cell::bigint as cell, amount, coalesce(covered_minutes, 0.0) as covered_minutes, coalesce(intervals, 0)::bigint as intervals,
+  case when intervals is null then 'none' when covered_minutes < len / 60000000 then 'part' else 'whole' end as coverage
+from grid g left join cells c using (station_id, pollutant_id, cell)""",
 }
 
 
