@@ -37,6 +37,8 @@ DETAIL_SIGMAS = 6.0
 MAX_WIDTH = 5
 # Ratio to the level around, and distance from it in robust deviations: of readings with near neighbours, and of lone ones.
 UP_RATIO, UP_SCALES, DOWN_RATIO, DOWN_SCALES = 1.4, 15.0, 0.1, 6.0
+# Drops of so many robust deviations count whatever their ratio to the level.
+FAR_DOWN_SCALES, LONE_FAR_DOWN_SCALES = 15.0, 40.0
 LONE_UP_RATIO, LONE_UP_SCALES, LONE_DOWN_RATIO, LONE_DOWN_SCALES = 4.0, 40.0, 0.1, 9.0
 RELATIVE_FLOOR = 0.02
 BIN = 1.02
@@ -291,8 +293,8 @@ def flag_readings(readings: DataFrame, keys: Sequence[str], ts: str, value: str,
                 away, level = a["v"] - a["level"], a["level"]
                 scale = np.asarray(b.column("scale"))[row]
                 far, up, down = np.abs(away) / scale, away > 0, away < 0
-                ordinary = (up & (far >= UP_SCALES) & (a["v"] >= UP_RATIO * level)) | (down & (far >= DOWN_SCALES) & (a["v"] <= DOWN_RATIO * level))
-                extreme = (up & (far >= LONE_UP_SCALES) & (a["v"] >= LONE_UP_RATIO * level)) | (down & (far >= LONE_DOWN_SCALES) & (a["v"] <= LONE_DOWN_RATIO * level))
+                ordinary = (up & (far >= UP_SCALES) & (a["v"] >= UP_RATIO * level)) | (down & (far >= DOWN_SCALES) & (a["v"] <= DOWN_RATIO * level)) | (down & (far >= FAR_DOWN_SCALES))
+                extreme = (up & (far >= LONE_UP_SCALES) & (a["v"] >= LONE_UP_RATIO * level)) | (down & (far >= LONE_DOWN_SCALES) & (a["v"] <= LONE_DOWN_RATIO * level)) | (down & (far >= LONE_FAR_DOWN_SCALES))
                 high = candidate & a["judged"] & np.where(a["lone"], extreme, ordinary)
                 side = np.sign(np.nan_to_num(away))
                 begins = high & ~(np.concatenate([[False], high[:-1]]) & np.concatenate([[False], (row[1:] == row[:-1]) & (side[1:] == side[:-1])]))
