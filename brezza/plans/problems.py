@@ -123,19 +123,19 @@ def p3_feed(spark: SparkSession, directory: str) -> DataFrame:
     return read.select("row_id", "utc_us", "status")
 
 
-def _implausible(spark: SparkSession, directory: str) -> DataFrame:
-    """Every reading that cannot be true, with each reason."""
+def _bounded_facts(spark: SparkSession, directory: str) -> DataFrame:
     facts = table(spark, directory, "int_measurements_deduplicated")
     bounds = table(spark, directory, "arpae_pollutants").groupBy("pollutant_id").agg(F.max("max_plausible_ugm3").alias("largest"))
-    return spikes.flag_readings(facts.join(bounds, "pollutant_id", "left"), SERIES, "measured_at_utc", "concentration_ugm3", "largest", "averaging_minutes")
+    return facts.join(bounds, "pollutant_id", "left")
 
 
 def p4_found(spark: SparkSession, directory: str) -> DataFrame:
-    return _implausible(spark, directory).select(*SERIES, instant_text(F.col("measured_at_utc")).alias("measured_at")).distinct()
+    flagged = spikes.flag_readings(_bounded_facts(spark, directory), SERIES, "measured_at_utc", "concentration_ugm3", "largest", "averaging_minutes")
+    return flagged.select(*SERIES, instant_text(F.col("measured_at_utc")).alias("measured_at")).distinct()
 
 
 def p4_impossible(spark: SparkSession, directory: str) -> DataFrame:
-    flagged = _implausible(spark, directory).where(F.col("reason") == "impossible")
+    flagged = spikes.impossible_readings(_bounded_facts(spark, directory), SERIES, "measured_at_utc", "concentration_ugm3", "largest")
     return flagged.select(*SERIES, instant_text(F.col("measured_at_utc")).alias("measured_at"), "concentration_ugm3")
 
 

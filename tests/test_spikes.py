@@ -85,3 +85,64 @@ def test_low_coarse_and_tiny_series(spark):
 
 def test_empty(spark):
     assert found(spark, []) == set()
+
+
+@pytest.mark.parametrize("sigmas", [-1.0, 1e9])
+def test_the_threshold_of_the_details_decides(spark, planted, monkeypatch, sigmas):
+    """Opened, it takes ordinary wiggles for spikes; closed, it finds none; the other reasons do not depend on it."""
+    data, wanted = planted
+    monkeypatch.setattr(spikes, "DETAIL_SIGMAS", sigmas)
+    got = found(spark, data)
+    assert {g for g in got if g[2] != "spike"} == {w for w in wanted if w[2] != "spike"}
+    number = sum(1 for g in got if g[2] == "spike")
+    assert number == 0 if sigmas > 0 else number > 3 * sum(1 for w in wanted if w[2] == "spike")
+
+
+def test_width_is_a_parameter_and_wide_pulses_are_no_spikes(spark):
+    chance = random.Random(8)
+    data = [[1, T0 + timedelta(hours=k), round(50 + chance.gauss(0, 1), 2), 2000.0, 60] for k in range(900)]
+    for at, width in [(100, 5), (400, 9)]:
+        for k in range(at, at + width):
+            data[k][2] = round(data[k][2] * 4, 2)
+    df = spark.createDataFrame([tuple(r) for r in data], SCHEMA)
+
+    def hours(most):
+        return {int((r.ts - T0).total_seconds() // 3600) for r in spikes.flag_readings(df, ["s"], "ts", "v", "largest", "period", most).collect()}
+
+    assert hours(5) == set(range(100, 105))
+    assert hours(9) == set(range(100, 105)) | set(range(400, 409))
+    with pytest.raises(ValueError):
+        hours(0)
+
+
+def test_gaps_and_opposite_spikes(spark):
+    """A spike between gaps of hours, two drops with ordinary readings between them, and a series that drifts over a long gap."""
+    chance = random.Random(9)
+    data = [[1, T0 + timedelta(hours=k), round(50 + chance.gauss(0, 1), 2), 2000.0, 60] for k in range(1200)]
+    data[300][2] = 500.0
+    data[600][2], data[603][2] = 0.5, 0.7
+    for k in range(900, 1200):
+        data[k][2] = round(data[k][2] * 1.6, 2)
+    gaps = {*range(297, 300), *range(301, 304), *range(850, 900)}
+    assert found(spark, [r for k, r in enumerate(data) if k not in gaps]) == {(1, 300, "spike"), (1, 600, "spike"), (1, 603, "spike")}
+
+
+def test_sparse_blocks_are_judged_like_full_ones(spark, monkeypatch):
+    """Blocks of one or two readings each."""
+    chance = random.Random(10)
+    data = [[1, T0 + timedelta(hours=k), round(50 + chance.gauss(0, 1), 2), 2000.0, 60] for k in range(300)]
+    wanted = set()
+    for at, width in [(50, 1), (90, 3), (150, 5), (200, 2)]:
+        for k in range(at, at + width):
+            data[k][2] = round(data[k][2] * 5, 2)
+            wanted.add((1, k, "spike"))
+    monkeypatch.setattr(spikes, "BLOCK", 2)
+    assert found(spark, data) == wanted
+
+
+def test_periods_of_one_key_are_series_of_their_own(spark):
+    chance = random.Random(12)
+    hourly = [[1, T0 + timedelta(hours=k), round(50 + chance.gauss(0, 1), 2), 2000.0, 60] for k in range(400)]
+    daily = [[1, T0 + timedelta(days=k), round(5 + chance.gauss(0, 0.1), 2), 2000.0, 1440] for k in range(400)]
+    hourly[200][2] = 400.0
+    assert found(spark, [*hourly, *daily]) == {(1, 200, "spike")}
