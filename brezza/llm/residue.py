@@ -2,15 +2,18 @@
 
 Two kinds of document are found:
 
-* texts that consist of error messages, filler or demands for scripts, alone or under a heading.  A multi-pattern automaton marks
-  the known phrases (in several languages) over the whole text, filler words are marked where they outnumber the ordinary words
-  outside the phrases, and the document is excluded when the marks cover at least ``LEAST_COVERAGE`` of what is neither heading, headnote, navigation,
-  numbering nor a reference code;
-* texts in which a slot of a template was left unfilled, or was filled with what a program prints for no value.
-
-Slots and phrases in quotation marks, slots that a text names as markers, and redaction marks do not count.
-
-Scale: a narrow map over the rows, without a shuffle; every part of a text is read once or twice by compiled matchers.
+* texts that consist of error messages, filler or demands for scripts, alone or under a heading.  A multi-pattern automaton marks fragments of such
+  messages in several languages over the whole text.  Strong fragments decide, weak ones count in a line that has a strong one, and a sentence
+  counts whole where its marks cover about half of it.  Lines of nonsense words or pseudo-Latin count where they have hardly any of the words that hold ordinary ones
+  together.  The document is excluded when the marks cover at least ``LEAST_COVERAGE`` of the letters of its body;
+* texts in which a slot of a template was left unfilled, or was filled with what a program prints for no value.  The automaton finds openers and closers
+  of slots and the empty values; what lies between is then verified.
+
+The body is what follows the heading: the lines at the beginning that hold no marks and end like no sentence, and those that begin with a label and a colon and
+are not residue themselves.  Navigation and reference codes are no letters of a body.  Slots in quotation marks, slots that a text names as markers, and redaction marks do not count.
+
+Scale: a narrow map over the rows, without a shuffle; each text is read once by the automaton, in time that grows with its length whatever it holds.
+Most texts have no strong fragment and are done then.
 """
 
 from __future__ import annotations
@@ -24,264 +27,289 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from brezza.llm import residue_words as W
 from brezza.llm.batches import in_parts
 
 LEAST_COVERAGE = 0.5
-LEAST_COVERED = 8
-
-# Phrases of error pages, in lower case.
-ERROR_PHRASES = [
-    "an unexpected error has occurred", "an unexpected error has occurred while opening the file", "an error occurred while processing your request",
-    "oops! we can't find that ruling", "it may have been moved or deleted", "page not found", "the page you requested could not be found",
-    "the document you asked for could not be delivered", "invalid or missing document id", "the requested resource could not be loaded",
-    "your session has expired", "please sign in again to view this decision", "too many requests from your network", "and retry",
-    "the service is down for scheduled maintenance", "please try again in", "please try again later", "service temporarily unavailable",
-    "access denied", "you don't have permission to access", "connection timed out", "internal server error", "bad gateway", "bad request",
-    "gateway timeout", "service unavailable", "not found", "forbidden", "unauthorized", "gone", "too many requests", "request timeout",
-    "kind: gateway report", "detail: the registry did not answer", "traceback (most recent call last)", "timeouterror: read timed out",
-    "file \"render.py\"", "in fetch", "fatal error: uncaught", "queryfailure: connection to store 'rulings' refused in", "stack trace", "{main}",
-    "accesso negato", "la pagina richiesta non è disponibile", "servizio temporaneamente non disponibile", "riprovare più tardi", "pagina non trovata",
-    "errore interno del server", "si è verificato un errore", "seite nicht gefunden", "die angeforderte entscheidung existiert nicht (mehr)",
-    "wartungsarbeiten: das entscheidungsportal ist derzeit nicht erreichbar", "zugriff verweigert", "es ist ein fehler aufgetreten",
-    "dienst vorübergehend nicht verfügbar", "page introuvable – le document demandé n'existe pas ou a été déplacé", "page introuvable",
-    "accès refusé", "une erreur est survenue", "service temporairement indisponible", "erreur interne du serveur",
-    "something went wrong", "an error has occurred", "an error occurred", "an unknown error occurred", "please try again", "please contact the administrator", "please contact the site administrator",
-    "the page you are looking for", "does not exist", "could not be found", "was not found on this server", "the requested url", "the server encountered an internal error", "unable to complete your request",
-    "the page cannot be displayed", "this page isn't working", "this site can't be reached", "took too long to respond", "the file could not be opened", "failed to load", "you are not authorized to view this page",
-    "you do not have permission to view this page", "the server is temporarily unable to service your request", "due to maintenance downtime or capacity problems", "please log in to continue", "session expired",
-    "nullpointerexception", "no such file or directory", "connection refused", "error establishing a database connection", "segmentation fault", "method not allowed", "not implemented", "request failed",
-    "si è verificato un errore imprevisto", "qualcosa è andato storto", "la pagina che stai cercando non esiste", "la pagina richiesta non esiste", "la pagina richiesta non è stata trovata", "impossibile caricare la pagina",
-    "impossibile trovare la pagina", "documento non trovato", "errore del server", "servizio non disponibile", "sito in manutenzione", "la sessione è scaduta", "sessione scaduta", "effettuare nuovamente l'accesso",
-    "si prega di riprovare più tardi", "riprova più tardi", "non si dispone dell'autorizzazione", "accesso non autorizzato", "tempo di connessione scaduto", "troppe richieste",
-    "ein fehler ist aufgetreten", "ein unerwarteter fehler ist aufgetreten", "es ist ein unerwarteter fehler aufgetreten", "etwas ist schiefgelaufen", "die seite wurde nicht gefunden", "die seite konnte nicht gefunden werden",
-    "die angeforderte seite wurde nicht gefunden", "die angeforderte seite existiert nicht", "dokument nicht gefunden", "interner serverfehler", "dienst nicht verfügbar", "der dienst ist derzeit nicht verfügbar", "wegen wartungsarbeiten",
-    "bitte versuchen sie es später erneut", "bitte versuchen sie es später noch einmal", "ihre sitzung ist abgelaufen", "sitzung abgelaufen", "bitte melden sie sich erneut an", "keine berechtigung", "zu viele anfragen", "zeitüberschreitung der verbindung",
-    "une erreur s'est produite", "une erreur inattendue s'est produite", "une erreur inattendue est survenue", "quelque chose s'est mal passé", "page non trouvée", "la page demandée n'existe pas", "la page demandée est introuvable",
-    "la page que vous recherchez n'existe pas", "le document demandé est introuvable", "document introuvable", "service indisponible", "site en maintenance", "votre session a expiré", "session expirée", "veuillez vous reconnecter",
-    "veuillez réessayer plus tard", "veuillez réessayer ultérieurement", "vous n'avez pas l'autorisation", "accès interdit", "trop de requêtes", "délai de connexion dépassé", "erreur du serveur",
-]
-
-# Demands for scripts, in lower case.
-SCRIPT_PHRASES = [
-    "javascript is disabled in your browser", "the decision viewer will not work without it", "please enable javascript to view this page",
-    "please enable javascript", "enable javascript and cookies to continue", "your browser does not support scripting, which is needed to read this ruling",
-    "the reading room needs javascript, which is switched off", "this site requires scripts and cookies", "turn them on and reload",
-    "confirm that you are not a robot to continue", "scripts must be allowed for this page", "your browser is being checked before the register opens",
-    "one moment:", "checking your browser before accessing", "if nothing happens, allow scripts for this viewer", "loading…", "loading...",
-    "per visualizzare la sentenza è necessario attivare javascript", "il browser non supporta gli script richiesti da questo portale", "attivare javascript",
-    "bitte aktivieren sie javascript, um die entscheidung anzuzeigen", "bitte aktivieren sie javascript", "veuillez activer javascript pour afficher la décision",
-    "veuillez activer javascript", "javascript est désactivé", "javascript ist deaktiviert", "javascript è disattivato",
-    "you need to enable javascript to run this app", "you need to enable javascript", "you must enable javascript", "javascript is required", "javascript must be enabled", "javascript is not enabled", "javascript is disabled", "javascript appears to be disabled",
-    "javascript seems to be disabled in your browser", "requires javascript", "this page requires javascript", "this site requires javascript", "this website requires javascript", "this application requires javascript", "to run this app", "to use this site", "to view this page",
-    "to view this site", "for full functionality of this site it is necessary to enable javascript", "it is necessary to enable javascript", "please turn on javascript", "turn on javascript", "turn javascript on", "please activate javascript", "enable javascript", "enable cookies", "please enable cookies",
-    "and reload the page", "reload the page", "in your browser settings", "your browser does not support javascript", "your browser is out of date", "please upgrade your browser", "verify you are human", "verifying you are human", "verify that you are human", "i'm not a robot",
-    "please complete the security check to access", "just a moment...", "ddos protection by cloudflare", "performance & security by cloudflare", "please wait while we check your browser", "this may take a few seconds", "you will be redirected", "please wait...", "please wait…",
-    "javascript è disabilitato nel tuo browser", "javascript è disabilitato", "javascript non è attivo", "javascript deve essere abilitato", "abilitare javascript", "abilita javascript", "attiva javascript", "è necessario abilitare javascript", "è necessario javascript", "richiede javascript",
-    "questo sito richiede javascript", "questa pagina richiede javascript", "per utilizzare questo sito", "per visualizzare questa pagina", "per eseguire questa applicazione", "per continuare", "il tuo browser non supporta javascript", "conferma di non essere un robot", "abilitare i cookie", "caricamento in corso",
-    "javascript ist in ihrem browser deaktiviert", "javascript ist nicht aktiviert", "javascript muss aktiviert sein", "sie müssen javascript aktivieren", "bitte javascript aktivieren", "javascript aktivieren", "aktivieren sie javascript", "aktivieren sie bitte javascript", "diese seite benötigt javascript",
-    "diese website benötigt javascript", "diese anwendung benötigt javascript", "erfordert javascript", "um diese seite anzuzeigen", "um diese app auszuführen", "um fortzufahren", "ihr browser unterstützt kein javascript", "bestätigen sie, dass sie kein roboter sind", "cookies aktivieren", "wird geladen",
-    "javascript est désactivé dans votre navigateur", "javascript n'est pas activé", "javascript doit être activé", "vous devez activer javascript", "merci d'activer javascript", "activez javascript", "activer javascript", "nécessite javascript", "ce site nécessite javascript",
-    "cette page nécessite javascript", "cette application nécessite javascript", "pour afficher cette page", "pour utiliser ce site", "pour exécuter cette application", "pour continuer", "votre navigateur ne prend pas en charge javascript", "confirmez que vous n'êtes pas un robot", "activer les cookies", "chargement en cours",
-]
-
-# Filler, in lower case.
-FILLER_PHRASES = [
-    "text of ruling to follow", "sample text", "replace this paragraph with the decision", "this is dummy text to show the layout", "body copy goes here",
-    "dies ist ein blindtext ohne inhalt", "testo segnaposto: sostituire con la motivazione", "texte factice à remplacer", "to be completed", "(content pending)",
-    "content pending", "tbc", "tbd", "todo", "lorem ipsum", "lorem ipsum dolor sit amet", "ipsum lorem", "lipsum", "hier steht später der text", "inserire testo qui",
-    "your text here", "insert text here", "coming soon", "under construction",
-    "this is placeholder text", "placeholder text", "dummy text", "type your text here", "add your text here", "click here to add text", "the quick brown fox jumps over the lazy dog", "text to be supplied", "content to follow",
-    "far far away, behind the word mountains, far from the countries vokalia and consonantia, there live the blind texts", "questo è un testo segnaposto", "testo segnaposto", "testo di esempio", "testo di prova", "testo fittizio", "inserire qui il testo", "da completare", "in costruzione",
-    "dies ist ein blindtext", "dies ist ein platzhaltertext", "dies ist ein typoblindtext", "platzhaltertext", "blindtext", "beispieltext", "mustertext", "hier text einfügen", "text folgt", "ich bin ein kleiner blindtext", "weit hinten, hinter den wortbergen, fern der länder vokalien und konsonantien leben die blindtexte",
-    "franz jagt im komplett verwahrlosten taxi quer durch bayern", "zwei flinke boxer jagen die quirlige eva und ihren mops durch sylt", "ceci est un texte factice", "texte factice", "faux texte", "texte de remplissage", "texte d'exemple", "texte à venir", "insérer le texte ici", "votre texte ici", "à compléter",
-    "portez ce vieux whisky au juge blond qui fume", "en construction",
-]
-
-# Words of pseudo-Latin and keyboard filler; the first are also the syllables of longer ones.
-PSEUDO_LATIN = [
-    "lorem", "ipsum", "lipsum", "dolor", "amet", "dol", "cip", "nec", "vel", "sus", "qua", "tis", "mor", "sum", "ip", "eu", "lo", "pra", "rem", "bi", "sit", "elit", "sed",
-]
-KEYBOARD_FILLER = ["asdf", "qwer", "qwerty", "foo", "bar", "baz", "blah", "xxx", "test", "text"]
-
-# The usual filler paragraphs (the standard one, Cicero's passages that it comes from, and what the common generators add).
-LOREM_WORDS = frozenset("""
-lorem ipsum dolor sit amet consectetur consectetuer adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi
-aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum
-perspiciatis unde omnis iste natus error voluptatem accusantium doloremque laudantium totam rem aperiam eaque ipsa quae ab illo inventore veritatis quasi architecto beatae vitae dicta explicabo nemo ipsam quia voluptas
-aspernatur aut odit fugit consequuntur magni dolores eos ratione sequi nesciunt neque porro quisquam dolorem adipisci numquam eius modi tempora incidunt magnam aliquam quaerat minima nostrum exercitationem ullam corporis
-suscipit laboriosam aliquid commodi consequatur autem vel eum iure quam nihil molestiae illum quo vero accusamus iusto odio dignissimos ducimus blanditiis praesentium voluptatum deleniti atque corrupti quos quas molestias
-excepturi occaecati cupiditate provident similique mollitia animi laborum fuga harum quidem rerum facilis expedita distinctio nam libero tempore cum soluta nobis eligendi optio cumque impedit minus quod maxime placeat
-facere possimus assumenda repellendus temporibus quibusdam officiis debitis necessitatibus saepe eveniet voluptates repudiandae recusandae itaque earum hic tenetur sapiente delectus reiciendis voluptatibus maiores alias
-perferendis doloribus asperiores repellat
-ac accumsan aenean aliquet ante aptent arcu at auctor augue bibendum blandit class condimentum congue conubia convallis cras cubilia curabitur curae cursus dapibus diam dictum dictumst dignissim dis dui donec efficitur egestas
-eget eleifend elementum erat eros etiam euismod facilisi facilisis fames faucibus felis fermentum feugiat finibus fringilla fusce gravida habitant habitasse hac hendrerit himenaeos iaculis imperdiet inceptos integer interdum
-invidunt justo lacinia lacus laoreet lectus leo ligula litora lobortis luctus maecenas magnis malesuada massa mattis mauris maximus metus mi molestie mollis montes morbi mus nascetur natoque nec netus nibh nisl nonumy nostra
-nullam nunc odio orci ornare parturient pellentesque penatibus per pharetra phasellus placerat platea porta porttitor posuere potenti praesent pretium primis proin pulvinar purus quisque rhoncus ridiculus risus rutrum
-sadipscing sagittis sanctus sapien scelerisque sem semper senectus sociis sociosqu sodales sollicitudin stet suspendisse taciti takimata tellus tempus tincidunt torquent tortor tristique turpis ullamcorper ultrices ultricies
-urna varius vehicula venenatis vestibulum vivamus viverra volutpat voluptua vulputate clita kasd gubergren diam accusam dolore erat rebum
-""".split())
-
-# Filler words that the four languages, or their courts, also use; they are filler among filler but tell nothing by themselves.
-SHARED_WORDS = frozenset("""a ab ac ad ante at aut causa class cum culpa dicta dictum do dolo ea elementum error esse est et ex hac hic id in integer leo libero massa mi minus minima modi nihil nobis non nostra nulla odio
-per porta provident quasi qui quo quod rem risus sit sum sunt tempo tempore urna ut""".split())
-
-# Words that ordinary sentences of the four languages hardly do without.
-ORDINARY_WORDS = frozenset("""
-the and that was of to is are were by for with from this which be as on it has had not or he his she her they
-di che della il la del dei delle dell le gli un una è per con da dal dalla nel nella si al alla sono come ha questo anche lo i
-der und dass nicht die das den dem des ein eine einer ist war von zu mit auf für im sich sie es er wird wurde nach bei
-les que du de une pour dans par sur pas au aux ce cette qui est en elle ne son sa ses avec a été ou l d
-""".split()) - SHARED_WORDS - LOREM_WORDS
-
-# Names of slots that are plain words.
-SLOT_NAMES = ["amount", "seat", "respondent", "claimant", "convenuto", "attore", "aktenzeichen", "court", "docket", "date", "judge", "name", "party", "betrag", "montant", "importo", "datum", "gericht"]
-
-# What programs print for no value; words before which such a value stands for something; words that name a marker.
-EMPTY_VALUES = ["undefined", "NaN", "null", "NULL", "None", "nil", "NaT", "[object Object]", "#REF!", "#N/A", "#VALUE!", "#NAME?"]
-LABELS = ["of", "OF", "DI", "DE", "OBERGERICHT", "Docket", "R.G.", "Aktenzeichen", "Dossier", "v", "v.", "vs", "contro", "gegen", "c."]
-MARKER_WORDS = ["marker", "markers", "placeholder", "field", "tag", "token", "string", "variable", "segnaposto", "marcatore", "campo", "platzhalter", "feld", "marke", "vermerk", "balise", "champ", "repère", "mention", "variabile"]
-OPEN_QUOTES, CLOSE_QUOTES = "«„“\"'‘‚‹”", "»”“\"'’›‘"
-
-_NAME = r"[A-Za-z][\w.-]{0,60}"
-_SLOT = re.compile(
-    r"\{\{\s*[^{}\n]{1,60}\}\}|[$#]\{\s*[^{}\n]{1,60}\}|\{%[^%\n]{1,60}%\}|<%[^%\n]{1,60}%>|<<\s*" + _NAME + r"\s*>>|\[\[:?\s*" + _NAME + r"\s*:?\]\]|@@" + _NAME + r"@@|%%" + _NAME
-    + r"%%|\$\$" + _NAME + r"\$\$|__" + _NAME + r"__|&lt;\s*" + _NAME + r"\s*&gt;|\{" + _NAME + r"\}|«(" + _NAME + r")»"
-    r"|[\[(<][^\[\]()<>\n]{0,50}\b(?:insert|inserted|enter|fill in|inserire|completare|einsetzen|eintragen|ausfüllen|compléter|completer|insérer|à remplir|tbc|tbd|to be completed|INSERT|ENTER|FILL IN|INSERIRE|COMPLETARE|EINSETZEN|EINTRAGEN|AUSFÜLLEN|COMPLÉTER|INSÉRER|TBC|TBD|TO BE COMPLETED|Insert|Enter|Inserire)\b[^\[\]()<>\n]{0,50}[\])>]"
-)
-_EMPTY = re.compile(r"\b(?:undefined|NaN|null|NULL|None|nil|NaT)\b|\[object Object\]|#(?:REF!|N/A|VALUE!|NAME\?)")
+#: Of a sentence, to count it whole.
+LEAST_OF_SENTENCE = 0.5
+#: Words of a line without which nothing is said about their kind, the most function words that nonsense has, and the least share of nonsense words.
+LEAST_WORDS, MOST_FUNCTION_WORDS = 4, 0.15
+LEAST_NONSENSE = 0.6
+
+_STRONG, _WEAK, _OPEN, _CLOSE, _EMPTY, _TELLING = range(6)
+_SYMMETRIC = ("@@", "%%", "$$", "__")
+_PAIRS = {"{{": "}}", "${": "}", "#{": "}", "{%": "%}", "<%": "%>", "<<": ">>", "[[": "]]", "&lt;": "&gt;", "{": "}", "«": "»", "[": "]", "(": ")", "<": ">"}
+_FREE = ("{{", "${", "#{", "{%", "<%")
+_NAME = re.compile(r":?\s*[A-Za-z][\w.-]*\s*:?")
+_SENTENCE = re.compile(r"[^\n.!?…]*(?:[.!?…]+(?=\s|$)|[.!?…](?=\S)[^\n.!?…]*)*[.!?…]*")
+_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+_LETTER = re.compile(r"[^\W\d_]")
+_CODE = re.compile(r"\S*\d\S*")
+_PATH = re.compile(r"\S*[/\\]\S*[/\\]\S+")
+_FRAME = re.compile(r"File \"[^\"\n]*\"(?:, line \d+)?(?:, in \S+)?|\bat [\w.$<>]+\([^)\n]*\)|\b\w*(?:Error|Exception|Failure|Warning)\b|\{main\}|\bin /\S+")
+_NAVIGATION = re.compile(r"\s*[^\n·|›»•]+(?:[·|›»•][^\n·|›»•]*)+")
+_SENTENCE_END = re.compile(r"[.!?…;][\"'»”’)\]]*$")
+_LABELLED = re.compile(r"[^\W\d_][^\n:.!?]*:\s")
 _PROSE_AFTER = re.compile(r"\s+(?:and|und|et|ed?|of|des?|der|die|in|to)\b")
-_INVISIBLE = "\u200b\u200c\u200d\u2060\ufeff\u00ad\r"
-_COURT_LINE = re.compile(r"(?:COURT|CORTE|COUR|OBERGERICHT|TRIBUNALE|TRIBUNAL|LANDGERICHT|GERICHT)\b[^\n]*(?:\n|$)")
-_HEADING_LINE = re.compile(r"\s*(?:(?:Docket|R\.G\.|Aktenzeichen|Dossier)[^\n]*|[^\n]{1,80}\s(?:v\.?|vs\.?|contro|gegen|c\.)\s[^\n]{1,80}|[\d./ -]{6,12})(?:\n|$)")
-_HEADNOTE = re.compile(r"\s*(?:Headnote|Massima|Leitsatz|Sommaire)\s*:[^\n]*(?:\n|$)")
-_NEUTRAL = re.compile(
-    r"^[ ]*[^\n·|]*(?:[·|][^\n·|]*)+$|^[ ]*(?:\[[^\]\n]{1,20}\][ ]*){2,}$|\b(?:Ref\.|Reference:|Incident no\.|Ticket|Codice|Code|Fehler|Error|HTTP|Errore|Erreur)[ ]*[0-9a-f]*\b"
-    r"|\([0-9a-f]{4,}\)|^[ ]*\d+[.)]?(?=\s|$)|^[ ]*\.{3}$|\b(?=[0-9a-f]*\d)[0-9a-f]{3,}\b|Back to search|/srv/app/\S+|#\d+|line \d+,|, $|[.…–:,;·]",
-    re.MULTILINE,
-)
-_FILLER_WORD = re.compile(r"(?:" + "|".join(PSEUDO_LATIN) + r")+|(?:" + "|".join(KEYBOARD_FILLER) + r")", re.IGNORECASE)
-_WORD = re.compile(r"[^\W\d_]+")
-_ORDINARY, _FILLER, _NEITHER, _SHARED = range(4)
-
-_automaton: list[ahocorasick.Automaton] = []
-
-
-def _phrases() -> ahocorasick.Automaton:
-    """The automaton of all phrases, compiled once per process."""
-    if not _automaton:
-        built = ahocorasick.Automaton()
-        for phrase in {*ERROR_PHRASES, *SCRIPT_PHRASES, *FILLER_PHRASES}:
-            built.add_word(phrase, len(phrase))
-        built.make_automaton()
-        _automaton.append(built)
-    return _automaton[0]
+_INVISIBLE = str.maketrans({**{c: None for c in "​‌‍⁠﻿­\r"}, "\xa0": " ", "\t": " "})
+_REPEATED = re.compile(r"(.{3,}?)\1+")
+_LATIN = re.compile(rf"(?:(?:{W.LATIN_ONSETS})?(?:{W.LATIN_VOWELS})(?:{W.LATIN_CODAS})?)+")
+
+_LONGEST = max(map(len, W.LABELS | W.MARKER_WORDS)) + 3
+
+_compiled: list[tuple[ahocorasick.Automaton, ahocorasick.Automaton]] = []
+
+
+def _automata() -> tuple[ahocorasick.Automaton, ahocorasick.Automaton]:
+    """The automaton of all that may decide, and the one of strong and weak fragments; compiled once per process."""
+    if not _compiled:
+        strong = {p for group in (W.ERRORS, W.SCRIPTS, W.FILLERS) for phrases in group.values() for p in phrases}
+        weak = {p for phrases in W.CARRIERS.values() for p in phrases} - strong
+        first, second = ahocorasick.Automaton(), ahocorasick.Automaton()
+        for phrase in strong:
+            first.add_word(phrase, (_STRONG, len(phrase), phrase))
+            second.add_word(phrase, (_STRONG, len(phrase), phrase))
+        for phrase in weak:
+            second.add_word(phrase, (_WEAK, len(phrase), phrase))
+        for word in W.NONSENSE:
+            if word not in strong:
+                first.add_word(word, (_TELLING, len(word), word))
+        for text in (*W.PROGRAM_VALUES, *W.EMPTY_WORDS):
+            first.add_word(text.lower(), (_EMPTY, len(text), text.lower()))
+        for opener, closer in _PAIRS.items():
+            first.add_word(opener, (_OPEN, len(opener), opener))
+            first.add_word(closer, (_CLOSE, len(closer), closer))
+        for both in _SYMMETRIC:
+            first.add_word(both, (_OPEN, 2, both))
+        first.make_automaton()
+        second.make_automaton()
+        _compiled.append((first, second))
+    return _compiled[0]
+
+
+def _lower(text: str) -> str:
+    """In lower case, character by character, so that places stay the same."""
+    lower = text.lower()
+    return lower if len(lower) == len(text) else "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+
+
+def _whole(text: str, begin: int, end: int) -> bool:
+    """Whether a match is not a part of a longer word."""
+    return (begin == 0 or not (text[begin - 1].isalnum() and text[begin].isalnum())) and (end == len(text) or not (text[end].isalnum() and text[end - 1].isalnum()))
+
+
+def _word_before(text: str, at: int) -> str:
+    """The word before a place on the same line; of one longer than any word that is asked for, its end."""
+    while at and text[at - 1] == " ":
+        at -= 1
+    end = at
+    while at and end - at <= _LONGEST and not text[at - 1].isspace():
+        at -= 1
+    return text[at:end]
 
 
 def _quoted(text: str, begin: int, end: int) -> bool:
-    before, after = text[max(0, begin - 2) : begin].rstrip(" "), text[end : end + 2].lstrip(" ")
-    return bool(before) and before[-1] in OPEN_QUOTES and bool(after) and after[0] in CLOSE_QUOTES
+    while begin and text[begin - 1] == " ":
+        begin -= 1
+    while end < len(text) and text[end] == " ":
+        end += 1
+    return 0 < begin and end < len(text) and text[begin - 1] in W.OPEN_QUOTES and text[end] in W.CLOSE_QUOTES
+
+
+def _spoken_of(text: str, begin: int, end: int) -> bool:
+    """Whether a slot or value is quoted, or named as a marker."""
+    return _quoted(text, begin, end) or _word_before(text, begin).strip("(:,").lower() in W.MARKER_WORDS
+
+
+def _is_field(inside: str) -> bool:
+    words = inside.replace("_", " ").replace("-", " ").lower().split()
+    return bool(words) and all(w in W.FIELD_WORDS for w in words)
+
+
+@lru_cache(maxsize=1)
+def _instructions() -> re.Pattern:
+    return re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, W.INSTRUCTIONS), key=len, reverse=True)) + r")(?!\w)", re.IGNORECASE)
 
 
-def _names_a_marker(text: str, begin: int) -> bool:
-    words = text[max(0, begin - 40) : begin].rsplit("\n", 1)[-1].split()
-    return bool(words) and words[-1].strip("(:,").lower() in MARKER_WORDS
+def _is_slot(opener: str, inside: str) -> bool:
+    """Whether what stands between an opener and its closer is a slot."""
+    if not inside.strip() or "\n" in inside:
+        return False
+    if opener in _FREE:
+        return not any(c in inside for c in "{}") and any(c.isalpha() for c in inside)
+    if opener == "«":
+        name = inside.strip()
+        special = any(c in name for c in "_.-") or (not name.islower() and not name.istitle())
+        return bool(_NAME.fullmatch(name)) and " " not in name and (special or _is_field(name))
+    if opener in "[(<":
+        if _instructions().search(inside):
+            return True
+        words = inside.replace("_", " ").split()
+        return opener != "(" and inside.upper() == inside and all(w.isalpha() for w in words) and _is_field(inside) or opener == "[" and inside.lower().startswith("your ") and _is_field(inside)
+    if opener == "{":
+        return bool(_NAME.fullmatch(inside)) and " " not in inside
+    return bool(_NAME.fullmatch(inside))
 
 
-def _stands_for_something(text: str, begin: int, end: int) -> bool:
+def _stands_for_something(text: str, begin: int, end: int, value: str) -> bool:
     """Whether an empty value stands alone or where a name, number or date belongs, not in the flow of a sentence."""
-    line = text[max(0, begin - 60) : begin].rsplit("\n", 1)[-1].rstrip()
-    before = not line or line[-1] in ".!?)”»:(—" or line.split()[-1] in LABELS or line.endswith("]")
+    if value in W.PROGRAM_VALUES:
+        return True
+    word = _word_before(text, begin)
+    before = not word or word[-1] in ".!?)”»:(—]" or word.lower().rstrip(".") in W.LABELS
     return before and not _PROSE_AFTER.match(text, end)
 
 
+def _is_part_of_longer(text: str, begin: int, opener: str) -> bool:
+    """Whether an opener of one character is the end of a longer one."""
+    return opener in "{[<" and begin > 0 and text[begin - 1] in opener + "$#"
+
+
+def _read(text: str, lower: str) -> tuple[str | None, bool]:
+    """The first unfilled slot or empty value, and whether the text has anything that could make it residue."""
+    open_at: dict[str, int] = {}
+    telling = False
+    for last, (kind, length, pattern) in _automata()[0].iter(lower):
+        begin, end = last + 1 - length, last + 1
+        if kind == _STRONG or kind == _TELLING:
+            telling = telling or _whole(lower, begin, end)
+        elif kind == _EMPTY:
+            value = text[begin:end]
+            if (value in W.PROGRAM_VALUES or value in W.EMPTY_WORDS) and _whole(text, begin, end) and not _spoken_of(text, begin, end) and _stands_for_something(text, begin, end, value):
+                return value, telling
+        elif kind == _OPEN and pattern in _SYMMETRIC:
+            start = open_at.get(pattern)
+            if start is not None and begin >= start + 2:
+                del open_at[pattern]
+                if _is_slot(pattern, text[start + 2 : begin]) and not _spoken_of(text, start, end):
+                    return text[start:end], telling
+            open_at[pattern] = begin
+        elif kind == _OPEN:
+            open_at[pattern] = begin
+        else:
+            for opener, closer in _PAIRS.items():
+                start = open_at.get(opener) if closer == pattern else None
+                if start is None or start + len(opener) > begin:
+                    continue
+                del open_at[opener]
+                inside = text[start + len(opener) : begin]
+                if _is_slot(opener, inside) and not _is_part_of_longer(text, start, opener) and not _spoken_of(text, start, end):
+                    return text[start:end], telling
+    return None, telling
+
+
 def unfilled_slot(text: str) -> str | None:
-    """The first slot that was left unfilled or filled with an empty value; none in null texts."""
-    for found in _SLOT.finditer(text):
-        begin, end = found.span()
-        if name := found.group(1):
-            plain = name.islower() or name.istitle()
-            if plain and "_" not in name and "." not in name and "-" not in name and name.lower() not in SLOT_NAMES:
-                continue
-        if not _quoted(text, begin, end) and not _names_a_marker(text, begin):
-            return found.group()
-    for found in _EMPTY.finditer(text) if any(value in text for value in EMPTY_VALUES) else ():
-        begin, end = found.span()
-        if not _quoted(text, begin, end) and not _names_a_marker(text, begin) and _stands_for_something(text, begin, end):
-            return found.group()
-    return None
-
-
-def _body(text: str) -> str:
-    """What follows the heading and headnotes, if the text begins with a heading."""
-    text = text.strip()
-    part = _COURT_LINE.match(text)
-    at = 0
-    while part:
-        at = part.end()
-        part = _HEADING_LINE.match(text, at) or _HEADNOTE.match(text, at)
-    return text[at:].strip()
+    """The first slot that was left unfilled or filled with an empty value."""
+    return _read(text, _lower(text))[0]
 
 
 @lru_cache(maxsize=100_000)
-def _kind(word: str) -> int:
-    """Whether a word in lower case is ordinary, filler, neither, or filler that ordinary texts use too."""
-    if word in ORDINARY_WORDS:
-        return _ORDINARY
-    if word in SHARED_WORDS:
-        return _SHARED
-    return _FILLER if word in LOREM_WORDS or _FILLER_WORD.fullmatch(word) else _NEITHER
-
-
-def residue_coverage(body: str) -> float:
-    """Share of a text's letters that known phrases and filler words cover.
-
-    Filler words count where, outside the phrases, they are a larger share of the words than the ordinary ones are.
-    """
-    lower = body.lower()
-    if len(lower) != len(body):
-        body = lower
-    spans = []
-    for last, length in _phrases().iter(lower):
-        begin = last + 1 - length
-        # Phrases that are single words must not be parts of words.
-        if (begin == 0 or not lower[begin - 1].isalnum() or not lower[begin].isalnum()) and (last + 1 == len(lower) or not lower[last + 1].isalnum() or not lower[last].isalnum()):
-            spans.append((begin, last + 1))
-    kinds = [_kind(word) for word in _WORD.findall(lower)]
-    if not spans and kinds.count(_FILLER) <= kinds.count(_ORDINARY):
-        return 0.0
-    mask = bytearray(len(body))
+def _is_nonsense(word: str) -> bool:
+    """Whether a word in lower case is filler, a run on a keyboard, or one letter over and over."""
+    if word in W.NONSENSE or word in W.LATIN_WORDS:
+        return True
+    repeated = _REPEATED.fullmatch(word)
+    run = repeated.group(1) if repeated else word
+    return len(word) >= 3 and (len(set(word)) == 1 or (len(word) >= 4 and any(run in row or run in row[::-1] for row in W.KEYBOARD_ROWS)))
+
+
+def _is_babble(words: list[str]) -> bool:
+    """Whether words form no sentence: most are nonsense, or all look Latin, and hardly any holds a sentence together."""
+    small = [w for w in words if w[0].islower()]
+    if len(small) < LEAST_WORDS:
+        return bool(words) and all(w.lower() in W.NONSENSE for w in words)
+    held = sum(w in W.FUNCTION_WORDS and w not in W.LATIN_WORDS for w in small)
+    if held > MOST_FUNCTION_WORDS * len(small):
+        return False
+    if sum(map(_is_nonsense, small)) >= LEAST_NONSENSE * len(small):
+        return True
+    # Latin by its syllables only: more words are asked for, as words of living languages have such syllables too.
+    return len(small) >= 2 * LEAST_WORDS and all(map(_looks_latin, small))
+
+
+@lru_cache(maxsize=100_000)
+def _looks_latin(word: str) -> bool:
+    return bool(_LATIN.fullmatch(word))
+
+
+def _letters(text: str) -> int:
+    return len(_LETTER.findall(text))
+
+
+def _judge(sentence: str) -> tuple[int, int, bool]:
+    """(marked letters, letters, whether a strong fragment is among the marks) of a sentence; its function words are no letters where something is marked."""
+    plain = _CODE.sub(" ", _PATH.sub(" ", sentence))
+    spans = [m.span() for m in _FRAME.finditer(plain)]
+    lower, strong = _lower(plain), bool(spans)
+    for last, (kind, length, _) in _automata()[1].iter(lower):
+        begin, end = last + 1 - length, last + 1
+        if _whole(lower, begin, end):
+            spans.append((begin, end))
+            strong = strong or kind == _STRONG
+    words = list(_WORD.finditer(plain))
+    letters = _letters(plain)
+    if not spans or (not strong and plain != sentence and len(words) <= 3):
+        # A label and its code say nothing.
+        return 0, 0 if plain != sentence and len(words) <= 3 else letters, False
+    marked = bytearray(len(plain))
     for begin, end in spans:
-        mask[begin:end] = b"\x01" * (end - begin)
-    outside = [word.span() for word in _WORD.finditer(lower) if not mask[word.start()]]
-    kinds = [_kind(lower[begin:end]) for begin, end in outside]
-    if kinds.count(_FILLER) > kinds.count(_ORDINARY):
-        for (begin, end), kind in zip(outside, kinds, strict=True):
-            if kind in (_FILLER, _SHARED):
-                mask[begin:end] = b"\x01" * (end - begin)
-    covered = sum(mask)
-    if covered < LEAST_COVERED and not (spans and len(body) < 80):
-        return 0.0
-    for neutral in _NEUTRAL.finditer(body):
-        for k in range(*neutral.span()):
-            if not mask[k]:
-                mask[k] = 2
-    letters = sum(1 for c, m in zip(body, mask, strict=True) if m != 2 and not c.isspace())
-    marked = sum(1 for c, m in zip(body, mask, strict=True) if m == 1 and not c.isspace())
-    return marked / letters if letters else 0.0
+        marked[begin:end] = b"\x01" * (end - begin)
+    covered = sum(_letters(plain[m.start() : m.end()]) for m in re.finditer(b"\x01+", marked))
+    letters -= sum(len(w.group()) for w in words if w.group().lower() in W.FUNCTION_WORDS and not marked[w.start()])
+    return letters if covered >= LEAST_OF_SENTENCE * letters else covered if strong else 0, letters, strong
+
+
+def _judge_line(line: str) -> tuple[int, int, bool]:
+    if _is_babble(_WORD.findall(_CODE.sub(" ", line))):
+        return (n := _letters(line)), n, True
+    judged = [_judge(s) for s in _SENTENCE.findall(line) if s.strip()]
+    # Sentences of weak fragments count beside one with a strong fragment.
+    found = any(strong for _, _, strong in judged)
+    return sum(m for m, _, _ in judged) if found else 0, sum(n for _, n, _ in judged), found
+
+
+def _is_sentence(line: str) -> bool:
+    """Whether a line ends like a sentence, not with an abbreviation, and has a word that holds one together."""
+    return bool(_SENTENCE_END.search(line)) and "." not in line.split()[-1].rstrip(".") and any(w in W.FUNCTION_WORDS for w in _WORD.findall(line))
+
+
+def residue_coverage(text: str) -> float:
+    """Share of the letters of a text's body that marks cover; 0 where there is no body."""
+    marked = total = 0
+    heading = True
+    for line in map(str.strip, text.split("\n")):
+        if not line:
+            continue
+        if _NAVIGATION.fullmatch(line) and all(len(part.split()) <= 3 for part in re.split("[·|›»•]", line)):
+            continue
+        own, letters, found = _judge_line(line)
+        label = _LABELLED.match(line) if heading else None
+        if heading and (own < LEAST_COVERAGE * letters and not _judge(label.group())[2] if label else not found and not _is_sentence(line)):
+            continue
+        heading = False
+        marked += own
+        total += letters
+    return marked / total if total else 0.0
+
+
+def _may_be_babble(text: str) -> bool:
+    """Whether a text has so few function words that some of it may be no sentence."""
+    words = _WORD.findall(text)
+    return sum(w in W.FUNCTION_WORDS for w in words) <= 0.3 * len(words)
 
 
 def reason_of(text: str | None) -> str | None:
-    """``slot`` or ``residue``; null for other texts, also null, empty and very short ones."""
+    """``slot`` or ``residue``; null for other texts, also null and empty ones and those without any letter."""
     if not text:
         return None
-    plain = text.replace("\xa0", " ").replace("\t", " ")
-    for invisible in _INVISIBLE:
-        plain = plain.replace(invisible, "")
-    if len(plain.strip()) < 4:
-        return None
-    if unfilled_slot(plain):
+    plain = text.translate(_INVISIBLE)
+    slot, telling = _read(plain, _lower(plain))
+    if slot:
         return "slot"
-    return "residue" if residue_coverage(_body(plain)) >= LEAST_COVERAGE else None
+    if not telling and not _may_be_babble(plain):
+        return None
+    return "residue" if residue_coverage(plain) >= LEAST_COVERAGE else None
 
 
 def find_residue(documents: DataFrame, key: str, text: str) -> DataFrame:

@@ -79,3 +79,18 @@ def test_corpus(spark, small):
     found = queries.p9_found(spark, small)
     assert found.dtypes == [("doc_id", "bigint")]
     assert found.count() == found.distinct().count() > 0
+
+
+def test_time_grows_with_the_length_alone():
+    import time
+
+    for piece in ("(", "{{", "__", "[[x ", "«a ", "null,", "lorem ", "<<", "not found ", "{{a", "%%x ", "qwertyqwerty"):
+        began = time.perf_counter()
+        reason_of(piece * 100_000)
+        assert time.perf_counter() - began < 5, piece
+
+
+def test_slots_of_any_length():
+    assert unfilled_slot("The sum of {{ " + "a" * 500 + " }} is due.") is not None
+    assert unfilled_slot("The sum of [INSERT " + "THE VERY LONG NAME " * 20 + "] is due.") is not None
+    assert unfilled_slot("see {this\nand that}") is None
