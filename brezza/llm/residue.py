@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import product
 
 import ahocorasick
 import pyarrow as pa
@@ -38,24 +39,21 @@ LEAST_WORDS, MOST_FUNCTION_WORDS = 4, 0.15
 LEAST_NONSENSE = 0.6
 
 _STRONG, _WEAK, _OPEN, _CLOSE, _EMPTY, _TELLING = range(6)
+_LONG_WORD = 64
 _SYMMETRIC = ("@@", "%%", "$$", "__")
 _PAIRS = {"{{": "}}", "${": "}", "#{": "}", "{%": "%}", "<%": "%>", "<<": ">>", "[[": "]]", "&lt;": "&gt;", "{": "}", "«": "»", "[": "]", "(": ")", "<": ">"}
 _FREE = ("{{", "${", "#{", "{%", "<%")
 _NAME = re.compile(r":?\s*[A-Za-z][\w.-]*\s*:?")
-_SENTENCE = re.compile(r"[^\n.!?…]*(?:[.!?…]+(?=\s|$)|[.!?…](?=\S)[^\n.!?…]*)*[.!?…]*")
+_SENTENCES = re.compile(r"(?<=[.!?…])\s+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _LETTER = re.compile(r"[^\W\d_]")
-_CODE = re.compile(r"\S*\d\S*")
-_PATH = re.compile(r"\S*[/\\]\S*[/\\]\S+")
-_FRAME = re.compile(r"File \"[^\"\n]*\"(?:, line \d+)?(?:, in \S+)?|\bat [\w.$<>]+\([^)\n]*\)|\b\w*(?:Error|Exception|Failure|Warning)\b|\{main\}|\bin /\S+")
+_FRAME = re.compile(r"File \"[^\"\n]*\"(?:, line \d+)?(?:, in \S+)?|\bat [\w.$<>]+\([^()\n]*\)|\b\w*(?:Error|Exception|Failure|Warning)\b|\{main\}|\bin /\S+")
 _NAVIGATION = re.compile(r"\s*[^\n·|›»•]+(?:[·|›»•][^\n·|›»•]*)+")
 _SENTENCE_END = re.compile(r"[.!?…;][\"'»”’)\]]*$")
 _LABELLED = re.compile(r"[^\W\d_][^\n:.!?]*:\s")
 _PROSE_AFTER = re.compile(r"\s+(?:and|und|et|ed?|of|des?|der|die|in|to)\b")
-_INVISIBLE = str.maketrans({**{c: None for c in "​‌‍⁠﻿­\r"}, "\xa0": " ", "\t": " "})
+_INVISIBLE = "\u200b\u200c\u200d\u2060\ufeff\u00ad\r"
 _REPEATED = re.compile(r"(.{3,}?)\1+")
-_LATIN = re.compile(rf"(?:(?:{W.LATIN_ONSETS})?(?:{W.LATIN_VOWELS})(?:{W.LATIN_CODAS})?)+")
-
 _LONGEST = max(map(len, W.LABELS | W.MARKER_WORDS)) + 3
 
 _compiled: list[tuple[ahocorasick.Automaton, ahocorasick.Automaton]] = []
@@ -72,9 +70,9 @@ def _automata() -> tuple[ahocorasick.Automaton, ahocorasick.Automaton]:
             second.add_word(phrase, (_STRONG, len(phrase), phrase))
         for phrase in weak:
             second.add_word(phrase, (_WEAK, len(phrase), phrase))
-        for word in W.NONSENSE:
-            if word not in strong:
-                first.add_word(word, (_TELLING, len(word), word))
+        for part in W.PROGRAM_ERRORS:
+            if part not in strong:
+                first.add_word(part, (_TELLING, len(part), part))
         for text in (*W.PROGRAM_VALUES, *W.EMPTY_WORDS):
             first.add_word(text.lower(), (_EMPTY, len(text), text.lower()))
         for opener, closer in _PAIRS.items():
@@ -172,8 +170,10 @@ def _read(text: str, lower: str) -> tuple[str | None, bool]:
     telling = False
     for last, (kind, length, pattern) in _automata()[0].iter(lower):
         begin, end = last + 1 - length, last + 1
-        if kind == _STRONG or kind == _TELLING:
-            telling = telling or _whole(lower, begin, end)
+        if kind == _STRONG:
+            telling = telling or pattern in W.PROGRAM_ERRORS or _whole(lower, begin, end)
+        elif kind == _TELLING:
+            telling = True
         elif kind == _EMPTY:
             value = text[begin:end]
             if (value in W.PROGRAM_VALUES or value in W.EMPTY_WORDS) and _whole(text, begin, end) and not _spoken_of(text, begin, end) and _stands_for_something(text, begin, end, value):
@@ -204,7 +204,6 @@ def unfilled_slot(text: str) -> str | None:
     return _read(text, _lower(text))[0]
 
 
-@lru_cache(maxsize=100_000)
 def _is_nonsense(word: str) -> bool:
     """Whether a word in lower case is filler, a run on a keyboard, or one letter over and over."""
     if word in W.NONSENSE or word in W.LATIN_WORDS:
@@ -228,18 +227,41 @@ def _is_babble(words: list[str]) -> bool:
     return len(small) >= 2 * LEAST_WORDS and all(map(_looks_latin, small))
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=1)
+def _syllables() -> frozenset[str]:
+    return frozenset("".join(parts) for parts in product(("", *W.LATIN_ONSETS), W.LATIN_VOWELS, ("", *W.LATIN_CODAS)))
+
+
+def _is_syllables(word: str) -> bool:
+    known, longest, reached = _syllables(), max(map(len, _syllables())), bytearray(len(word) + 1)
+    reached[0] = 1
+    for end in range(1, len(word) + 1):
+        reached[end] = any(reached[begin] and word[begin:end] in known for begin in range(max(0, end - longest), end))
+        if not any(reached[max(0, end - longest) : end + 1]):
+            return False
+    return bool(reached[-1])
+
+
+_remembered_syllables = lru_cache(maxsize=100_000)(_is_syllables)
+
+
 def _looks_latin(word: str) -> bool:
-    return bool(_LATIN.fullmatch(word))
+    """Whether a word is made of Latin syllables."""
+    return word.isascii() and (_remembered_syllables(word) if len(word) <= _LONG_WORD else _is_syllables(word))
 
 
 def _letters(text: str) -> int:
     return len(_LETTER.findall(text))
 
 
+def _without_codes(text: str) -> str:
+    """A text without paths and words that hold a digit."""
+    return " ".join(w for w in text.split() if not any(map(str.isdigit, w)) and w.count("/") + w.count("\\") < 2)
+
+
 def _judge(sentence: str) -> tuple[int, int, bool]:
     """(marked letters, letters, whether a strong fragment is among the marks) of a sentence; its function words are no letters where something is marked."""
-    plain = _CODE.sub(" ", _PATH.sub(" ", sentence))
+    plain = _without_codes(sentence)
     spans = [m.span() for m in _FRAME.finditer(plain)]
     lower, strong = _lower(plain), bool(spans)
     for last, (kind, length, _) in _automata()[1].iter(lower):
@@ -249,9 +271,11 @@ def _judge(sentence: str) -> tuple[int, int, bool]:
             strong = strong or kind == _STRONG
     words = list(_WORD.finditer(plain))
     letters = _letters(plain)
-    if not spans or (not strong and plain != sentence and len(words) <= 3):
+    if not strong and len(words) <= 3 and len(plain.split()) < len(sentence.split()):
         # A label and its code say nothing.
-        return 0, 0 if plain != sentence and len(words) <= 3 else letters, False
+        return 0, 0, False
+    if not spans:
+        return 0, letters, False
     marked = bytearray(len(plain))
     for begin, end in spans:
         marked[begin:end] = b"\x01" * (end - begin)
@@ -260,10 +284,14 @@ def _judge(sentence: str) -> tuple[int, int, bool]:
     return letters if covered >= LEAST_OF_SENTENCE * letters else covered if strong else 0, letters, strong
 
 
-def _judge_line(line: str) -> tuple[int, int, bool]:
-    if _is_babble(_WORD.findall(_CODE.sub(" ", line))):
-        return (n := _letters(line)), n, True
-    judged = [_judge(s) for s in _SENTENCE.findall(line) if s.strip()]
+def _judge_line(line: str, telling: bool) -> tuple[int, int, bool]:
+    """(marked letters, letters, whether anything is marked) of a line; without ``telling`` fragments only babble may be marked."""
+    words = _WORD.findall(line)
+    if _is_babble(words):
+        return (n := sum(map(len, words))), n, True
+    if not telling:
+        return 0, sum(map(len, words)), False
+    judged = [_judge(s) for s in _SENTENCES.split(line)]
     # Sentences of weak fragments count beside one with a strong fragment.
     found = any(strong for _, _, strong in judged)
     return sum(m for m, _, _ in judged) if found else 0, sum(n for _, n, _ in judged), found
@@ -274,42 +302,49 @@ def _is_sentence(line: str) -> bool:
     return bool(_SENTENCE_END.search(line)) and "." not in line.split()[-1].rstrip(".") and any(w in W.FUNCTION_WORDS for w in _WORD.findall(line))
 
 
-def residue_coverage(text: str) -> float:
-    """Share of the letters of a text's body that marks cover; 0 where there is no body."""
+def residue_coverage(text: str, telling: bool = True) -> float:
+    """Share of the letters of a text's body that marks cover; 0 where there is no body, or where it must stay below ``LEAST_COVERAGE``."""
     marked = total = 0
-    heading = True
-    for line in map(str.strip, text.split("\n")):
+    heading, left = True, len(text)
+    for line in text.split("\n"):
+        left -= len(line)
+        line = line.strip()
         if not line:
             continue
         if _NAVIGATION.fullmatch(line) and all(len(part.split()) <= 3 for part in re.split("[·|›»•]", line)):
             continue
-        own, letters, found = _judge_line(line)
+        own, letters, found = _judge_line(line, telling)
         label = _LABELLED.match(line) if heading else None
-        if heading and (own < LEAST_COVERAGE * letters and not _judge(label.group())[2] if label else not found and not _is_sentence(line)):
+        if heading and (own < LEAST_COVERAGE * letters and not (telling and _judge(label.group())[2]) if label else not found and not _is_sentence(line)):
             continue
         heading = False
         marked += own
         total += letters
+        if marked + left < LEAST_COVERAGE * (total + left):
+            return 0.0
     return marked / total if total else 0.0
 
 
-def _may_be_babble(text: str) -> bool:
-    """Whether a text has so few function words that some of it may be no sentence."""
-    words = _WORD.findall(text)
-    return sum(w in W.FUNCTION_WORDS for w in words) <= 0.3 * len(words)
+def _plain(text: str) -> str:
+    """A text without invisible characters, with plain spaces."""
+    for other in ("\xa0", "\t"):
+        if other in text:
+            text = text.replace(other, " ")
+    for invisible in _INVISIBLE:
+        if invisible in text:
+            text = text.replace(invisible, "")
+    return text
 
 
 def reason_of(text: str | None) -> str | None:
     """``slot`` or ``residue``; null for other texts, also null and empty ones and those without any letter."""
     if not text:
         return None
-    plain = text.translate(_INVISIBLE)
+    plain = _plain(text)
     slot, telling = _read(plain, _lower(plain))
     if slot:
         return "slot"
-    if not telling and not _may_be_babble(plain):
-        return None
-    return "residue" if residue_coverage(plain) >= LEAST_COVERAGE else None
+    return "residue" if residue_coverage(plain, telling) >= LEAST_COVERAGE else None
 
 
 def find_residue(documents: DataFrame, key: str, text: str) -> DataFrame:

@@ -17,7 +17,7 @@ ERRORS = {
         has been moved|has been removed|access denied|permission denied|don't have permission|do not have permission|forbidden|unauthorized|unauthorised|not authorized|not authorised|bad request|bad gateway|gateway|server error|
         an error|unexpected error|unknown error|fatal error|error occurred|error has occurred|error code|http error|error|went wrong|oops|whoops|try again|retry|refresh the page|session|expired|log in|sign in|timed out|timeout|
         too many requests|rate limit|scheduled maintenance|down for maintenance|maintenance|temporarily|not be loaded|could not load|failed to load|unable to load|could not be opened|cannot be displayed|could not be delivered|
-        could not be retrieved|unable to complete|unable to connect|unable to handle|unable to access|can't connect|cannot connect|database connection|access to this|denied|blocked|interrupted|network change|exhausted|can't be reached|cannot be reached|took too long|isn't working|did not answer|did not respond|not responding|connection refused|connection reset|connection to|
+        could not be retrieved|unable to complete|unable to connect|unable to handle|unable to access|can't connect|cannot connect|database connection|access to this|denied|blocked|interrupted|network change|exhausted|can't be reached|cannot be reached|took too long|isn't working|did not answer|did not respond|not responding|connection refused|connection reset|connection was reset|connection to|
         invalid|missing|uncaught|exception|traceback|most recent call last|stack trace|null pointer|segmentation fault|core dumped|no such file|not implemented|method not allowed|service is down|overloaded|contact the administrator|
         contact support|quota exceeded|upstream|proxy error|host error|dns|file not|in fetch|stack overflow|out of memory|syntax error|warning"""),
     "it": _listed("""non trovata|non trovato|non è stata trovata|non è stato trovato|impossibile trovare|non esiste|non disponibile|non è disponibile|non più disponibile|non è più disponibile|accesso negato|accesso non autorizzato|non autorizzato|
@@ -40,7 +40,7 @@ SCRIPTS = {
         loading|please wait|just a moment|one moment|redirected|redirecting|being checked|checking your|ad blocker|adblocker|turn them on|enable it|will not work without|reload|requires flash|plugin"""),
     "it": _listed("gli script|script|abilita i cookie|abilitare i cookie|i cookie|il tuo browser|il browser|il suo browser|un robot|sei umano|essere umano|verifica di sicurezza|caricamento|attendere prego|attendi|ricaricare|ricarica|reindirizzato"),
     "de": _listed("skripte|skripts|cookies aktivieren|ihr browser|dein browser|der browser|kein roboter|ein mensch|sicherheitsprüfung|wird geladen|lädt|laden sie|bitte warten|einen moment|neu laden|weitergeleitet|erforderlich"),
-    "fr": _listed("les scripts|scripts|activer les cookies|les cookies|votre navigateur|ton navigateur|le navigateur|un robot|êtes humain|vérification de sécurité|chargement|veuillez patienter|un instant|recharger|rechargez|redirigé"),
+    "fr": _listed("les scripts|scripts|activer les cookies|les cookies|votre navigateur|ton navigateur|le navigateur|un robot|n'êtes pas un robot|vérification que|êtes humain|vérification de sécurité|chargement|veuillez patienter|un instant|recharger|rechargez|redirigé"),
     "more": _listed("su navegador|tu navegador|habilite|habilitar|active javascript|un robot|cargando|espere|seu navegador|habilite|ative|carregando|aguarde|uw browser|je browser|schakel|inschakelen|bezig met laden|even geduld"),
 }
 
@@ -64,7 +64,7 @@ CARRIERS = {
         please|you need to|you must|need to|must|needs|requires|required|enable|enabled|disable|disabled|turn on|switch on|switched off|turned off|activate|allow|allowed|support|supported|does not support|view|run|use|read|open|opening|display|
         work|properly|correctly|continue|to continue|proceed|reload the page|go back|back to|return to|home|homepage|home page|search|help|contact|administrator|webmaster|later|again|in a few|minutes|seconds|moments|wait|click|button|below|
         looking for|you asked for|you requested|you are|you have|your|for this|this is|on this|of this|in your|settings|account|password|user|the following|occurred|processing|process|while|verify|confirm|complete|proof|security|
-        sorry|section|inline|purposes|own|try|site's|reference number|change|detected|apologise|apologize|inconvenience|we|our|we're|it may have been|has occurred|have been|nothing happens|if nothing|before|replace|with the|show|shows|first|second|body|here|kind|report|detail|id"""),
+        sorry|looks like|section|inline|purposes|own|try|site's|reference number|change|detected|apologise|apologize|inconvenience|we|our|we're|it may have been|has occurred|have been|nothing happens|if nothing|before|replace|with the|show|shows|first|second|body|here|kind|report|detail|id"""),
     "it": _listed("""pagina|pagine|sito|applicazione|documento|risorsa|indirizzo|contenuto|testo|paragrafo|sentenza|decisione|portale|server|servizio|sistema|rete|browser|richiesta|richiesto|richiesti|richiede|per favore|si prega di|è necessario|
         bisogna|deve|devi|occorre|attivare|attiva|attivato|abilitare|abilita|abilitato|disabilitato|disattivato|consentire|supporta|non supporta|visualizzare|utilizzare|usare|leggere|aprire|continuare|per continuare|proseguire|torna|tornare|
         ricerca|contatta|contattare|amministratore|più tardi|tardi|di nuovo|minuti|secondi|qualche|stai cercando|che stai|cercata|cercato|spiacenti|ci dispiace|imprevisto|impostazioni|utente|verifica|conferma|confermare|questa|questo|sistema|programmata|al momento|nel tuo|da questo|del server|interno|qui|prova"""),
@@ -77,6 +77,9 @@ CARRIERS = {
     "more": _listed("página|busca|aplicación|documento solicitado|sitio|documento|servidor|servicio|navegador|por favor|solicitada|solicitado|más tarde|de nuevo|más|tarde|esta|javascript|serviço|solicitada|mais tarde|pagina|deze|dienst|later|gevraagde|alstublieft"),
 }
 
+# Parts of the names that programs give their errors.
+PROGRAM_ERRORS = ("error", "exception", "failure", "warning")
+
 # Words by themselves that stand for text where nothing has been written.
 NONSENSE = frozenset("foo bar baz qux quux blah bla yada xxx yyy zzz asdf qwer test testing text dummy sample lorem ipsum lipsum todo tbd tbc tba".split())
 # Rows of the usual keyboards.
@@ -98,9 +101,9 @@ aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit
 vivamus pellentesque morbi tristique senectus malesuada vestibulum tortor feugiat ultricies mauris nec vel sus praesent at vero eos accusamus iusto odio ducimus
 """.split())
 # Parts of Latin syllables.
-LATIN_ONSETS = "qu|[bcdfgpt][lr]|s[cpt]r?|ps|gn|[bcdfghlmnprstv]"
-LATIN_VOWELS = "ae|oe|au|eu|ui|i[aou]|[aeiou]"
-LATIN_CODAS = "nct|ns|nt|nc|rs|st|ps|[bcdlmnprstx]"
+LATIN_ONSETS = ("qu", *(a + b for a in "bcdfgpt" for b in "lr"), "sc", "sp", "st", "scr", "spr", "str", "ps", "gn", *"bcdfghlmnprstv")
+LATIN_VOWELS = ("ae", "oe", "au", "eu", "ui", "ia", "io", "iu", *"aeiou")
+LATIN_CODAS = ("nct", "ns", "nt", "nc", "rs", "st", "ps", *"bcdlmnprstx")
 
 # What the fields of a template are called, in several languages.
 FIELD_WORDS = frozenset("""
