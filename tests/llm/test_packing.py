@@ -70,27 +70,64 @@ def test_one_document_holds_a_third_of_the_rows(spark, monkeypatch):
     assert len(fill) <= sum(s for _, s in documents) / 2000 * 1.06
 
 
+def hard(n, seed, kind):
+    """Sizes between a quarter and a half of the capacity, or triples that fill containers exactly."""
+    chance = random.Random(seed)
+    if kind == "quarter to half":
+        return [chance.randrange(512, 1024) for _ in range(n)]
+    sizes = []
+    while len(sizes) < n:
+        a, b = chance.randrange(532, 778), chance.randrange(532, 778)
+        sizes += [a, b, 2048 - a - b]
+    return sizes
+
+
 def test_evolution_beats_or_equals_best_fit():
     chance = random.Random(7)
     for n in (1, 2, 40, 300):
         sizes = [chance.randrange(200, 900) for _ in range(n)]
         plain = packing.best_fit(sizes, sorted(range(n), key=lambda i: -sizes[i]), 1000)
-        best = packing.evolve(sizes, 1000, 3, generations=40)
+        best = packing.evolve(sizes, 1000, 3)[0]
         assert sorted(i for b in best for i in b) == list(range(n))
         assert all(sum(sizes[i] for i in b) <= 1000 for b in best)
         assert len(best) <= len(plain)
 
 
-def test_evolution_finds_what_best_fit_misses():
-    """Triples that fill containers exactly."""
-    chance = random.Random(11)
-    sizes = []
-    for _ in range(20):
-        a, b = chance.randrange(260, 380), chance.randrange(260, 380)
-        sizes += [a, b, 1000 - a - b]
-    plain = packing.best_fit(sizes, sorted(range(60), key=lambda i: -sizes[i]), 1000)
-    best = packing.evolve(sizes, 1000, 5, population=12, generations=600)
-    assert len(best) < len(plain)
+@pytest.mark.parametrize("kind", ["quarter to half", "triples"])
+@pytest.mark.parametrize("island", range(packing.ISLANDS))
+def test_each_island_gains_over_best_fit_with_the_settings_of_the_query(kind, island):
+    sizes = hard(600, 5, kind)
+    plain = packing.best_fit(sizes, sorted(range(600), key=lambda i: -sizes[i]), 2048)
+    assert len(packing.evolve(sizes, 2048, 5, island=island)[0]) < len(plain) * 0.97
+
+
+@pytest.mark.parametrize("kind", ["quarter to half", "triples"])
+def test_the_operator_gains_over_best_fit(spark, kind):
+    """With the query's own settings, shards and all, against best fit of all items at once."""
+    sizes = hard(3000, 6, kind)
+    plain = packing.best_fit(sizes, sorted(range(3000), key=lambda i: -sizes[i]), 2048)
+    documents = list(enumerate(sizes))
+    used = check(packed(spark, documents, 2048), 2048, documents)
+    assert used < len(plain) * 0.97, (used, len(plain), -(-sum(sizes) // 2048))
+
+
+def test_containers_do_not_depend_on_partitions(spark):
+    chance = random.Random(2)
+    documents = [(k, chance.randrange(1, 3000)) for k in range(2500)] + [(7, 300)] * 3
+    results = []
+    for partitions in (1, 7):
+        chance.shuffle(documents)
+        df = spark.createDataFrame(documents, "doc_id bigint, tokens bigint").repartition(partitions)
+        results.append(sorted((r.container or "", r.doc_id, r.part, r.tokens) for r in packing.pack(df, "doc_id", "tokens").collect()))
+    assert results[0] == results[1]
+
+
+def test_invariants_tell_a_bad_packing(spark):
+    sized = spark.createDataFrame([(1, 10), (2, 25), (3, None), (4, 5)], "doc_id bigint, tokens bigint")
+    rows = [(1, 0, 0, 10, "a"), (2, 0, 0, 25, "b"), (3, 0, 0, 0, None), (4, 0, 0, 4, "a")]
+    bad = spark.createDataFrame(rows, "doc_id bigint, part int, start bigint, tokens bigint, container string")
+    got = {r.doc_id: (r.kept, r.fits, r.unsplit) for r in packing.invariants(bad, sized, "doc_id", "tokens", 12).collect()}
+    assert got == {1: (True, False, True), 2: (True, False, False), 3: (True, True, True), 4: (False, False, True)}
 
 
 def test_crossover_keeps_every_item_once():
