@@ -39,10 +39,10 @@ def _latest_feed(spark: SparkSession, directory: str) -> DataFrame:
     feed = table(spark, directory, "stg_arpae__measurements")
     key = [*SERIES, "measured_at_utc"]
     latest = relational.latest_per_key(feed.select(*key, "concentration_ugm3", "value_original", "unit_original", F.struct("ingested_at", "row_id").alias("_at")), key, "_at")
-    conversions = units.conversion_table(table(spark, directory, "arpae_pollutants"), "pollutant_id", "ug_per_ppb").withColumnRenamed("pollutant_id", "_quantity")
+    conversions = units.conversion_table(table(spark, directory, "arpae_pollutants"), "pollutant_id", "ug_per_ppb")
     stated = latest.withColumn("_unit", units.stated_unit(F.col("unit_original")))
-    matched = stated.join(conversions, (F.col("pollutant_id") == F.col("_quantity")) & (F.col("_unit") == F.col("spelling")), "left")
-    return matched.select(*key, F.coalesce("concentration_ugm3", F.col("value_original") * F.col("factor") + F.col("shift")).alias("concentration_ugm3"))
+    converted = units.convert(stated, "pollutant_id", "_unit", "value_original", conversions, [*key, "concentration_ugm3"])
+    return converted.select(*key, F.coalesce("concentration_ugm3", "converted").alias("concentration_ugm3"))
 
 
 def p1_corrected(spark: SparkSession, directory: str) -> DataFrame:
@@ -139,7 +139,8 @@ def p4_impossible(spark: SparkSession, directory: str) -> DataFrame:
     return flagged.select(*SERIES, instant_text(F.col("measured_at_utc")).alias("measured_at"), "concentration_ugm3")
 
 
-def p5_found(spark: SparkSession, directory: str) -> DataFrame:
+def _unit_records(spark: SparkSession, directory: str) -> list[DataFrame]:
+    """``src, record_key, converted, status`` of the three kinds of record."""
     pollutants = table(spark, directory, "arpae_pollutants")
     by_code = units.conversion_table(pollutants, "archive_parameter_id", "ug_per_ppb")
     by_id = units.conversion_table(pollutants, "pollutant_id", "ug_per_ppb")
@@ -157,16 +158,33 @@ def p5_found(spark: SparkSession, directory: str) -> DataFrame:
         .where(F.col("concentration_ugm3").isNull())
         .select(F.col("row_id").cast("string").alias("record_key"), F.col("pollutant_id").alias("quantity"), F.col("value_original").alias("value"), units.stated_unit(F.col("unit_original")).alias("unit"))
     )
-    keyed = [F.col("src"), F.col("record_key")]
     parts = [("rest", rest, by_code), ("csv", rows, by_id), ("stg", feed, by_id)]
-    found = [
-        units.convert(records.withColumn("src", F.lit(src)), "quantity", "unit", "value", conversions, ["src", "record_key"]).select(*keyed, F.round(F.col("converted") * 1000).cast("bigint").alias("ng_m3"))
-        for src, records, conversions in parts
-    ]
+    return [units.convert(records.withColumn("src", F.lit(src)), "quantity", "unit", "value", conversions, ["src", "record_key"]) for src, records, conversions in parts]
+
+
+def p5_found(spark: SparkSession, directory: str) -> DataFrame:
+    found = [part.where("status = 'ok'").select("src", "record_key", F.round(F.col("converted") * 1000).cast("bigint").alias("ng_m3")) for part in _unit_records(spark, directory)]
     # The feed's row_id is unique; the other two deliver some records twice.
     return found[0].unionByName(found[1]).distinct().unionByName(found[2])
 
 
+def p5_statuses(spark: SparkSession, directory: str) -> DataFrame:
+    """What came of the records of each kind: how many, by status."""
+    rest, rows, feed = _unit_records(spark, directory)
+    return rest.unionByName(rows).unionByName(feed).groupBy("src", "status").agg(F.count(F.lit(1)).alias("records"))
+
+
+def p5_temperatures(spark: SparkSession, directory: str) -> DataFrame:
+    """Conversions with a shift: the customers' balances taken as temperatures, in Fahrenheit, kelvin or Celsius by nation, all brought to Celsius."""
+    scale = F.pmod(F.col("c_nationkey"), F.lit(4))
+    unit = F.when(scale == 0, "°F").when(scale == 1, "K").when(scale == 2, " °C ").otherwise("degF")
+    readings = table(spark, directory, "customer").select("c_custkey", F.lit("temperature").alias("quantity"), F.col("c_acctbal").cast("double").alias("value"), plain_unit(unit).alias("unit"))
+    quantities = spark.range(1).select(F.lit("temperature").alias("quantity"), F.lit(None).cast("double").alias("per"))
+    conversions = units.conversion_table(quantities, "quantity", "per", ["degC"])
+    converted = units.convert(readings, "quantity", "unit", "value", conversions, ["c_custkey"], F.lit("degC"))
+    return converted.select("c_custkey", F.round("converted", 6).alias("degrees_c"), "status")
+
+
 def _station_versions(spark: SparkSession, directory: str) -> DataFrame:
     earlier = table(spark, directory, "snap_arpae__stations").withColumnsRenamed({"dbt_valid_from": "valid_from", "dbt_valid_to": "valid_to"})
     return history.snapshot_versions(table(spark, directory, "stg_arpae__stations"), SERIES, STATION_ATTRIBUTES, "extracted_on", "loaded_at", earlier)
@@ -179,7 +197,7 @@ def p6_found(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (p1_found, p1_rolling, p1_corrected, p2_found, p2_series, p2_counter, p3_found, p3_feed, p4_found, p4_impossible, p5_found, p6_found)
+    for f in (p1_found, p1_rolling, p1_corrected, p2_found, p2_series, p2_counter, p3_found, p3_feed, p4_found, p4_impossible, p5_found, p5_statuses, p5_temperatures, p6_found)
 }
 
 _P1_GRID = """
@@ -217,6 +235,23 @@ factors(spelling, kind, factor) as (values
   ('ppm', 'ratio', 1000.0), ('ppmv', 'ratio', 1000.0), ('umol/mol', 'ratio', 1000.0))
 """
 
+_UNIT_RECORDS = """
+records as (
+  select 'rest' as src, _id as record_key, p.pollutant_id as quantity, p.ug_per_ppb, r.value,
+    case when trim(coalesce(parameter_unit, '')) in ('', '-', 'n.d.')
+      then coalesce(nullif(regexp_extract(series_name, '[(\\[]([^()\\[\\]]+)[)\\]]$', 1), ''), nullif(regexp_extract(series_name, ' - (.+)$', 1), ''), nullif(regexp_extract(series_name, ' in (.+)$', 1), ''))
+      else parameter_unit end as unit
+  from measurement_record r left join arpae_pollutants p on p.archive_parameter_id = r.parameter_id
+  union all
+  select 'csv', file_name || '#' || row_no, p.pollutant_id, p.ug_per_ppb,
+    try_cast(case when n like '%,%' then replace(replace(n, '.', ''), ',', '.') else n end as double),
+    case when trim(coalesce(um, '')) in ('', '-', 'n.d.') then trim(regexp_extract(valore, '^\\s*[0-9.,]+(?:[eE][+-]?[0-9]+)?\\s*\\[?([^\\]]*)\\]?', 1)) else um end
+  from (select *, regexp_extract(trim(valore), '^[+-]?[0-9.,]+(?:[eE][+-]?[0-9]+)?') as n from csv_row) c left join arpae_pollutants p on p.pollutant_id = c.id_param
+  union all
+  select 'stg', cast(row_id as varchar), p.pollutant_id, p.ug_per_ppb, value_original, unit_original
+  from stg_arpae__measurements m left join arpae_pollutants p using (pollutant_id) where concentration_ugm3 is null)
+"""
+
 STATION_HISTORY = """
 with days as (select day, row_number() over (order by day) as k from (select distinct extracted_on as day from stg_arpae__stations)),
 tidy as (
@@ -286,24 +321,17 @@ select m.station_id, m.pollutant_id, strftime(m.measured_at_utc, '%Y-%m-%d %H:%M
 from int_measurements_deduplicated m left join arpae_pollutants p using (pollutant_id)
 where m.concentration_ugm3 < 0 or m.concentration_ugm3 > p.max_plausible_ugm3""",
     "p5_found": f"""
-with {_FACTORS},
-records as (
-  select 'rest' as src, _id as record_key, p.ug_per_ppb, r.value,
-    case when trim(coalesce(parameter_unit, '')) in ('', '-', 'n.d.')
-      then coalesce(nullif(regexp_extract(series_name, '[(\\[]([^()\\[\\]]+)[)\\]]$', 1), ''), nullif(regexp_extract(series_name, ' - (.+)$', 1), ''), nullif(regexp_extract(series_name, ' in (.+)$', 1), ''))
-      else parameter_unit end as unit
-  from measurement_record r join arpae_pollutants p on p.archive_parameter_id = r.parameter_id
-  union all
-  select 'csv', file_name || '#' || row_no, p.ug_per_ppb,
-    try_cast(case when n like '%,%' then replace(replace(n, '.', ''), ',', '.') else n end as double),
-    case when trim(coalesce(um, '')) in ('', '-', 'n.d.') then trim(regexp_extract(valore, '^\\s*[0-9.,]+(?:[eE][+-]?[0-9]+)?\\s*\\[?([^\\]]*)\\]?', 1)) else um end
-  from (select *, regexp_extract(trim(valore), '^[+-]?[0-9.,]+(?:[eE][+-]?[0-9]+)?') as n from csv_row) c join arpae_pollutants p on p.pollutant_id = c.id_param
-  union all
-  select 'stg', cast(row_id as varchar), p.ug_per_ppb, value_original, unit_original
-  from stg_arpae__measurements m join arpae_pollutants p using (pollutant_id) where concentration_ugm3 is null)
+with {_FACTORS}, {_UNIT_RECORDS}
 select distinct src, record_key, cast(round(value * factor * case when kind = 'ratio' then ug_per_ppb else 1 end * 1000) as bigint) as ng_m3
 from records join factors on spelling = {_UNIT.format("unit")}
-where value is not null and (kind = 'mass' or ug_per_ppb is not null)""",
+where value is not null and quantity is not null and (kind = 'mass' or ug_per_ppb is not null)""",
+    "p5_statuses": f"""
+with {_FACTORS}, {_UNIT_RECORDS}
+select src, case when value is null then 'no_value' when unit is null or trim(unit) in ('', '-', 'n.d.') then 'no_unit' when kind is null then 'unknown_unit'
+    when quantity is null or (kind = 'ratio' and ug_per_ppb is null) then 'no_way' else 'ok' end as status, count(*) as records
+from records left join factors on spelling = {_UNIT.format("unit")} group by all""",
+    "p5_temperatures": """
+select c_custkey, round(case c_nationkey % 4 when 1 then c_acctbal::double - 273.15 when 2 then c_acctbal::double else (c_acctbal::double - 32) / 1.8 end, 6) as degrees_c, 'ok' as status from customer""",
     "p6_found": STATION_HISTORY.format(
         columns="station_id, pollutant_id, strftime(valid_from, '%Y-%m-%d') as valid_from, coalesce(strftime(day, '%Y-%m-%d'), '') as valid_to",
         closed="station_id, pollutant_id, strftime(dbt_valid_from, '%Y-%m-%d'), strftime(dbt_valid_to, '%Y-%m-%d')",

@@ -14,13 +14,39 @@ def test_affine_compositions():
     assert to_celsius["K"].shift == Fraction(-27315, 100)
     to_mass = units.compositions(units.EDGES, "ug/m3")
     assert to_mass["g/m3"].factor == 10**6 and to_mass["ng/m3"].factor == Fraction(1, 1000) and to_mass["ug/l"].factor == 1000
-    assert "ppb" not in to_mass
+    assert to_mass["ppb"] == units.Affine(Fraction(1), Fraction(0), 1) and to_mass["nmol/mol"].power == 1 and to_mass["ppm"].factor == 1000
+    assert units.compositions(units.EDGES, "ppb")["g/m3"] == units.Affine(Fraction(10**6), Fraction(0), -1)
+    assert "degC" not in to_mass
 
 
 def test_cycles_must_agree():
     wrong = [*units.EDGES, ("g/m3", "ug/m3", Fraction(1000), Fraction(0))]
     with pytest.raises(units.InconsistentUnits):
         units.compositions(wrong, "ug/m3")
+    # The edges that depend on the quantity take part in cycles.
+    for edge in [("ppt", "ng/m3", Fraction(2), Fraction(0), 1), ("ppb", "ug/m3", Fraction(1), Fraction(0), 2), ("ppb", "ug/m3", Fraction(2), Fraction(0))]:
+        with pytest.raises(units.InconsistentUnits):
+            units.compositions([*units.EDGES, edge], "ug/m3")
+    units.compositions([*units.EDGES, ("ppt", "ng/m3", Fraction(1), Fraction(0), 1)], "ug/m3")
+    with pytest.raises(ValueError):
+        units.Affine(Fraction(1), Fraction(1), 1)
+
+
+def test_constants_of_one_quantity_must_agree(spark):
+    quantities = spark.createDataFrame([(1, 2.0), (1, 1.9)], "id int, per double")
+    with pytest.raises(Exception, match="InconsistentUnits"):
+        units.conversion_table(quantities, "id", "per").collect()
+
+
+def test_target_is_a_join_key(spark):
+    quantities = spark.createDataFrame([("t", None), ("no2", 1.88)], "id string, per double")
+    table = units.conversion_table(quantities, "id", "per", ["ug/m3", "ppb", "degC", "K"])
+    df = spark.createDataFrame(
+        [(1, "t", 212.0, "degf", "degC"), (2, "t", 212.0, "degf", "K"), (3, "no2", 188.0, "ug/m3", "ppb"), (4, "no2", 0.1, "ppm", "ug/m3"), (5, "t", 1.0, "ppb", "ug/m3"), (6, "t", 1.0, "degf", "Pa")],
+        "k int, id string, v double, u string, goal string",
+    )
+    got = {r.k: (r.status, r.converted) for r in units.convert(df, "id", "u", "v", table, ["k"], F.col("goal")).collect()}
+    assert got == {1: ("ok", pytest.approx(100)), 2: ("ok", pytest.approx(373.15)), 3: ("ok", pytest.approx(100)), 4: ("ok", pytest.approx(188)), 5: ("no_way", None), 6: ("no_way", None)}
 
 
 UNITS = {"ug/m3": 1.0, " UG/M3 ": 1.0, "µg/m³": 1.0, "μg/m3": 1.0, "µg·m⁻³": 1.0, "&micro;g/m&sup3;": 1.0, "mcg/m3": 1.0, "microg/m³": 1.0, "ug m-3": 1.0, "µg/mc": 1.0,
@@ -36,14 +62,15 @@ def table(spark):
 
 def test_spellings(spark, table):
     df = spark.createDataFrame([(k, 1, 3.0, u) for k, u in enumerate(UNITS)], "factor int, id int, v double, unit string").withColumn("u", units.stated_unit(F.col("unit")))
-    got = {r.factor: r.converted for r in units.convert(df, "id", "u", "v", table, ["factor"]).collect()}
+    got = {r.factor: r for r in units.convert(df, "id", "u", "v", table, ["factor"]).collect()}
     for k, (unit, factor) in enumerate(UNITS.items()):
-        assert got.get(k) == (None if factor is None else pytest.approx(3.0 * factor)), unit
+        assert got[k].converted == (None if factor is None else pytest.approx(3.0 * factor)), unit
+        assert got[k].status == ("ok" if factor else "no_unit" if unit in ("", "-", "n.d.", None) else "unknown_unit"), unit
 
 
 def test_ratios_need_a_factor_and_values_must_be_there(spark, table):
     df = spark.createDataFrame([(1, 2, 3.0, "ppb"), (2, 2, 3.0, "ug/m3"), (3, 1, None, "ug/m3"), (4, 1, float("nan"), "ug/m3"), (5, 9, 1.0, "ug/m3"), (6, None, 1.0, "ug/m3")], "k int, id int, v double, u string")
-    assert rows(units.convert(df, "id", "u", "v", table, ["k"])) == [(2, 3.0)]
+    assert [r[1:] for r in rows(units.convert(df, "id", "u", "v", table, ["k"]))] == [(None, "no_way"), (3.0, "ok"), (None, "no_value"), (None, "no_value"), (None, "no_way"), (None, "no_way")]
     assert units.convert(df.limit(0), "id", "u", "v", table, ["k"]).count() == 0
 
 
