@@ -6,7 +6,8 @@ A trailing period is a range of days, answered from O(log shard_days) nodes in e
 A late correction of a day changes its leaf and that leaf's ancestors, in its own shard only.
 
 Scale: readings are summed per entity and day before the first shuffle, so that an entity with a third of all rows
-costs no more than its days; a shard is one row of fixed size; nothing is grouped beyond a shard.
+costs no more than its days; a shard is one row of fixed size; along an entity only its shards are ordered, one for
+every ``shard_days`` days.  Corrections of a stored forest send only the shards that they touch through Python.
 """
 
 from __future__ import annotations
@@ -119,46 +120,61 @@ def build_forest(leaves: DataFrame, keys: Sequence[str], shard_days: int = SHARD
 
 
 def correct_forest(forest: DataFrame, corrections: DataFrame, keys: Sequence[str], shard_days: int = SHARD_DAYS) -> DataFrame:
-    """The forest after late corrections: rows of ``keys, day_no, sum_change, count_change``.
+    """The forest after late corrections: rows of ``keys, day_no, sum_change, count_change``.  Store the forest before (a checkpoint or a table).
 
-    Corrections of one day add up.  In each shard only the corrected leaves and their ancestors change; shards without a
-    correction pass through as they are; a correction of a shard that does not exist yet makes it.  Days whose count
-    falls to 0 stay days of the series.  The bounds follow the corrected days.
+    Corrections of one day add up.  Only the corrected leaves and their ancestors change, all of a batch at once; shards without a correction
+    pass through as they are and never leave the JVM; a correction of a shard that does not exist yet makes it.  Days whose count falls to 0 stay
+    days of the series.  The bounds follow the corrected days.
     """
     changes = (
         corrections.dropna(subset=[*keys, "day_no"])
         .groupBy(*keys, "day_no")
         .agg(F.sum("sum_change").alias("sum_change"), F.sum("count_change").alias("count_change"))
         .groupBy(*keys, F.floor(F.col("day_no") / shard_days).cast("int").alias("shard"))
-        .agg(F.collect_list(F.struct("day_no", "sum_change", "count_change")).alias("changes"))
+        .agg(F.collect_list(F.struct(F.col("day_no").cast("bigint").alias("day"), F.col("sum_change").cast("double").alias("s"), F.col("count_change").cast("bigint").alias("c"))).alias("changes"))
     )
-    joined = forest.join(changes, [*keys, "shard"], "full_outer").select(*forest.columns, "changes")
-    width = 2 * shard_days
+    own, width, columns = [*keys, "shard"], 2 * shard_days, forest.columns
+    touched = changes.join(forest, own, "left").select(*forest.columns, "changes")
+    untouched = forest.join(changes.select(*own), own, "left_anti").select(*forest.columns)
+    bounds = ("first_no", "last_no", "first_valid_no", "last_valid_no")
 
     def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = b.to_pylist()
-            for r in rows:
-                changed = r.pop("changes")
-                if not changed:
-                    continue
-                sums, counts = r["sums"] or [0.0] * width, r["counts"] or [0] * width
-                for c in changed:
-                    node = shard_days + c["day_no"] % shard_days
-                    while node:
-                        sums[node] += c["sum_change"]
-                        counts[node] += c["count_change"]
-                        node >>= 1
-                days = [c["day_no"] for c in changed]
-                r["first_no"] = min(d for d in (r["first_no"], *days) if d is not None)
-                r["last_no"] = max(d for d in (r["last_no"], *days) if d is not None)
-                start = r["shard"] * shard_days
-                counted = [k for k in range(shard_days) if counts[shard_days + k] > 0]
-                r["first_valid_no"], r["last_valid_no"] = (start + counted[0], start + counted[-1]) if counted else (None, None)
-                r["sums"], r["counts"] = sums, counts
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([f for f in b.schema if f.name != "changes"]))
-
-    return joined.mapInArrow(update, forest.schema)
+            n = b.num_rows
+            sums, counts = _matrix_or_zeros(b.column("sums"), width, float), _matrix_or_zeros(b.column("counts"), width, np.int64)
+            changed = b.column("changes")
+            row = np.repeat(np.arange(n), np.asarray(changed.value_lengths(), dtype=np.int64))
+            flat = changed.flatten()
+            day, by_sum, by_count = np.asarray(flat.field("day")), np.nan_to_num(np.asarray(flat.field("s"))), np.asarray(flat.field("c").fill_null(0))
+            node = shard_days + day % shard_days
+            while len(node) and node[0]:
+                np.add.at(sums, (row, node), by_sum)
+                np.add.at(counts, (row, node), by_count)
+                node = node >> 1
+            far = np.iinfo(np.int64).max
+            first, last = (np.asarray(b.column(c).cast(pa.int64()).fill_null(x)).copy() for c, x in (("first_no", far), ("last_no", -far)))
+            np.minimum.at(first, row, day)
+            np.maximum.at(last, row, day)
+            counted = counts[:, shard_days:] > 0
+            base, none = np.asarray(b.column("shard"), dtype=np.int64) * shard_days, ~counted.any(axis=1)
+            found = {
+                "first_no": pa.array(first), "last_no": pa.array(last),
+                "first_valid_no": pa.array(base + counted.argmax(axis=1), mask=none),
+                "last_valid_no": pa.array(base + shard_days - 1 - counted[:, ::-1].argmax(axis=1), mask=none),
+                "sums": _lists(sums, pa.float64()), "counts": _lists(counts, pa.int64()),
+            }
+            yield pa.RecordBatch.from_arrays([found[c].cast(b.schema.field(c).type) if c in bounds else found.get(c, b.column(c)) for c in columns], columns)
+
+    return untouched.unionByName(touched.mapInArrow(update, forest.schema))
+
+
+def _matrix_or_zeros(column: pa.Array, width: int, dtype: type) -> np.ndarray:
+    """Rows of lists of one width; zeros for null lists."""
+    out = np.zeros((len(column), width), dtype=dtype)
+    there = np.asarray(column.is_valid())
+    if there.any():
+        out[there] = np.asarray(column.drop_null().flatten(), dtype=dtype).reshape(-1, width)
+    return out
 
 
 def query_forest(
@@ -174,18 +190,21 @@ def query_forest(
         raise ValueError("periods must be positive")
     lead, tail = ("first_valid_no", "last_valid_no") if valid_bounds else ("first_no", "last_no")
     back = -(-(max(periods) - 1) // shard_days)
-    bounds = forest.groupBy(*keys).agg(F.min(lead).alias("lo"), F.max(tail).alias("hi")).where(F.col("lo").isNotNull())
-    shards = bounds.select(
-        *keys, "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / shard_days).cast("int"), F.floor(F.col("hi") / shard_days).cast("int"))).alias("shard")
-    )
-    reach = Window.partitionBy(*keys).orderBy("shard").rangeBetween(-back, 0)
-    placed = shards.join(forest.select(*keys, "shard", "sums", "counts"), [*keys, "shard"], "left").select(
+    along = Window.partitionBy(*keys).orderBy("shard")
+    tree = F.struct("shard", "sums", "counts")
+    # One pass over the trees: each with those that a period reaches back to, and the bounds of its entity.
+    held = forest.select(
         *keys,
-        "lo",
-        "hi",
         "shard",
-        F.collect_list(F.when(F.col("sums").isNotNull(), F.struct("shard", "sums", "counts"))).over(reach).alias("near"),
-    )
+        F.min(lead).over(Window.partitionBy(*keys)).alias("lo"),
+        F.max(tail).over(Window.partitionBy(*keys)).alias("hi"),
+        F.lead("shard").over(along).alias("following"),
+        F.collect_list(tree).over(along.rangeBetween(-back, 0)).alias("near"),
+    ).where(F.col("lo").isNotNull())
+    # The shards without data up to the next one follow the last one that has some.
+    every = held.select(*keys, "lo", "hi", "near", F.explode(F.sequence("shard", F.greatest(F.col("shard"), F.coalesce(F.col("following"), F.col("shard") + 1) - 1))).alias("shard"))
+    inside = F.col("shard").between(F.floor(F.col("lo") / shard_days), F.floor(F.col("hi") / shard_days))
+    placed = every.where(inside).select(*keys, "lo", "hi", "shard", F.filter("near", lambda t: t["shard"] >= F.col("shard") - back).alias("near"))
     lengths, width = np.asarray(sorted(set(periods)), dtype=np.int64), 2 * shard_days
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

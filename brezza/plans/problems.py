@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from brezza.functions.temporal import cell_text, day_number, day_text, instant_text
 from brezza.functions.texts import number_of, plain_unit, rest_after_number, unit_in_title
 from brezza.operators import history, regular_grid, relational, spikes, timestamps, trailing, units
+from brezza.operators.checkpoints import shared_checkpoint
 from brezza.sources.tables import table
 
 SERIES = ["station_id", "pollutant_id"]
 PERIODS = (7, 30)
 LOCAL_OFFSET_MINUTES = 60
-COUNTER_GAP_MINUTES = 3 * 1440
-COUNTER_GAP_PERIODS = COUNTER_GAP_MINUTES // 60
+COUNTER_GAP_PERIODS = 72
 STATION_ATTRIBUTES = ["station_name", "municipality", "province", "address", "altitude_m", "longitude", "latitude", "pollutant_name", "unit_original"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +52,8 @@ def p1_corrected(spark: SparkSession, directory: str) -> DataFrame:
     largest plausible value, or in a unit that cannot be converted correct nothing by themselves, but still replace earlier ones.
     """
     facts = table(spark, directory, "int_measurements_deduplicated")
-    forest = trailing.build_forest(trailing.day_leaves(facts, SERIES, "measurement_date", "concentration_ugm3", F.col("is_valid")), SERIES)
+    # The forest as it would be stored between the loads.
+    forest = shared_checkpoint(trailing.build_forest(trailing.day_leaves(facts, SERIES, "measurement_date", "concentration_ugm3", F.col("is_valid")), SERIES))
     feed = _latest_feed(spark, directory)
     bounds = table(spark, directory, "arpae_pollutants").groupBy("pollutant_id").agg(F.max("max_plausible_ugm3").alias("largest"))
     value = F.col("concentration_ugm3")
@@ -286,10 +287,17 @@ select station_id, pollutant_id, strftime(day, '%Y-%m-%d') as day, period_days f
 with chosen as (select * from int_measurements_deduplicated), valid as (select * from chosen where is_valid), {_P1_GRID}
 select station_id, pollutant_id, day, period_days, round(s, 6) as total_ugm3, round(s / nullif(c, 0), 6) as mean_ugm3, c as readings from totals""",
     "p1_corrected": f"""
-with chosen as (
-  select station_id, pollutant_id, measurement_date, concentration_ugm3, is_valid from int_measurements_deduplicated union all
+with {_FACTORS},
+limits as (select pollutant_id, max(max_plausible_ugm3) as largest, min(ug_per_ppb) as ug_per_ppb from arpae_pollutants group by all),
+latest as (
+  select station_id, pollutant_id, measured_at_utc, largest, coalesce(concentration_ugm3, value_original * factor * case when kind = 'ratio' then ug_per_ppb else 1 end) as concentration_ugm3
+  from stg_arpae__measurements left join limits using (pollutant_id) left join factors on spelling = {_UNIT.format("unit_original")}
+  qualify row_number() over (partition by station_id, pollutant_id, measured_at_utc order by ingested_at desc, row_id desc) = 1),
+chosen as (
+  select station_id, pollutant_id, measurement_date, concentration_ugm3, is_valid and k.measured_at_utc is null as is_valid
+  from int_measurements_deduplicated f left join (select station_id, pollutant_id, measured_at_utc from latest) k using (station_id, pollutant_id, measured_at_utc) union all
   select station_id, pollutant_id, cast(measured_at_utc + interval 1 hour as date), concentration_ugm3, true
-  from stg_arpae__measurements where concentration_ugm3 >= 0),
+  from latest where concentration_ugm3 >= 0 and (largest is null or concentration_ugm3 <= largest)),
 valid as (select * from chosen where is_valid), {_P1_GRID}
 select station_id, pollutant_id, day, period_days, round(s, 4) as total_ugm3, c as readings from totals""",
     "p2_found": f"""
@@ -300,21 +308,23 @@ with {_SLOTS},
 sums as (select station_id, pollutant_id, slot, sum(value_original) as s, count(*) as n from slotted group by all)
 select g.station_id, g.pollutant_id, g.slot, round(s.s, 6) as amount, coalesce(s.n, 0)::bigint as readings, s.n is null as is_empty
 from grid g left join sums s using (station_id, pollutant_id, slot)""",
-    "p2_counter": f"""
+    "p2_counter": """
 with readings as (
   select m.station_id, m.pollutant_id, p.averaging_minutes * 60000000::bigint as len, epoch_us(m.measured_at_utc) as t, max(m.value_original) as v
   from stg_arpae__measurements m join arpae_pollutants p using (pollutant_id) where m.value_original is not null group by all),
-pairs as (
-  select *, lag(t) over w as t0, lag(v) over w as v0 from readings window w as (partition by station_id, pollutant_id order by t)),
-intervals as (
-  select station_id, pollutant_id, len, t0, t, case when v < v0 then v else v - v0 end as inc from pairs where t - t0 <= {COUNTER_GAP_MINUTES} * 60000000::bigint),
+pairs as (select *, lag(t) over w as t0, lag(v) over w as v0 from readings window w as (partition by station_id, pollutant_id order by t)),
+intervals as (select station_id, pollutant_id, len, t0, t, case when v < v0 then v else v - v0 end as inc from pairs where t - t0 <= 72 * len),
+touched as (select *, unnest(generate_series((t0 + 3600000000) // len, (t - 1 + 3600000000) // len)) as cell from intervals),
 cells as (
-  select *, unnest(generate_series((t0 + 3600000000) // len, (t - 1 + 3600000000) // len)) as cell from intervals)
-select station_id, pollutant_id, cell::bigint as cell,
-  round(sum(inc * (least(t, (cell + 1) * len - 3600000000) - greatest(t0, cell * len - 3600000000)) / (t - t0)), 7) as amount,
-  round(sum((least(t, (cell + 1) * len - 3600000000) - greatest(t0, cell * len - 3600000000)) / 60000000.0), 6) as covered_minutes,
-  count(*) as intervals
-from cells group by all""",
+  select station_id, pollutant_id, len, cell::bigint as cell,
+    round(sum(inc * (least(t, (cell + 1) * len - 3600000000) - greatest(t0, cell * len - 3600000000)) / (t - t0)), 7) as amount,
+    round(sum((least(t, (cell + 1) * len - 3600000000) - greatest(t0, cell * len - 3600000000)) / 60000000.0), 6) as covered_minutes, count(*) as intervals
+  from touched group by all),
+spans as (select station_id, pollutant_id, min(cell) as a, max(cell) as z from cells group by all),
+grid as (select station_id, pollutant_id, unnest(generate_series(a, z)) as cell from spans)
+select station_id, pollutant_id, cell::bigint as cell, amount, coalesce(covered_minutes, 0.0) as covered_minutes, coalesce(intervals, 0)::bigint as intervals,
+  case when intervals is null then 'none' when covered_minutes < len / 60000000 then 'part' else 'whole' end as coverage
+from grid g left join cells c using (station_id, pollutant_id, cell)""",
     "p3_feed": "select row_id, epoch_us(measured_at_utc) as utc_us, 'ok' as status from stg_arpae__measurements",
     "p4_impossible": """
 select m.station_id, m.pollutant_id, strftime(m.measured_at_utc, '%Y-%m-%d %H:%M:%S') as measured_at, m.concentration_ugm3
