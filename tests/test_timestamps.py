@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from brezza.operators.timestamps import clock_offsets, normalise_timestamps
 
-FEEDS = [("rome", "Europe/Rome", "dmy"), ("us", "+01:00", "mdy"), ("none", None, None), ("odd", "Mars/Olympus", "dmy"), ("rome", "Europe/Rome", "dmy")]
+FEEDS = [("rome", "Europe/Rome", "dmy"), ("us", "+01:00", "mdy"), ("none", None, None), ("odd", "Mars/Olympus", "dmy"), ("rome", "Europe/Rome", "dmy"), ("ams", "Europe/Amsterdam", "dmy"), ("ny", "America/New_York", "mdy")]
 
 
 def us(*parts, zone=UTC):
@@ -49,6 +49,43 @@ CASES = [
     ("20240101T040000+0100", "us", us(2024, 1, 1, 3), "ok"),
     ("1704085200000", "us", us(2024, 1, 1, 5), "ok"),
     ("1704085200", "us", us(2024, 1, 1, 5), "ok"),
+    # Offsets with seconds, and years before and after the table.
+    ("1920-06-15 12:00:00", "ams", us(1920, 6, 15, 12, zone=ZoneInfo("Europe/Amsterdam")), "ok"),
+    ("1930-01-15 12:00:00", "ams", us(1930, 1, 15, 12, zone=ZoneInfo("Europe/Amsterdam")), "ok"),
+    ("1700-06-15 12:00:00", "ny", us(1700, 6, 15, 12, zone=ZoneInfo("America/New_York")), "ok"),
+    ("2345-06-15 12:00:00", "rome", us(2345, 6, 15, 10), "ok"),
+    ("2345-01-15 12:00:00", "rome", us(2345, 1, 15, 11), "ok"),
+    ("2400-03-26 02:30:00", "rome", None, "nonexistent"),
+    ("9999-07-01 00:00:00", "rome", us(9999, 6, 30, 22), "ok"),
+    # Other notations.
+    ("2024/01/05 10:00", "rome", us(2024, 1, 5, 9), "ok"),
+    ("2024.01.05 10:00:30", "rome", us(2024, 1, 5, 9, 0, 30), "ok"),
+    ("Jan 5, 2024 10:00", "rome", us(2024, 1, 5, 9), "ok"),
+    ("January 5 2024 10:00 PM", "rome", us(2024, 1, 5, 21), "ok"),
+    ("Fri, Jan 5, 2024 10:00 p.m.", "rome", us(2024, 1, 5, 21), "ok"),
+    ("5-Jan-2024 10:00", "rome", us(2024, 1, 5, 9), "ok"),
+    ("5. Januar 2024 10:00", "rome", us(2024, 1, 5, 9), "ok"),
+    ("2024-01-05T10:00[Europe/Rome]", "ny", us(2024, 1, 5, 9), "ok"),
+    ("2024-01-05T10:00+05:00[Europe/Rome]", "ny", us(2024, 1, 5, 5), "ok"),
+    ("2024-01-05T10:00[Mars/Olympus]", "rome", None, "no_clock"),
+    ("20240105100000", "rome", us(2024, 1, 5, 9), "ok"),
+    ("202401051000", "rome", us(2024, 1, 5, 9), "ok"),
+    ("20240105T100000,5Z", "rome", us(2024, 1, 5, 10, 0, 0, 500000), "ok"),
+    ("2024-W01-5T10:00", "rome", us(2024, 1, 5, 9), "ok"),
+    ("2020-W53-7T10:00Z", "rome", us(2021, 1, 3, 10), "ok"),
+    ("2021-W53-1T10:00Z", "rome", None, "not_a_time"),
+    ("2024-005T10:00", "rome", us(2024, 1, 5, 9), "ok"),
+    ("2024-366T10:00Z", "rome", us(2024, 12, 31, 10), "ok"),
+    ("2023-366T10:00Z", "rome", None, "not_a_time"),
+    ("1704448800.25", "rome", us(2024, 1, 5, 10, 0, 0, 250000), "ok"),
+    ("-1704448800", "rome", -1704448800000000, "ok"),
+    ("-170444880.5", "rome", -170444880500000, "ok"),
+    ("170444880", "rome", 170444880000000, "ok"),
+    ("1704448800000000000", "rome", us(2024, 1, 5, 10), "ok"),
+    ("1704448800000000", "rome", us(2024, 1, 5, 10), "ok"),
+    ("2024-01-05", "rome", None, "not_a_time"),
+    ("20240105", "rome", None, "not_a_time"),
+    ("12345", "rome", None, "not_a_time"),
     ("ieri", "us", None, "not_a_time"),
     ("", "us", None, "not_a_time"),
     (None, "us", None, "not_a_time"),
@@ -79,7 +116,7 @@ def test_offsets_are_those_of_the_zone(zone):
             moment = datetime(year, month, 15, 12, tzinfo=UTC)
             at = int(moment.timestamp()) * 1_000_000
             (offset,) = [m for a, b, m in stretches if a <= at < b]
-            assert offset == moment.astimezone(ZoneInfo(zone)).utcoffset().total_seconds() // 60
+            assert offset == moment.astimezone(ZoneInfo(zone)).utcoffset().total_seconds()
 
 
 def test_every_hour_of_a_year_of_local_time(spark, feeds):
