@@ -8,7 +8,8 @@ covers are marked.  Cells are numbered: cell n of length L minutes and offset O
 [n * L - O, (n + 1) * L - O) minutes after 1970-01-01 UTC.
 
 Scale: the spread increments are summed per cell before the shuffle, so that repeated and hot sources cost no more than
-their cells; uncovered cells are found per block of 512 cells and, between blocks, from one row per block.
+their cells; uncovered cells are found per block of 512 cells and, between blocks, from one row per block.  Long intervals and
+gaps are cut into blocks before they are cut into cells, so that no row holds more cells than a block.
 """
 
 from __future__ import annotations
@@ -84,9 +85,10 @@ def spread_on_grid(intervals: DataFrame, keys: Sequence[str], offset_minutes: in
     start = F.col("cell") * length - F.lit(offset_minutes * MICROS_PER_MINUTE)
     overlap = F.least(F.col("to_us"), start + length) - F.greatest(F.col("from_us"), start)
     duration = F.col("to_us") - F.col("from_us")
+    whole = intervals.where(F.col("increment").isNotNull() & (F.col("to_us") >= F.col("from_us"))).select(*keys, "minutes", "from_us", "to_us", "increment", first.alias("_first"), last.alias("_last"))
+    cut = whole.select("*", F.explode(F.sequence(_block("_first"), _block("_last"))).alias("_block"))
     return (
-        intervals.where(F.col("increment").isNotNull() & (F.col("to_us") >= F.col("from_us")))
-        .select(*keys, "minutes", "from_us", "to_us", "increment", F.explode(F.sequence(first, last)).alias("cell"))
+        cut.select(*keys, "minutes", "from_us", "to_us", "increment", F.explode(_within("_block", "_first", "_last")).alias("cell"))
         .groupBy(*keys, "minutes", "cell")
         .agg(
             F.sum(F.when(duration == 0, F.col("increment")).otherwise(F.col("increment") * overlap / duration)).alias("amount"),
@@ -96,16 +98,36 @@ def spread_on_grid(intervals: DataFrame, keys: Sequence[str], offset_minutes: in
     )
 
 
+def _block(cell: str) -> Column:
+    return F.floor(F.col(cell) / BLOCK_CELLS)
+
+
+def _within(block: str, first: str, last: str) -> Column:
+    """The cells of a block from first to last."""
+    start = F.col(block) * BLOCK_CELLS
+    return F.sequence(F.greatest(F.col(first), start), F.least(F.col(last), start + (BLOCK_CELLS - 1)))
+
+
 def uncovered_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``keys, minutes, cell`` of each cell between the first and the last covered one of a source that is not covered."""
     own = [*keys, "minutes"]
-    blocks = cells.groupBy(*own, F.floor(F.col("cell") / BLOCK_CELLS).alias("block")).agg(
-        F.collect_set("cell").alias("filled"), F.min("cell").alias("first"), F.max("cell").alias("last")
+    blocks = cells.groupBy(*own, _block("cell").alias("block")).agg(F.collect_set("cell").alias("filled"), F.min("cell").alias("first"), F.max("cell").alias("last"))
+    along = Window.partitionBy(*own).orderBy("block")
+    following = F.lead("block").over(along)
+    # From the first cell of a source to its last, each block stands for itself and the blocks without any cell that follow it.
+    start, end = F.col("block") * BLOCK_CELLS, F.col("block") * BLOCK_CELLS + (BLOCK_CELLS - 1)
+    reach = blocks.select(
+        *own,
+        "block",
+        "filled",
+        F.when(F.lag("block").over(along).isNull(), F.col("first")).otherwise(start).alias("lo"),
+        F.when(following.isNull(), F.col("last")).otherwise(end).alias("hi"),
+        F.coalesce(following, F.col("block") + 1).alias("following"),
     )
-    following = F.lead("first").over(Window.partitionBy(*own).orderBy("block"))
-    inside = F.array_except(F.sequence("first", "last"), "filled")
-    between = F.when(F.col("next") > F.col("last") + 1, F.sequence(F.col("last") + 1, F.col("next") - 1)).otherwise(F.array().cast("array<bigint>"))
-    return blocks.withColumn("next", following).select(*own, F.explode(F.concat(inside, between)).alias("cell"))
+    each = reach.select(*own, "lo", "hi", F.col("block").alias("_held"), "filled", F.explode(F.sequence("block", F.col("following") - 1)).alias("block"))
+    held = F.col("block") == F.col("_held")
+    missing = F.when(held, F.array_except(F.sequence("lo", "hi"), "filled")).otherwise(F.sequence(start, end))
+    return each.select(*own, F.explode(missing).alias("cell"))
 
 
 def regular_series(intervals: DataFrame, keys: Sequence[str], offset_minutes: int = 0) -> DataFrame:

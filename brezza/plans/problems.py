@@ -68,8 +68,9 @@ def p1_corrected(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _feed_slots(spark: SparkSession, directory: str) -> DataFrame:
+    """The feed with the averaging period of its pollutants; rows of pollutants that have none fill no slot and are left out."""
     feed = table(spark, directory, "stg_arpae__measurements")
-    periods = table(spark, directory, "arpae_pollutants").select("pollutant_id", "averaging_minutes")
+    periods = table(spark, directory, "arpae_pollutants").where("averaging_minutes > 0").groupBy("pollutant_id").agg(F.min("averaging_minutes").alias("averaging_minutes"))
     return feed.join(periods, "pollutant_id")
 
 

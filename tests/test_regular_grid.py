@@ -55,3 +55,15 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "k string, ts timestamp_ntz, v double")
     assert G.regular_series(G.instant_intervals(df, ["k"], "ts", F.col("v"), F.lit(60)), ["k"]).count() == 0
     assert G.regular_series(G.counter_intervals(df, ["k"], "ts", "v", F.lit(60), 60), ["k"]).count() == 0
+
+
+def test_long_gaps_and_intervals_are_cut_into_blocks(spark):
+    """No row holds more cells than a block, however far apart readings are."""
+    df = spark.createDataFrame([(1, 0, 0, 1.0), (1, 2_000_000, 2_000_000, 1.0)], "s int, a bigint, b bigint, increment double")
+    points = df.select("s", F.lit(1).alias("minutes"), (F.col("a") * 60_000_000).alias("from_us"), (F.col("b") * 60_000_000).alias("to_us"), "increment")
+    empty = G.uncovered_cells(G.spread_on_grid(points, ["s"]), ["s"])
+    assert empty.agg(F.count("cell"), F.min("cell"), F.max("cell"), F.countDistinct("cell")).first() == (1_999_999, 1, 1_999_999, 1_999_999)
+    span = spark.createDataFrame([(1, 1, 30 * 60_000_000, 1_000_030 * 60_000_000, 5.0)], "s int, minutes int, from_us bigint, to_us bigint, increment double")
+    cells = G.spread_on_grid(span, ["s"])
+    assert cells.agg(F.count("cell"), F.round(F.sum("amount"), 6), F.sum("covered_minutes")).first() == (1_000_000, 5.0, 1_000_000.0)
+    assert G.uncovered_cells(cells, ["s"]).count() == 0
