@@ -83,3 +83,13 @@ def missing_kinds(types: DataFrame, column: str, wanted: Sequence[str]) -> DataF
     """The wanted kinds that no row has."""
     expected = types.sparkSession.createDataFrame([(w,) for w in wanted], f"{column} string")
     return expected.join(types.select(column), column, "left_anti")
+
+
+def flagged(facts: DataFrame, flag: str) -> DataFrame:
+    """Readings that are kept with a flag (``is_implausible``, ``is_negative``): a warning that only shows them."""
+    return facts.where(F.col(flag)).select("station_id", "pollutant_id", "measured_at_utc", "concentration_ugm3")
+
+
+def stale_types(types: DataFrame) -> DataFrame:
+    """Stations whose type comes from an earlier snapshot or the reference, as the latest one does not state it: a warning."""
+    return types.where(F.col("station_type_source").isin("earlier_snapshot", "reference")).select("station_id", "station_type", "station_type_source", "type_label_original")

@@ -14,7 +14,7 @@ _NAMES = ["station_id", "station_name", "municipality"]
 
 def limit_periods(daily: DataFrame, facts: DataFrame, rolling: DataFrame, config: EngineConfig) -> DataFrame:
     """The values that limits are compared with: daily means, hourly means, and daily maxima of the rolling means."""
-    series = ["station_id", "pollutant_code"]
+    series = ["station_id", "pollutant_id"]
     means = daily.where("is_valid_day").select(*series, F.lit("daily_mean").alias("metric"), "measurement_date", F.col("daily_mean_ugm3").alias("value_ugm3"), F.lit(1).alias("periods_per_day"))
     hourly = facts.where(F.col("is_valid") & (F.col("averaging_minutes") == 60)).select(
         *series, F.lit("hourly_mean").alias("metric"), "measurement_date", F.col("concentration_ugm3").alias("value_ugm3"), F.lit(24).alias("periods_per_day")
@@ -31,9 +31,9 @@ def limit_periods(daily: DataFrame, facts: DataFrame, rolling: DataFrame, config
 
 def yearly_exceedances(daily: DataFrame, facts: DataFrame, rolling: DataFrame, limits: DataFrame, stations: DataFrame, config: EngineConfig) -> DataFrame:
     """How often each limit was exceeded per station and year; values are rounded to whole numbers before they are compared."""
-    bounds = limits.select("pollutant_code", "metric", "limit_ugm3", "max_exceedances_per_year")
-    periods = limit_periods(daily, facts, rolling, config).join(bounds, ["pollutant_code", "metric"])
-    keys = ["station_id", "pollutant_code", "metric", "year", "limit_ugm3", "max_exceedances_per_year"]
+    bounds = limits.select("pollutant_id", "pollutant_code", "metric", "limit_ugm3", "max_exceedances_per_year")
+    periods = limit_periods(daily, facts, rolling, config).join(bounds, ["pollutant_id", "metric"])
+    keys = ["station_id", "pollutant_id", "pollutant_code", "metric", "year", "limit_ugm3", "max_exceedances_per_year"]
     yearly = (
         periods.withColumn("year", F.year("measurement_date").cast("bigint"))
         .groupBy(*keys)
@@ -47,6 +47,7 @@ def yearly_exceedances(daily: DataFrame, facts: DataFrame, rolling: DataFrame, l
     named = yearly.join(stations.select(*_NAMES).dropDuplicates(["station_id"]), "station_id", "left")
     return named.select(
         *_NAMES,
+        "pollutant_id",
         "pollutant_code",
         "metric",
         "year",

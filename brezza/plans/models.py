@@ -130,6 +130,12 @@ def rolling_means(facts: DataFrame, config: EngineConfig) -> DataFrame:
     return kept.withColumn("is_valid_window", F.col("valid_hours_in_window") / hours >= config.min_coverage)
 
 
+def current_sensors(snapshots: DataFrame, keys: list[str], day: str, loaded: str) -> DataFrame:
+    """The rows that are open in the history of dated full snapshots, without working it out: those of the newest one, of each key the latest loaded."""
+    newest = snapshots.agg(F.max(day).alias("_day"))
+    return latest_per_key(snapshots.where(F.col(day) == newest.scalar()).dropna(subset=keys), keys, loaded).withColumn("valid_to", F.lit(None).cast("date"))
+
+
 def current_stations(versions: DataFrame, types: DataFrame, config: EngineConfig) -> DataFrame:
     """Stations of the open versions of the registry, and those that only the type registry knows, with their weather location."""
     attributes = ["station_id", "station_name", "municipality", "province", "address", "altitude_m", "longitude", "latitude"]

@@ -53,8 +53,8 @@ def build(spark: SparkSession, root: str, config: EngineConfig, pollutants: Data
         models.deduplicated_measurements({"archive": archive, "near_real_time": recent}, pollutants, config), "int_measurements_deduplicated"
     )
     out["int_measurements_daily"] = daily = keep(models.daily_measurements(facts, config), "int_measurements_daily")
-    ozone = limits.where(F.col("metric") == "daily_max_8h_mean").select("pollutant_code")
-    out["int_o3_8h_rolling"] = rolling = keep(models.rolling_means(facts.join(ozone, "pollutant_code", "left_semi"), config), "int_o3_8h_rolling")
+    ozone = limits.where(F.col("metric") == "daily_max_8h_mean").select("pollutant_id")
+    out["int_o3_8h_rolling"] = rolling = keep(models.rolling_means(facts.join(ozone, "pollutant_id", "left_semi"), config), "int_o3_8h_rolling")
     out["int_stations_current"] = stations = keep(models.current_stations(out["snap_stations"], types, config), "int_stations_current")
     out["int_station_types_current"] = kinds = keep(models.current_station_types(types, types_reference), "int_station_types_current")
     out["int_weather_daily"] = days = keep(models.daily_weather(weather, config), "int_weather_daily")

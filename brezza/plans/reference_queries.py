@@ -72,16 +72,17 @@ def _types_reference(spark: SparkSession, d: str) -> DataFrame:
 
 def _stations(spark: SparkSession, d: str) -> DataFrame:
     """One row per station: of several open versions (one per pollutant) that differ, the least holds."""
-    current = models.current_stations(_versions(spark, d), _types(spark, d), CONFIG)
+    sensors = models.current_sensors(table(spark, d, "stg_arpae__stations"), SERIES, "extracted_on", "loaded_at")
+    current = models.current_stations(sensors, _types(spark, d), CONFIG)
     names = [c for c in current.columns if c != "station_id"]
     upper = [F.upper(F.regexp_replace(c, r"\s+", "")).alias(c) if c in ("station_name", "municipality", "province", "address") else F.col(c) for c in names]
     tidy = current.select("station_id", *upper)
     return relational.first_per_key(tidy, ["station_id"], [F.col(c) for c in names])
 
 
-def _weather(spark: SparkSession, d: str) -> DataFrame:
+def _weather(spark: SparkSession, d: str, stations: DataFrame) -> DataFrame:
     """Hourly weather: the ozone readings of the fact stand for wind and temperature, at the location of their station."""
-    places = _stations(spark, d).where(F.col("weather_location_id").isNotNull()).select("station_id", F.col("weather_location_id").alias("location_id"))
+    places = stations.where(F.col("weather_location_id").isNotNull()).select("station_id", F.col("weather_location_id").alias("location_id"))
     ozone = _facts(spark, d).where((F.col("pollutant_code") == "O3") & F.col("is_valid"))
     hour = F.hour("measured_at_utc")
     return ozone.join(places, "station_id").select(
@@ -210,12 +211,12 @@ def m10_station_types_current(spark: SparkSession, d: str) -> DataFrame:
 
 
 def m11_weather_daily(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(models.daily_weather(_weather(spark, d), CONFIG))
+    return _rounded(models.daily_weather(_weather(spark, d, _stations(spark, d)), CONFIG))
 
 
 def m12_exceedances_yearly(spark: SparkSession, d: str) -> DataFrame:
     rolling = table(spark, d, "int_o3_8h_rolling")
-    return _rounded(marts.yearly_exceedances(_daily(spark, d), _facts(spark, d), rolling, seeds.air_quality_limits(spark), _stations(spark, d), CONFIG))
+    return _rounded(marts.yearly_exceedances(_daily(spark, d), _facts(spark, d), rolling, seeds.air_quality_limits(spark, table(spark, d, "arpae_pollutants")), _stations(spark, d), CONFIG))
 
 
 def m13_data_completeness(spark: SparkSession, d: str) -> DataFrame:
@@ -233,8 +234,8 @@ def m15_traffic_vs_background(spark: SparkSession, d: str) -> DataFrame:
 
 
 def m16_weather_correlation(spark: SparkSession, d: str) -> DataFrame:
-    weather = models.daily_weather(_weather(spark, d), CONFIG)
-    return _rounded(marts.weather_correlation(_daily(spark, d), _stations(spark, d), weather, CONFIG))
+    stations = _stations(spark, d)
+    return _rounded(marts.weather_correlation(_daily(spark, d), stations, models.daily_weather(_weather(spark, d, stations), CONFIG), CONFIG))
 
 
 def k01_upsert(spark: SparkSession, d: str) -> DataFrame:

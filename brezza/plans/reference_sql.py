@@ -66,19 +66,20 @@ weather as (
 _DAYS_IN_YEAR = "(make_date({0} + 1, 1, 1) - make_date({0}, 1, 1))"
 
 _LIMITS = """
-limits(pollutant_code, metric, limit_ugm3, max_exceedances_per_year) as (values
+limits_by_code(pollutant_code, metric, limit_ugm3, max_exceedances_per_year) as (values
   ('PM10', 'daily_mean', 50.0::double, 35), ('NO2', 'hourly_mean', 200.0::double, 18), ('O3', 'daily_max_8h_mean', 120.0::double, 25)),
+limits as (select distinct p.pollutant_id, l.* from limits_by_code l join arpae_pollutants p using (pollutant_code)),
 periods as (
-  select station_id, pollutant_code, 'daily_mean' as metric, measurement_date, daily_mean_ugm3 as v, 1 as n from int_measurements_daily where is_valid_day
+  select station_id, pollutant_id, 'daily_mean' as metric, measurement_date, daily_mean_ugm3 as v, 1 as n from int_measurements_daily where is_valid_day
   union all
-  select station_id, pollutant_code, 'hourly_mean', measurement_date, concentration_ugm3, 24 from int_measurements_deduplicated where is_valid and averaging_minutes = 60
+  select station_id, pollutant_id, 'hourly_mean', measurement_date, concentration_ugm3, 24 from int_measurements_deduplicated where is_valid and averaging_minutes = 60
   union all
-  select station_id, pollutant_code, 'daily_max_8h_mean', measurement_date, max(rolling_8h_mean_ugm3), 1 from int_o3_8h_rolling where is_valid_window
+  select station_id, pollutant_id, 'daily_max_8h_mean', measurement_date, max(rolling_8h_mean_ugm3), 1 from int_o3_8h_rolling where is_valid_window
   group by all having count(*) >= 18),
 yearly as (
-  select p.station_id, pollutant_code, metric, year(p.measurement_date) as year, limit_ugm3, max_exceedances_per_year,
+  select p.station_id, pollutant_id, pollutant_code, metric, year(p.measurement_date) as year, limit_ugm3, max_exceedances_per_year,
     count(case when round(v) > limit_ugm3 then 1 end) as exceedances, count(*) as valid_periods, max(v) as max_value_ugm3, max(n) as n
-  from periods p join limits using (pollutant_code, metric) group by all)
+  from periods p join limits using (pollutant_id, metric) group by all)
 """
 
 _GRID = """
@@ -202,7 +203,7 @@ select location_id, weather_date, round(wind_speed_mean_ms, 6) as wind_speed_mea
   round(temperature_mean_c, 6) as temperature_mean_c, round(surface_pressure_mean_hpa, 6) as surface_pressure_mean_hpa, hours, hours / 24 >= 0.75 as is_valid_day from weather""",
     "m12_exceedances_yearly": f"""
 with {_STATIONS}, {_LIMITS}
-select y.station_id, s.station_name, s.municipality, pollutant_code, metric, year, exceedances, limit_ugm3, max_exceedances_per_year,
+select y.station_id, s.station_name, s.municipality, pollutant_id, pollutant_code, metric, year, exceedances, limit_ugm3, max_exceedances_per_year,
   exceedances > max_exceedances_per_year as is_over_allowed_exceedances, round(max_value_ugm3, 6) as max_value_ugm3, valid_periods,
   round(valid_periods / (n * {_DAYS_IN_YEAR.format("year")}), 6) as year_coverage
 from yearly y left join stations s using (station_id)""",

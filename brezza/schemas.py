@@ -56,7 +56,7 @@ STATIONS = Dataset(
 STATION_TYPES = Dataset(
     "station_types", _columns(station_id="bigint!", station_name="string!", province="string!", type_label="string!", bulletin_id="string!", extracted_on="date!"), ("station_id",), None
 )
-LIMITS_SCHEMA = _columns(pollutant_code="string!", metric="string!", limit_ugm3="double!", max_exceedances_per_year="int!", limit_type="string", legal_reference="string")
+LIMITS_SCHEMA = _columns(pollutant_id="int!", pollutant_code="string!", metric="string!", limit_ugm3="double!", max_exceedances_per_year="int!", limit_type="string", legal_reference="string")
 POLLUTANTS_SCHEMA = _columns(pollutant_id="int!", pollutant_code="string!", pollutant_name="string", averaging_minutes="int!", max_plausible_ugm3="double")
 TYPES_REFERENCE_SCHEMA = _columns(station_id="int!", station_type="string!", area_type="string", source_label="string", bulletin_id="string")
 

@@ -36,11 +36,21 @@ def test_values_are_rounded_before_they_are_compared(spark):
     means = [(50.0, True), (50.4, True), (50.6, True), (62.7, True), (90.0, False)]
     daily = spark.createDataFrame([(1, 5, "PM10", date(2026, 1, k + 1), m, 1, 1, 1, ok) for k, (m, ok) in enumerate(means)], DAILY)
     facts = spark.createDataFrame([], FACT)
-    rolling = spark.createDataFrame([], "station_id int, pollutant_code string, measurement_date date, rolling_8h_mean_ugm3 double, is_valid_window boolean")
+    rolling = spark.createDataFrame([], "station_id int, pollutant_id int, measurement_date date, rolling_8h_mean_ugm3 double, is_valid_window boolean")
     stations = spark.createDataFrame([(1, "a", "b")], "station_id int, station_name string, municipality string")
     (row,) = marts.yearly_exceedances(daily, facts, rolling, seeds.air_quality_limits(spark), stations, CONFIG).collect()
     assert (row.exceedances, row.valid_periods, row.max_value_ugm3) == (2, 4, 62.7)
-    assert row.year_coverage == pytest.approx(4 / 365)
+    assert row.year_coverage == pytest.approx(4 / 365) and row.pollutant_id == 5
+
+
+def test_limits_are_by_id(spark):
+    """Two ids of one code are two series; an id without a limit has none."""
+    daily = spark.createDataFrame([(1, p, "PM10", date(2026, 1, k + 1), 60.0, 1, 1, 1, True) for p in (5, 105, 205) for k in range(3)], DAILY)
+    pollutants = spark.createDataFrame([(5, "PM10"), (105, "PM10"), (205, "other")], "pollutant_id int, pollutant_code string")
+    rolling = spark.createDataFrame([], "station_id int, pollutant_id int, measurement_date date, rolling_8h_mean_ugm3 double, is_valid_window boolean")
+    stations = spark.createDataFrame([(1, "a", "b")], "station_id int, station_name string, municipality string")
+    limits = seeds.air_quality_limits(spark, pollutants)
+    assert rows(marts.yearly_exceedances(daily, spark.createDataFrame([], FACT), rolling, limits, stations, CONFIG), "pollutant_id", "exceedances") == [(105, 3), (5, 3)]
 
 
 def test_completeness_is_over_loaded_days(spark):

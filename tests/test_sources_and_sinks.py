@@ -284,7 +284,13 @@ def served(spark):
         "mart_weather_correlation": spark.createDataFrame([(1, "B", "winter", float("nan"))], "station_id int, station_name string, season string, corr_pm10_wind double"),
         "mart_data_completeness": spark.createDataFrame([(1, "B", "x", "PM10", d + timedelta(days=k), k != 3, 1.0 if k != 3 else 0.0) for k in range(40)], "station_id int, station_name string, municipality string, pollutant_code string, measurement_date date, is_complete boolean, completeness double"),
     }
-    return serving.Marts(spark, frames)
+    kinds = {"year": "bigint", "month": "date", "measurement_date": "date", "is_complete": "boolean"}
+
+    def whole(mart, df):
+        missing = [c for c in serving.COLUMNS[mart] if c not in df.columns]
+        return df.select("*", *(F.lit(None).cast(kinds.get(c, "double")).alias(c) for c in missing), F.lit(7).alias("beside"))
+
+    return serving.Marts(spark, {mart: whole(mart, df) for mart, df in frames.items()})
 
 
 def test_accessors(served, spark):
@@ -292,6 +298,7 @@ def test_accessors(served, spark):
     assert served.date_range("mart_data_completeness", "measurement_date") == (date(2026, 1, 1), date(2026, 2, 9))
     assert [r.station_name for r in served.exceedances("daily_mean").collect()] == ["A", "B"]
     assert served.exceedances("daily_mean", []).count() == 0
+    assert served.exceedances("daily_mean").columns == serving.COLUMNS["mart_exceedances_yearly"]
     assert served.exceedances("daily_mean", ["A"], (2025, 2026)).count() == 0
     assert served.pollutant_trend("PM10", ["x"], (2025, 2025)).count() == 1
     assert served.traffic_vs_background("NO2", "x", (date(2026, 1, 1), date(2026, 1, 1))).count() == 1
@@ -310,6 +317,12 @@ def test_checks_of_the_data(served, spark):
     assert serving.recent_completeness(served.read("mart_data_completeness").limit(0), 30).first().share == 0.0
     now = datetime(2026, 1, 3)
     assert serving.is_fresh(now - timedelta(hours=48), now, 48) and not serving.is_fresh(now - timedelta(hours=49), now, 48) and not serving.is_fresh(None, now, 48)
+    stamps = spark.createDataFrame([(now - timedelta(hours=49),), (now - timedelta(hours=60),)], "t timestamp")
+    assert rows(serving.freshness(stamps, "t", F.lit(now), 48), "age_hours", "passed") == [(49.0, False)]
+    assert rows(serving.freshness(stamps, "t", F.lit(now), 49), "passed") == [(True,)]
+    assert rows(serving.freshness(stamps.limit(0), "t", F.lit(now), 49), "newest", "passed") == [(None, False)]
+    verdict = serving.completeness_verdict(served.read("mart_data_completeness"), 40, 0.98).first()
+    assert (verdict.complete, verdict.total, verdict.passed) == (39, 40, False)
 
 
 def test_missing_months(spark):
@@ -324,15 +337,15 @@ def test_missing_months(spark):
 def test_export(served, tmp_path):
     now = datetime(2026, 2, 10, tzinfo=UTC)
     meta = serving.export_marts(served, tmp_path, EngineConfig(), now, ["someone"])
-    assert meta["schema_version"] == 1 and meta["period"] == {"from": "2026-01-01", "to": "2026-02-09"} and meta["rows"]["exceedances.json"] == 2
+    assert meta["schema_version"] == 1 and meta["period"] == {"from": "2026-01-01", "to": "2026-02-09"} and meta["files"]["exceedances.json"] == 2 and meta["credits"] == ["someone"]
     assert [r["max_value_ugm3"] for r in json.loads((tmp_path / "exceedances.json").read_text())] == [1.235, None]
     assert json.loads((tmp_path / "weather-correlation.json").read_text())[0]["corr_pm10_wind"] is None
     monthly = json.loads((tmp_path / "completeness-monthly.json").read_text())
     assert [(r["month"], r["days"], r["complete_days"]) for r in monthly] == [("2026-01-01", 31, 30), ("2026-02-01", 9, 9)]
     with pytest.raises(ExportTooLargeError):
         serving.export_marts(served, tmp_path / "b", EngineConfig(max_export_bytes=50), now)
-    with pytest.raises(TypeError):
-        serving.to_json_value([1])
+    assert not (tmp_path / "b/exceedances.json").exists()
+    assert list(json.loads((tmp_path / "pollutant-trend.json").read_text())[0]) == serving.COLUMNS["mart_pollutant_trend"]
 
 
 def test_command_line(spark, tmp_path, capsys, monkeypatch):
@@ -351,7 +364,7 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
         (row,) = spark.table("mart_exceedances_yearly").collect()
         assert (row.station_id, row.year, row.exceedances, row.valid_periods) == (7000014, 2025, 19, 29)
         main(["export", "--out", str(tmp_path / "json")], spark)
-        assert json.loads((tmp_path / "json/meta.json").read_text())["rows"]["exceedances.json"] == 1
+        assert json.loads((tmp_path / "json/meta.json").read_text())["files"]["exceedances.json"] == 1
         capsys.readouterr()
         main(["gaps", "--root", root, "--today", "2025-03-10"], spark)
         assert capsys.readouterr().out.split() == ["2025-01-29", "2025-01-31", "2025-02-01", "2025-02-28", "2025-03-01", "2025-03-10"]
