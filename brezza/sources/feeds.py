@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Iterator, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from brezza.functions.temporal import add_hours
 
 # The formats of the sources.
 _ARCHIVE_HEADER = "COD_STAZ,ID_PARAM,DATA_INIZIO,DATA_FINE,VALORE,UM"
+_ARCHIVE_TIME = r"^\d\d/\d\d/\d{4} ([01]\d|2[0-4])$"
 _PAGE = """struct<_items: array<struct<_id: string, station_id: string, parameter_id: string, reftime: string, value: double, parameter_unit: string,
 validity: string>>, _meta: struct<total: bigint>>"""
 _TYPES_PAGE = "struct<_items: array<struct<_id: string, nome: string, sigla_provincia: string, tipo_stazione: string, zona: string, _updated: string>>, _meta: struct<total: bigint>>"
@@ -29,66 +30,92 @@ def or_fail(value: Column, *message: Column | str) -> Column:
     return F.when(value.isNotNull(), value).otherwise(F.raise_error(F.concat(*(F.coalesce(p.cast("string"), F.lit("null")) for p in parts))))
 
 
-def archive_files(root: str, window: DateWindow) -> list[str]:
-    """The yearly CSV files (plain or gzip) in folders ``..._<year>`` whose year the window touches, sorted; others are not listed."""
+def archive_files(spark: SparkSession, root: str, window: DateWindow) -> list[str]:
+    """The yearly CSV files (plain or gzip) in folders ``..._<year>`` whose year the window touches, sorted; others are not listed.
+
+    ``root`` is a path of any file system that the session knows.
+    """
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def inside(folder: Any) -> list[Any]:
+        return sorted(system.listStatus(folder), key=lambda status: status.getPath().getName())
+
     found = []
-    for folder in sorted(os.listdir(root)):
-        year = folder.rsplit("_", 1)[-1]
-        if year.isdigit() and window.within_year(int(year)):
-            inside = os.path.join(root, folder)
-            found += [os.path.join(inside, f) for f in sorted(os.listdir(inside)) if f.endswith((".csv", ".csv.gz"))]
+    for folder in inside(top):
+        year = folder.getPath().getName().rsplit("_", 1)[-1]
+        if folder.isDirectory() and year.isdigit() and window.within_year(int(year)):
+            found += [f.getPath().toString() for f in inside(folder.getPath()) if f.getPath().getName().endswith((".csv", ".csv.gz"))]
     return found
 
 
+def parse_archive_rows(cells: DataFrame, utc_offset_hours: int) -> DataFrame:
+    """All columns and ``station_id, pollutant_id, period_start, period_end, value, measured_at, problem`` of rows of the archive's six text columns.
+
+    Times are a local day and an hour from 00 to 24, where hour 24 is the end of its day.  An interval of a day or more is stamped with its start, a
+    shorter one with its end.  ``problem`` is null, or the first of ``station``, ``parameter``, ``time``, ``value`` and ``interval`` that cannot be read;
+    then ``measured_at`` is null.
+    """
+
+    def moment(column: str) -> Column:
+        text = F.trim(column)
+        day = F.try_to_timestamp(F.substring(text, 1, 10), F.lit("dd/MM/yyyy")).cast("timestamp_ntz")
+        return F.when(text.rlike(_ARCHIVE_TIME), add_hours(day, F.substring(text, 12, 2).try_cast("int")))
+
+    read = cells.select(
+        "*",
+        station_code(F.col("cod_staz")).alias("station_id"),
+        F.trim(F.col("id_param").cast("string")).try_cast("bigint").alias("pollutant_id"),
+        moment("data_inizio").alias("period_start"),
+        moment("data_fine").alias("period_end"),
+        F.trim("valore").try_cast("double").alias("value"),
+    )
+    minutes = F.timestamp_diff("MINUTE", F.col("period_start"), F.col("period_end"))
+    problem = (
+        F.when(F.col("station_id").isNull(), "station")
+        .when(F.col("pollutant_id").isNull(), "parameter")
+        .when(minutes.isNull(), "time")
+        .when(F.col("value").isNull(), "value")
+        .when(minutes <= 0, "interval")
+    )
+    local = F.when(minutes >= 1440, F.col("period_start")).otherwise(F.col("period_end"))
+    stamped = read.withColumn("problem", problem)
+    return stamped.withColumn("measured_at", F.when(F.col("problem").isNull(), add_hours(local, -utc_offset_hours).cast("timestamp")))
+
+
 def read_archive(spark: SparkSession, files: Sequence[str], utc_offset_hours: int, window: DateWindow | None = None) -> DataFrame:
-    """Raw measurements of yearly CSV files.
+    """Raw measurements of yearly CSV files, which are split like any others (see ``parse_archive_rows`` for the stamps).
 
-    An interval of a day or more is stamped with its start, a shorter one with its end.  With a window, only values whose period begins on one
-    of its local days are kept.  A file with another header, or a row that cannot be read, is an error that names file and row.
+    With a window, only values whose period begins on one of its local days are kept.  A file with another header, or a row that cannot be read, is
+    an error that names file and row.
     """
     if not files:
         from brezza.schemas import ARCHIVE
 
         return spark.createDataFrame([], ARCHIVE.schema)
-    texts = spark.read.text(list(files), wholetext=True).select(F.col("_metadata.file_name").alias("_file"), F.split("value", r"\r?\n").alias("_lines"))
-    header = or_fail(F.when(F.trim(F.get("_lines", F.lit(0))) == _ARCHIVE_HEADER, F.lit(True)), F.col("_file"), ": unexpected header")
-    lines = texts.where(header).select("_file", F.posexplode("_lines").alias("_row", "_line")).where((F.col("_row") > 0) & (F.trim("_line") != ""))
-    cells = F.split("_line", ",")
-    place = (F.col("_file"), F.lit(", row "), F.col("_row") + 1, F.lit(": "))
-
-    def cell(k: int) -> Column:
-        return F.trim(F.get(cells, F.lit(k)))
-
-    def moment(k: int) -> Column:
-        return or_fail(F.try_to_timestamp(cell(k), F.lit("dd/MM/yyyy HH")).cast("timestamp_ntz"), *place, "time ", cell(k))
-
-    read = lines.select(
-        or_fail(station_code(cell(0)), *place, "station ", cell(0)).alias("station_id"),
-        or_fail(cell(1).try_cast("bigint"), *place, "parameter ", cell(1)).alias("pollutant_id"),
-        moment(2).alias("_start"),
-        moment(3).alias("_end"),
-        or_fail(cell(4).try_cast("double"), *place, "value ", cell(4)).alias("value"),
-        F.nullif(cell(5), F.lit("")).alias("unit"),
-        F.lit(None).cast("string").alias("validation_flag"),
-        F.concat_ws("/", cell(2), cell(3)).alias("raw_reftime"),
-        *(p.alias(f"_p{k}") for k, p in enumerate(place)),
-    )
-    minutes = F.timestamp_diff("MINUTE", F.col("_start"), F.col("_end"))
-    length = or_fail(F.when(minutes > 0, minutes), *(F.col(f"_p{k}") for k in range(4)), "the interval ends before it begins")
-    local = F.when(length >= 1440, F.col("_start")).otherwise(F.col("_end"))
+    names = _ARCHIVE_HEADER.split(",")
+    schema = ", ".join(f"{name} string" for name in names)
+    raw = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(list(files))
+    cells = raw.select(F.col("_metadata.file_name").alias("_file"), *(F.col(name).alias(name.lower()) for name in names))
+    read = parse_archive_rows(cells, utc_offset_hours)
+    row = F.concat_ws(",", *(F.coalesce(name.lower(), F.lit("")) for name in names))
+    complaint = F.concat(F.col("_file"), F.lit(": "), F.col("problem"), F.lit(" of row "), row)
+    station = F.when(F.col("problem").isNull(), F.col("station_id")).otherwise(F.raise_error(complaint).cast("bigint"))
+    checked = read.select(station.alias("station_id"), "pollutant_id", "period_start", "measured_at", "value", F.nullif(F.trim("um"), F.lit("")).alias("unit"), F.concat_ws("/", F.trim("data_inizio"), F.trim("data_fine")).alias("raw_reftime"))
     if window is not None:
-        read = read.where(F.to_date("_start").between(window.first, window.last))
-    stamped = add_hours(local, -utc_offset_hours).cast("timestamp").alias("measured_at")
-    return read.select("station_id", "pollutant_id", stamped, "value", "unit", "validation_flag", "raw_reftime")
+        checked = checked.where(F.col("station_id").isNotNull() & F.to_date("period_start").between(window.first, window.last))
+    return checked.select("station_id", "pollutant_id", "measured_at", "value", "unit", F.lit(None).cast("string").alias("validation_flag"), "raw_reftime")
 
 
 def parse_measurement_pages(
-    pages: DataFrame, body: str, stations: DataFrame, pollutants: DataFrame, daily: Iterable[int], window: DateWindow | None = None
+    pages: DataFrame, body: str, stations: DataFrame, pollutants: DataFrame, daily: Iterable[int], window: DateWindow | None = None, problems: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(raw measurements, archive numbers of stations that have no id) of JSON pages.
 
     ``stations`` and ``pollutants`` map ``archive_id`` to ``id``.  The archive stamps hours at their start and days at their end; both are
-    moved to the opposite.  Records of unknown stations are left out, an unknown parameter or an unreadable time is an error.
+    moved to the opposite.  Records of unknown stations are left out, an unknown parameter or an unreadable time is an error.  With ``problems``
+    such records are kept instead, with a null stamp, and each record has its ``record_id`` and ``problem`` (``parameter``, ``time`` or null).
     """
     items = pages.select(F.inline(or_fail(F.from_json(body, _PAGE)["_items"], "a page is not the expected JSON")))
     known = items.join(stations.select(F.col("archive_id").alias("station_id"), F.col("id").alias("_station")), "station_id", "left")
@@ -97,17 +124,25 @@ def parse_measurement_pages(
         pollutants.select(F.col("archive_id").alias("parameter_id"), F.col("id").alias("_pollutant")), "parameter_id", "left"
     )
     place = (F.lit("record "), F.col("_id"), F.lit(": "))
-    pollutant = or_fail(F.col("_pollutant"), *place, "parameter_id ", F.col("parameter_id"))
+
+    def demanded(value: Column, *message: Column | str) -> Column:
+        return value if problems else or_fail(value, *place, *message)
+
+    pollutant = demanded(F.col("_pollutant"), "parameter_id ", F.col("parameter_id"))
     offset = F.regexp_extract("reftime", r"(Z|[+-]\d\d:\d\d)$", 1)
-    stated = or_fail(F.when(offset != "", F.try_to_timestamp("reftime")), *place, "reftime ", F.col("reftime"))
+    stated = demanded(F.when(offset != "", F.try_to_timestamp("reftime")), "reftime ", F.col("reftime"))
     is_daily = F.col("pollutant_id").isin(list(daily))
-    read = mapped.select(F.col("_station").alias("station_id"), pollutant.alias("pollutant_id"), stated.alias("_stated"), "value", F.col("parameter_unit").alias("unit"), F.col("validity").alias("validation_flag"), F.col("reftime").alias("raw_reftime"))
+    read = mapped.select(F.col("_station").alias("station_id"), pollutant.alias("pollutant_id"), stated.alias("_stated"), "value", F.col("parameter_unit").alias("unit"), F.col("validity").alias("validation_flag"), F.col("reftime").alias("raw_reftime"), F.col("_id").alias("record_id"))
     local = F.try_to_timestamp(F.substring("raw_reftime", 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
     begins = F.when(is_daily, local - F.expr("interval 1 day")).otherwise(local)
     moved = F.when(is_daily, F.col("_stated") - F.expr("interval 1 day")).otherwise(F.col("_stated") + F.expr("interval 1 hour"))
     if window is not None:
         read = read.where(F.to_date(begins).between(window.first, window.last))
-    return read.select("station_id", "pollutant_id", moved.alias("measured_at"), "value", "unit", "validation_flag", "raw_reftime"), unmapped
+    kept = read.select("station_id", "pollutant_id", moved.alias("measured_at"), "value", "unit", "validation_flag", "raw_reftime", "record_id")
+    if not problems:
+        return kept.drop("record_id"), unmapped
+    problem = F.when(F.col("pollutant_id").isNull(), "parameter").when(F.col("measured_at").isNull(), "time")
+    return kept.withColumn("problem", problem).withColumn("measured_at", F.when(F.col("problem").isNull(), F.col("measured_at"))), unmapped
 
 
 def measurement_filter(window: DateWindow, parameters: Sequence[str], offset: str = "+01:00") -> dict:
@@ -120,7 +155,10 @@ def measurement_filter(window: DateWindow, parameters: Sequence[str], offset: st
 
 def read_station_registry(spark: SparkSession, path: str) -> DataFrame:
     """Sensors of the registry CSV, one row per station and pollutant; a station code that is no number is an error."""
-    raw = spark.read.option("header", True).csv(path)
+    return parse_station_registry(spark.read.option("header", True).csv(path))
+
+
+def parse_station_registry(raw: DataFrame) -> DataFrame:
     place = (F.lit("registry: station "), F.col("Cod_staz"))
     return raw.select(
         or_fail(station_code(F.col("Cod_staz")), *place).alias("station_id"),
@@ -168,6 +206,11 @@ def weather_locations(stations: DataFrame, decimals: int) -> DataFrame:
     return first.select("location_id", "_at.latitude", "_at.longitude").orderBy("location_id")
 
 
+def weather_variables() -> str:
+    """The hourly variables to ask the weather service for."""
+    return ",".join(_WEATHER_FIELDS)
+
+
 def chunks(values: Sequence, size: int = 10) -> Iterator[Sequence]:
     """Requests hold at most ``size`` locations."""
     return (values[k : k + size] for k in range(0, len(values), size))

@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import UTC, date, datetime, timedelta
 
 import pytest
@@ -29,6 +30,11 @@ def test_archive_stamps(spark, tmp_path):
     path = archive(tmp_path, ["7000014,5,01/01/2025 00,02/01/2025 00,32,ug/m3", "7.000.014,8,31/12/2024 23,01/01/2025 00,6,ug/m3"])
     got = rows(feeds.read_archive(spark, [path], 1), "pollutant_id", F.col("measured_at").cast("string"), "value")
     assert got == [(5, "2024-12-31 23:00:00", 32.0), (8, "2024-12-31 23:00:00", 6.0)]
+    (tmp_path / "bad.csv").write_text("COD_STAZ,ID_PARAM,DATA_INIZIO,DATA_FINE,UM,VALORE\n7000014,5,01/01/2025 00,02/01/2025 00,ug/m3,32\n")
+    with pytest.raises(Exception, match="header"):
+        feeds.read_archive(spark, [str(tmp_path / "bad.csv")], 1).collect()
+    late = archive(tmp_path, ["7000014,8,01/01/2025 23,01/01/2025 24,6,"], "storico_2025/late.csv")
+    assert rows(feeds.read_archive(spark, [late], 1), F.col("measured_at").cast("string"), "unit") == [("2025-01-01 23:00:00", None)]
     inside = feeds.read_archive(spark, [path], 1, DateWindow(date(2025, 1, 1), date(2025, 1, 1)))
     assert rows(inside, "pollutant_id") == [(5,)]
 
@@ -36,14 +42,14 @@ def test_archive_stamps(spark, tmp_path):
 @pytest.mark.parametrize("line", ["7000014,5,2025-01-01,02/01/2025 00,3,ug/m3", "7000014,5,01/01/2025 00,02/01/2025 00,n.d.,ug/m3", "7000014,5,01/01/2025 00,01/01/2025 00,3,ug/m3", "x,5,01/01/2025 00,02/01/2025 00,3,ug/m3"])
 def test_archive_errors_name_file_and_row(spark, tmp_path, line):
     path = archive(tmp_path, ["7000014,5,01/01/2025 00,02/01/2025 00,32,ug/m3", line])
-    with pytest.raises(SparkRuntimeException, match="a.csv, row 3"):
+    with pytest.raises(SparkRuntimeException, match="a.csv: [a-z]+ of row " + re.escape(line[:12])):
         feeds.read_archive(spark, [path], 1).collect()
 
 
-def test_archive_files_by_year(tmp_path):
+def test_archive_files_by_year(spark, tmp_path):
     for name in ("storico_2024/b.csv", "storico_2025/a.csv", "storico_2025/c.csv.gz", "storico_2025/notes.txt", "other/x.csv", "storico_2026/z.csv"):
         archive(tmp_path, [], name)
-    found = feeds.archive_files(str(tmp_path), DateWindow(date(2024, 12, 31), date(2025, 2, 1)))
+    found = feeds.archive_files(spark, str(tmp_path), DateWindow(date(2024, 12, 31), date(2025, 2, 1)))
     assert [f.rsplit("/", 1)[-1] for f in found] == ["b.csv", "a.csv", "c.csv.gz"]
 
 
@@ -146,6 +152,14 @@ def test_retries():
         http.page_count("[]", 2000)
 
 
+def test_bodies_that_do_not_parse_are_fetched_again():
+    pauses = []
+    service = Service(b"[1, 2", TransportError("down", 503), b"[1, 2]")
+    assert http.get_parsed(service, "u", {}, http.parsed_json, sleep=pauses.append) == [1, 2] and service.calls == 3 and pauses == [1.0, 1.0]
+    with pytest.raises(FormatError):
+        http.get_parsed(Service(*[b"[1"] * 3), "u", {}, http.parsed_json, attempts=3, sleep=pauses.append)
+
+
 class Pages(http.PagedJson):
     @classmethod
     def name(cls):
