@@ -60,12 +60,12 @@ def stage_weather(raw: DataFrame) -> DataFrame:
 
 
 def deduplicated_measurements(
-    sources: dict[str, DataFrame], pollutants: DataFrame, config: EngineConfig, loaded: DataFrame | None = None, reprocess_from: Column | None = None
+    sources: dict[str, DataFrame], pollutants: DataFrame, config: EngineConfig, loaded: DataFrame | None = None, reprocess_from: Column | None = None, merge: bool = True
 ) -> DataFrame:
     """The fact: one row per natural key from the source of best priority, with its period, local day and flags.
 
     ``sources`` are staged tables by name.  With the ``loaded`` fact, the rows in scope of an incremental run replace theirs in it; an
-    empty one means all rows.  Hourly values are stamped at the end of their hour, daily ones at the start of their day.
+    empty one means all rows; without ``merge`` only the rows in scope come out.  Hourly values are stamped at the end of their hour, daily ones at the start of their day.
     """
     united = union_tagged(sources, "source_name")
     if loaded is not None:
@@ -79,7 +79,12 @@ def deduplicated_measurements(
     start = F.when(F.col("averaging_minutes") == 60, add_hours(F.col("measured_at_utc"), -1)).otherwise(F.col("measured_at_utc"))
     dated = known.withColumn("period_start_utc", start).withColumn("measurement_date", local_day(F.col("period_start_utc"), config.local_utc_offset_hours))
     fact = dated.withColumns(Q.flags(F.col("concentration_ugm3"), F.col("max_plausible_ugm3"))).select(*FACT_COLUMNS)
-    return fact if loaded is None else delete_insert(loaded, fact, FACT_KEY)
+    return fact if loaded is None or not merge else delete_insert(loaded, fact, FACT_KEY)
+
+
+def scope_of(loaded: DataFrame) -> DataFrame:
+    """What an incremental run needs to know of the loaded fact."""
+    return loaded.select(*FACT_KEY, "source_name")
 
 
 def daily_measurements(facts: DataFrame, config: EngineConfig) -> DataFrame:

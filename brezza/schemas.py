@@ -58,6 +58,8 @@ STATION_TYPES = Dataset(
 )
 LIMITS_SCHEMA = _columns(pollutant_id="int!", pollutant_code="string!", metric="string!", limit_ugm3="double!", max_exceedances_per_year="int!", limit_type="string", legal_reference="string")
 POLLUTANTS_SCHEMA = _columns(pollutant_id="int!", pollutant_code="string!", pollutant_name="string", averaging_minutes="int!", max_plausible_ugm3="double")
+ARCHIVE_PARAMETERS_SCHEMA = _columns(pollutant_id="int!", averaging_minutes="int!", archive_parameter_id="string")
+STATION_MAP_SCHEMA = _columns(archive_id="string!", id="bigint!")
 TYPES_REFERENCE_SCHEMA = _columns(station_id="int!", station_type="string!", area_type="string", source_label="string", bulletin_id="string")
 
 

@@ -18,6 +18,7 @@ from brezza.operators.relational import upsert_relation
 from brezza.schemas import Dataset, check_schema
 
 MONTH = ["year", "month"]
+ROWS_PER_FILE = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -35,14 +36,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_dataset(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
-    """A stored dataset with its declared columns; partition columns stay texts, so that ``08`` does not become ``8``.
+    """A stored dataset with its declared columns, without those of its month partitions.
 
     A file that lacks a column or holds another type is an error.  A dataset that was never written is empty.
     """
     path = f"{root}/{dataset.path}"
     if not path_exists(spark, path):
         return spark.createDataFrame([], dataset.schema)
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     stored = spark.read.parquet(path)
     if "extracted_on" in dataset.schema.names:
         stored = stored.withColumn("extracted_on", F.col("extracted_on").cast("date"))
@@ -54,16 +54,19 @@ def _with_month(df: DataFrame, time: str) -> DataFrame:
     return df.withColumn("year", F.date_format(time, "yyyy")).withColumn("month", F.date_format(time, "MM"))
 
 
-def upsert_months(incoming: DataFrame, root: str, dataset: Dataset, sequence: str | None = None, files_per_month: int = 1) -> WriteReport:
-    """Writes a batch; rows of equal key are replaced.  Of several in the batch the greatest by ``sequence``, else by values, holds."""
+def upsert_months(incoming: DataFrame, root: str, dataset: Dataset, sequence: str | None = None, files_per_month: int | None = None) -> WriteReport:
+    """Writes a batch; rows of equal key are replaced.  Of several in the batch the greatest by ``sequence``, else by values, holds.
+
+    A month has a file for every ``ROWS_PER_FILE`` rows of the largest month, unless a number is given.
+    """
     spark = incoming.sparkSession
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert dataset.time is not None
     batch = shared_checkpoint(incoming)
     touched = [tuple(r) for r in _with_month(batch.select(dataset.time), dataset.time).select(*MONTH).distinct().collect()]
     if not touched:
         return WriteReport()
-    wanted = F.concat("year", "month").isin([y + m for y, m in touched])
+    # Of partition columns, whose texts are read as numbers; the filter still prunes.
+    wanted = F.format_string("%04d%02d", F.col("year").cast("int"), F.col("month").cast("int")).isin([y + m for y, m in touched])
     stored = read_dataset(spark, root, dataset)
     path = f"{root}/{dataset.path}"
     if path_exists(spark, path):
@@ -74,6 +77,8 @@ def upsert_months(incoming: DataFrame, root: str, dataset: Dataset, sequence: st
     dirty = sorted({r.year + r.month for r in counts if r["_change"] in ("inserted", "updated")})
     number = {kind: sum(r["count"] for r in counts if r["_change"] == kind) for kind in ("inserted", "updated", "unchanged", "kept")}
     if dirty:
+        sizes = {kind: sum(r["count"] for r in counts if r.year + r.month == kind) for kind in dirty}
+        files_per_month = files_per_month or -(-max(sizes.values()) // ROWS_PER_FILE)
         rows = changes.where(F.concat("year", "month").isin(dirty)).drop("_change")
         spread = [F.col("year"), F.col("month"), F.pmod(F.xxhash64(*dataset.key), F.lit(files_per_month))]
         (
@@ -90,10 +95,13 @@ def upsert_months(incoming: DataFrame, root: str, dataset: Dataset, sequence: st
 def write_snapshot(rows: DataFrame, root: str, dataset: Dataset, day: date) -> int:
     """Replaces the snapshot of a day, and gives the number of its rows; other days stay as they are."""
     names = [n for n in dataset.schema.names if n != "extracted_on"]
-    snapshot = rows.select(*names).dropDuplicates(list(dataset.key)).coalesce(1).sortWithinPartitions(*dataset.key)
+    values = [n for n in names if n not in dataset.key]
+    # Of several rows of a key the greatest holds, so that the snapshot does not depend on their order.
+    snapshot = shared_checkpoint(rows.select(*names).groupBy(*dataset.key).agg(F.max(F.struct(*values)).alias("_row")).select(*dataset.key, "_row.*").select(*names))
+    number = snapshot.count()
     path = f"{root}/{dataset.path}/extracted_on={day.isoformat()}"
-    snapshot.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.parquet(path).count()
+    snapshot.repartitionByRange(max(1, -(-number // ROWS_PER_FILE)), *dataset.key).sortWithinPartitions(*dataset.key).write.mode("overwrite").parquet(path)
+    return number
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -106,3 +114,24 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
     df.sparkSession.catalog.dropTempView(name)
     df.write.mode("overwrite").saveAsTable(name)
     return df.sparkSession.table(name)
+
+
+def table_exists(spark: SparkSession, name: str) -> bool:
+    """Whether there is a stored table of this name; a view is none."""
+    return any(t.name == name and not t.isTemporary for t in spark.catalog.listTables())
+
+
+def replace_months(df: DataFrame, name: str, time: str, months: DataFrame | None = None) -> DataFrame:
+    """Writes a table in partitions by the month of ``time``, all of them, or those of ``months`` (a column ``part``) in place of what they hold.
+
+    ``df`` may read the table itself: what is written is checkpointed before.
+    """
+    spark = df.sparkSession
+    spark.catalog.dropTempView(name)
+    part = F.date_format(time, "yyyy-MM")
+    if months is None or not table_exists(spark, name):
+        df.withColumn("part", part).repartition("part").write.mode("overwrite").partitionBy("part").saveAsTable(name)
+    else:
+        fresh = shared_checkpoint(df.withColumn("part", part).join(months, "part", "left_semi").select(*df.columns, "part"))
+        fresh.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+    return spark.table(name).drop("part")

@@ -102,7 +102,8 @@ class _Part(InputPartition):
         self.number, self.params, self.body, self.about = number, params, body, about
 
 
-def _sound(body: str) -> str:
+def sound_json(body: str) -> str:
+    """The body, if it is JSON."""
     parsed_json(body)
     return body
 
@@ -143,7 +144,7 @@ class _PagedReader(DataSourceReader):
 
     def read(self, partition: InputPartition) -> Iterator[tuple[int, str]]:
         assert isinstance(partition, _Part)
-        body = partition.body if partition.body is not None else get_parsed(self._transport, self._url, partition.params, _sound)
+        body = partition.body if partition.body is not None else get_parsed(self._transport, self._url, partition.params, sound_json)
         page = json.loads(body)
         if not isinstance(page, dict) or page.get("_items") != []:
             yield partition.number, body
@@ -183,4 +184,4 @@ class _WeatherReader(DataSourceReader):
 
     def read(self, partition: InputPartition) -> Iterator[tuple[str, str]]:
         assert isinstance(partition, _Part)
-        yield get_parsed(self._transport, self._options["url"], partition.params, _sound), partition.about or "[]"
+        yield get_parsed(self._transport, self._options["url"], partition.params, sound_json), partition.about or "[]"

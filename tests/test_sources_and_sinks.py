@@ -384,3 +384,90 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
         assert capsys.readouterr().out.split() == ["2025-01-29", "2025-01-31", "2025-02-01", "2025-02-28", "2025-03-01", "2025-03-10"]
     finally:
         spark.catalog.setCurrentDatabase("default")
+
+
+@pytest.fixture
+def service():
+    """A local server of the three services; some of its first answers are cut short or fail."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from urllib.parse import parse_qs, urlparse
+
+    seen = []
+    records = [(f"r{k}", "2000", "30", f"2026-06-{1 + k // 24:02d}T{k % 24:02d}:00:00+01:00", float(k), "ug/m3", None) for k in range(50)] + [("x", "9999", "30", "2026-06-01T00:00:00+01:00", 1.0, "ug/m3", None)]
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked = urlparse(self.path)
+            query = {k: v[0] for k, v in parse_qs(asked.query).items()}
+            seen.append((asked.path, query))
+            status, body = 200, ""
+            if asked.path == "/measurements":
+                number, size = int(query["page"]), int(query["max_results"])
+                body = page(*records[(number - 1) * size : number * size]).replace(f'"total": {len(records[(number - 1) * size : number * size])}', f'"total": {len(records)}')
+                if number == 2 and sum(1 for p, q in seen if q.get("page") == "2") == 1:
+                    body = body[:40]
+                if number == 3 and sum(1 for p, q in seen if q.get("page") == "3") == 1:
+                    status = 503
+            elif asked.path == "/types":
+                body = json.dumps({"_items": [{"_id": "7.000.014", "nome": "A", "sigla_provincia": "BO", "tipo_stazione": "Traffico", "zona": "Urbana", "_updated": "Mon, 02 Mar 2026 10:00:00 GMT"}], "_meta": {"total": 1}})
+            else:
+                body = json.dumps([weather(times=("2026-06-01T00:00", "2026-06-01T01:00")) for _ in query["latitude"].split(",")])
+            self.send_response(status)
+            self.end_headers()
+            self.wfile.write(body.encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}", seen
+    server.shutdown()
+
+
+def test_run_weather_and_incremental_build(spark, tmp_path, capsys, service):
+    from brezza.__main__ import main
+
+    url, seen = service
+    (tmp_path / "s.csv").write_text("archive_id,id\n2000,7000014\n")
+    (tmp_path / "p.csv").write_text("pollutant_id,averaging_minutes,archive_parameter_id\n8,60,30\n5,1440,31\n")
+    (tmp_path / "r.csv").write_text("Cod_staz,Stazione,COMUNE,PROVINCIA,INDIRIZZO,Altezza,LON_GEO,LAT_GEO,Id_Param,PARAMETRO,UM\n7000014,A,Bologna,BO,Via X,54,11.35,44.48,8,NO2,ug/m3\n")
+    root = str(tmp_path / "raw")
+    window = ["--from", "2026-06-01", "--to", "2026-06-03"]
+    main(["run", "--root", root, "--measurements-url", f"{url}/measurements", "--types-url", f"{url}/types", "--registry", str(tmp_path / "r.csv"), "--stations", str(tmp_path / "s.csv"), "--pollutants", str(tmp_path / "p.csv"), "--page-size", "20", *window], spark)
+    said = capsys.readouterr().out
+    assert "rows_inserted=50" in said and "no id for station 9999" in said and "sensors: 1" in said and "station types: 1" in said
+    assert json.loads(seen[0][1]["where"])["parameter_id"] == {"$in": ["30", "31"]}
+    main(["weather", "--root", root, "--weather-url", f"{url}/weather", *window], spark)
+    assert "rows_inserted=1" in capsys.readouterr().out  # an hour without values is left out
+    assert seen[-1][1]["start_date"] == "2026-06-01" and seen[-1][1]["timezone"] == "GMT"
+
+    (tmp_path / "all.csv").write_text("pollutant_id,pollutant_code,pollutant_name,averaging_minutes,max_plausible_ugm3\n8,NO2,NO2,60,1000\n")
+    (tmp_path / "t.csv").write_text("station_id,station_type,area_type,source_label,bulletin_id\n")
+    build = ["build", "--root", root, "--pollutants", str(tmp_path / "all.csv"), "--types", str(tmp_path / "t.csv")]
+    spark.sql("create database if not exists steps")
+    spark.catalog.setCurrentDatabase("steps")
+    try:
+        main(build, spark)
+        facts = spark.table("int_measurements_deduplicated")
+        assert facts.count() == 50 and {r.part for r in facts.select("part").distinct().collect()} == {"2026-05", "2026-06"} - ({"2026-05"} if facts.where("part = '2026-05'").count() == 0 else set())
+        # Revisions: one within the last thirty days, one before them, and one new row.
+        t = datetime(2026, 6, 1, 5, tzinfo=UTC)
+        old = t - timedelta(days=90)
+        upsert(spark, root, [(7000014, 8, t, 500.0, "ug/m3", None, "r"), (7000014, 8, old, 1.0, "ug/m3", None, "r"), (7000014, 8, t + timedelta(days=20), 7.0, "ug/m3", None, "r")])
+
+        def values():
+            spark.catalog.refreshTable("int_measurements_deduplicated")
+            return {r.measured_at_utc: r.concentration_ugm3 for r in spark.table("int_measurements_deduplicated").collect()}
+
+        main(build, spark)
+        got = values()
+        assert got[t.replace(tzinfo=None)] == 500.0 and old.replace(tzinfo=None) not in got and len(got) == 51
+        main([*build, "--reprocess-from", "2026-01-01"], spark)
+        got = values()
+        assert got[old.replace(tzinfo=None)] == 1.0 and len(got) == 52
+        main([*build, "--full"], spark)
+        assert values() == got
+    finally:
+        spark.catalog.setCurrentDatabase("default")
