@@ -97,36 +97,66 @@ def _weather(spark: SparkSession, d: str, stations: DataFrame) -> DataFrame:
 
 
 def s05_archive_stamps(spark: SparkSession, d: str) -> DataFrame:
-    """The stamp of archive rows in the plain notation: the start of intervals of a day or more, else their end.
-
-    Both texts must be a day and an hour from 00 to 24, where hour 24 is the end of its day; rows in other notations or with a day that
-    does not exist give nothing.
-    """
-    notation = "^[0-3][0-9]/[01][0-9]/20[0-9]{2} ([01][0-9]|2[0-4])$"
-    rows = table(spark, d, "csv_row").where(F.col("data_inizio").rlike(notation) & F.col("data_fine").rlike(notation))
-    start, end = (X.add_hours(F.try_to_timestamp(F.substring(c, 1, 10), F.lit("dd/MM/yyyy")).cast("timestamp_ntz"), F.substring(c, 12, 2).cast("int")) for c in ("data_inizio", "data_fine"))
-    minutes = F.timestamp_diff("MINUTE", F.col("s"), F.col("e"))
-    placed = rows.select("file_name", "row_no", Q.station_code(F.col("cod_staz")).alias("station_id"), start.alias("s"), end.alias("e")).where("e > s")
-    stamp = X.add_hours(F.when(minutes >= 1440, F.col("s")).otherwise(F.col("e")), -CONFIG.local_utc_offset_hours)
-    return placed.select("file_name", "row_no", "station_id", stamp.alias("measured_at_utc")).distinct()
+    """Every row of the yearly files through the parser of the archive: its ids, stamp and value, or what of it cannot be read."""
+    read = feeds.parse_archive_rows(table(spark, d, "csv_row"), CONFIG.local_utc_offset_hours)
+    return read.select("file_name", "row_no", "station_id", "pollutant_id", X.to_naive_utc(F.col("measured_at")).alias("measured_at_utc"), "value", "problem").distinct()
 
 
 def s07_archive_records(spark: SparkSession, d: str) -> DataFrame:
-    """Records of the archive service, each as a JSON page: mapped to the engine's ids and moved to its stamps.
+    """Every record of the archive service, each as a JSON page: mapped to the engine's ids and moved to its stamps, or what of it cannot be read.
 
-    Every record whose reftime the operator can read is passed on: a day and a time with or without a fraction of a second, and ``Z`` or
-    ``+hh:mm``.  Null values are carried through.
+    Records without a station number are those of unknown stations, which the parser leaves out.
     """
-    readable = F.col("reftime").rlike(r"^20\d\d-\d\d-\d\d[T ]\d\d:\d\d(:\d\d([.]\d+)?)?(Z|[+-]\d\d:\d\d)$") & F.try_to_timestamp("reftime").isNotNull()
-    plain = table(spark, d, "measurement_record").where(readable)
+    records = table(spark, d, "measurement_record")
     pollutants = table(spark, d, "arpae_pollutants").select(F.col("archive_parameter_id").alias("archive_id"), F.col("pollutant_id").alias("id"))
     item = F.struct(*(F.col(c) for c in ("_id", "station_id", "parameter_id", "reftime", "value", "parameter_unit", "validity")))
-    pages = plain.select(F.to_json(F.struct(F.array(item).alias("_items"), F.struct(F.lit(1).alias("total")).alias("_meta"))).alias("body"))
+    pages = records.select(F.to_json(F.struct(F.array(item).alias("_items"), F.struct(F.lit(1).alias("total")).alias("_meta"))).alias("body"))
     number = F.col("station_id").try_cast("bigint")
-    stations = plain.select(F.col("station_id").alias("archive_id"), number.alias("id")).where(number.isNotNull()).distinct()
+    stations = records.select(F.col("station_id").alias("archive_id"), number.alias("id")).where(number.isNotNull()).distinct()
     daily = [r.id for r in table(spark, d, "arpae_pollutants").where("averaging_minutes = 1440").select(F.col("pollutant_id").alias("id")).collect()]
-    read, _ = feeds.parse_measurement_pages(pages, "body", stations, pollutants, daily)
-    return read.select("station_id", F.col("pollutant_id").cast("bigint").alias("pollutant_id"), X.to_naive_utc(F.col("measured_at")).alias("measured_at_utc"), "value", "raw_reftime").distinct()
+    read, _ = feeds.parse_measurement_pages(pages, "body", stations, pollutants, daily, problems=True)
+    return read.select("record_id", "station_id", F.col("pollutant_id").cast("bigint").alias("pollutant_id"), X.to_naive_utc(F.col("measured_at")).alias("measured_at_utc"), "value", "raw_reftime", "problem").distinct()
+
+
+def s09_station_registry(spark: SparkSession, d: str) -> DataFrame:
+    """All snapshots of the registry as rows of its CSV file, read back."""
+    stations = table(spark, d, "stg_arpae__stations")
+    names = {"Cod_staz": "station_id", "Stazione": "station_name", "COMUNE": "municipality", "PROVINCIA": "province", "INDIRIZZO": "address", "Altezza": "altitude_m", "LON_GEO": "longitude",
+             "LAT_GEO": "latitude", "Id_Param": "pollutant_id", "PARAMETRO": "pollutant_name", "UM": "unit_original"}
+    return _rounded(feeds.parse_station_registry(stations.select(*(F.col(c).cast("string").alias(name) for name, c in names.items()))))
+
+
+def s10_station_types(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of the type registry, one for each station and day; area and exposure are derived from the station's number."""
+    days = table(spark, d, "stg_arpae__stations").select("station_id", "extracted_on").distinct()
+    step = F.pmod(F.col("station_id"), F.lit(3))
+    item = F.struct(
+        F.col("station_id").cast("string").alias("_id"),
+        F.concat(F.lit(" S"), "station_id").alias("nome"),
+        F.lit("BO ").alias("sigla_provincia"),
+        F.when(step == 0, "Traffico").when(step == 1, " Fondo ").otherwise("").alias("tipo_stazione"),
+        F.when(step == 2, "Rurale").otherwise("Urbana").alias("zona"),
+        F.concat(F.date_format("extracted_on", "EEE, dd MMM yyyy"), F.lit(" 10:00:00 GMT")).alias("_updated"),
+    )
+    pages = days.select(F.to_json(F.struct(F.array(item).alias("_items"), F.struct(F.lit(1).alias("total")).alias("_meta"))).alias("body"))
+    return feeds.parse_station_types(pages, "body")
+
+
+def s11_weather(spark: SparkSession, d: str) -> DataFrame:
+    """Answers of the weather service, one for each ozone station and day, with the readings as temperatures and every third wind missing."""
+    ozone = _facts(spark, d).where((F.col("pollutant_code") == "O3") & F.col("concentration_ugm3").isNotNull())
+    wind = F.when(F.hour("measured_at_utc") % 3 != 0, F.col("concentration_ugm3") / 8)
+    hours = ozone.groupBy("station_id", F.to_date("measured_at_utc").alias("day")).agg(
+        F.sort_array(F.collect_list(F.struct(F.date_format("measured_at_utc", "yyyy-MM-dd'T'HH:mm").alias("time"), F.col("concentration_ugm3").alias("t"), wind.alias("w")))).alias("h")
+    )
+    none = F.transform("h", lambda h: F.lit(None).cast("double"))
+    series = F.struct(
+        F.col("h.time").alias("time"), F.col("h.t").alias("temperature_2m"), none.alias("precipitation"), F.col("h.w").alias("wind_speed_10m"), none.alias("wind_direction_10m"), none.alias("surface_pressure")
+    )
+    answer = F.struct(F.lit(44.5).alias("latitude"), F.lit(11.5).alias("longitude"), F.lit(0).alias("utc_offset_seconds"), series.alias("hourly"))
+    place = F.array(F.struct(F.concat(F.lit("L"), "station_id").alias("location_id"), F.lit(44.4).alias("latitude"), F.lit(11.4).alias("longitude")))
+    read = feeds.parse_weather(hours.select(F.to_json(answer, {"ignoreNullFields": "false"}).alias("body"), place.alias("asked")), "body", "asked")
+    return read.select("location_id", "latitude", "grid_latitude", X.to_naive_utc(F.col("observed_at")).alias("observed_at_utc"), F.round("temperature_c", 6).alias("temperature_c"), F.round("wind_speed_ms", 6).alias("wind_speed_ms"))
 
 
 def s14_weather_locations(spark: SparkSession, d: str) -> DataFrame:
@@ -179,6 +209,26 @@ def pred06_reprocess_scope(spark: SparkSession, d: str) -> DataFrame:
     return scope.select(*UPSERT_KEY)
 
 
+def m01_staged_measurements(spark: SparkSession, d: str) -> DataFrame:
+    feed = table(spark, d, "stg_arpae__measurements")
+    raw = feed.select("station_id", "pollutant_id", F.col("measured_at_utc").cast("timestamp").alias("measured_at"), F.col("value_original").alias("value"), F.col("unit_original").alias("unit"), "validation_flag", "raw_reftime")
+    return _rounded(models.stage_measurements(raw))
+
+
+def m02_staged_stations(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(models.stage_stations(table(spark, d, "stg_arpae__stations").withColumnRenamed("unit_original", "unit")))
+
+
+def m04_staged_weather(spark: SparkSession, d: str) -> DataFrame:
+    """The ozone table as raw weather."""
+    none = F.lit(None).cast("double")
+    raw = table(spark, d, "int_o3_8h_rolling").select(
+        F.col("station_id").alias("location_id"), F.col("measured_at_utc").cast("timestamp").alias("observed_at"), F.col("rolling_8h_mean_ugm3").alias("temperature_c"), none.alias("precipitation_mm"),
+        F.col("valid_hours_in_window").cast("double").alias("wind_speed_ms"), none.alias("wind_direction_deg"), none.alias("surface_pressure_hpa"),
+    )
+    return _rounded(models.stage_weather(raw))
+
+
 def m06_measurements_deduplicated(spark: SparkSession, d: str) -> DataFrame:
     """The fact from the archive (what is loaded) and the newest feed, with the archive before the feed."""
     columns = [*UPSERT_KEY, "concentration_ugm3", "value_original", "unit_original", "validation_flag"]
@@ -214,28 +264,48 @@ def m11_weather_daily(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(models.daily_weather(_weather(spark, d, _stations(spark, d)), CONFIG))
 
 
-def m12_exceedances_yearly(spark: SparkSession, d: str) -> DataFrame:
+def _exceedances(spark: SparkSession, d: str) -> DataFrame:
     rolling = table(spark, d, "int_o3_8h_rolling")
-    return _rounded(marts.yearly_exceedances(_daily(spark, d), _facts(spark, d), rolling, seeds.air_quality_limits(spark, table(spark, d, "arpae_pollutants")), _stations(spark, d), CONFIG))
+    return marts.yearly_exceedances(_daily(spark, d), _facts(spark, d), rolling, seeds.air_quality_limits(spark, table(spark, d, "arpae_pollutants")), _stations(spark, d), CONFIG)
+
+
+def m12_exceedances_yearly(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(_exceedances(spark, d))
+
+
+def _completeness(spark: SparkSession, d: str) -> DataFrame:
+    return marts.data_completeness(_daily(spark, d), _stations(spark, d))
 
 
 def m13_data_completeness(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(marts.data_completeness(_daily(spark, d), _stations(spark, d)))
+    return _rounded(_completeness(spark, d))
+
+
+def _trend(spark: SparkSession, d: str) -> DataFrame:
+    return marts.pollutant_trend(_daily(spark, d), _stations(spark, d), CONFIG)
 
 
 def m14_pollutant_trend(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(marts.pollutant_trend(_daily(spark, d), _stations(spark, d), CONFIG))
+    return _rounded(_trend(spark, d))
 
 
-def m15_traffic_vs_background(spark: SparkSession, d: str) -> DataFrame:
+def _traffic(spark: SparkSession, d: str) -> DataFrame:
     types = models.current_station_types(_types(spark, d), _types_reference(spark, d))
     # By province, as few municipalities of the test data have both kinds of station.
-    return _rounded(marts.traffic_vs_background(_daily(spark, d), types, _stations(spark, d).withColumn("municipality", F.col("province"))))
+    return marts.traffic_vs_background(_daily(spark, d), types, _stations(spark, d).withColumn("municipality", F.col("province")))
 
 
-def m16_weather_correlation(spark: SparkSession, d: str) -> DataFrame:
+def m15_traffic_vs_background(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(_traffic(spark, d))
+
+
+def _correlation(spark: SparkSession, d: str) -> DataFrame:
     stations = _stations(spark, d)
-    return _rounded(marts.weather_correlation(_daily(spark, d), stations, models.daily_weather(_weather(spark, d, stations), CONFIG), CONFIG))
+    return marts.weather_correlation(_daily(spark, d), stations, models.daily_weather(_weather(spark, d, stations), CONFIG), CONFIG)
+
+
+def m16_weather_correlation(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(_correlation(spark, d))
 
 
 def k01_upsert(spark: SparkSession, d: str) -> DataFrame:
@@ -261,13 +331,49 @@ def q01_duplicates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q02_orphans(spark: SparkSession, d: str) -> DataFrame:
-    return quality.orphans(_facts(spark, d).select("station_id", "pollutant_id").distinct(), "station_id", table(spark, d, "snap_arpae__stations"), "station_id")
+    """Series of the registry of which the fact has no reading."""
+    series = F.concat_ws(":", "station_id", "pollutant_id")
+    listed = table(spark, d, "stg_arpae__stations").select(*SERIES, series.alias("series")).distinct()
+    return quality.orphans(listed, "series", _facts(spark, d).select(series.alias("series")), "series").select(*SERIES)
+
+
+def q02_nulls(spark: SparkSession, d: str) -> DataFrame:
+    return quality.nulls(table(spark, d, "stg_arpae__measurements"), "unit_original").select("row_id")
 
 
 def q02_unaccepted(spark: SparkSession, d: str) -> DataFrame:
     return quality.unaccepted(table(spark, d, "stg_arpae__measurements"), "unit_original", [*Q.MICROGRAMS, *Q.MILLIGRAMS])
 
 
+def q03_correlations(spark: SparkSession, d: str) -> DataFrame:
+    """Correlations beyond a tenth, by a tolerance below zero; none is beyond one."""
+    beyond = quality.correlations_out_of_range(m16_weather_correlation(spark, d), ["corr_pm10_wind", "corr_pm10_precipitation"], -0.9)
+    return beyond.select("station_id", "season", "corr_pm10_wind", "corr_pm10_precipitation")
+
+
+def q05_inconsistent_exceedances(spark: SparkSession, d: str) -> DataFrame:
+    """What the check would find if a limit had been exceeded a hundred times more."""
+    yearly = m12_exceedances_yearly(spark, d).withColumn("exceedances", F.col("exceedances") + 100)
+    return quality.inconsistent_exceedances(yearly).select("station_id", "pollutant_id", "year", "exceedances", "valid_periods")
+
+
+def q07_missing_kinds(spark: SparkSession, d: str) -> DataFrame:
+    types = models.current_station_types(_types(spark, d), _types_reference(spark, d))
+    return quality.missing_kinds(types, "station_type", ["traffic", "background", "industrial", "harbour", "other"])
+
+
+def q08_implausible(spark: SparkSession, d: str) -> DataFrame:
+    return quality.flagged(_facts(spark, d), "is_implausible")
+
+
+def q08_negative(spark: SparkSession, d: str) -> DataFrame:
+    return quality.flagged(_facts(spark, d), "is_negative")
+
+
+def q08_stale_types(spark: SparkSession, d: str) -> DataFrame:
+    return quality.stale_types(models.current_station_types(_types(spark, d), _types_reference(spark, d)))
+
+
 def q04_inconsistent_days(spark: SparkSession, d: str) -> DataFrame:
     days = models.daily_measurements(_facts(spark, d).where("not is_implausible"), CONFIG)
     return _rounded(quality.inconsistent_days(days.withColumn("expected_measurements", F.col("expected_measurements") - 1)))
@@ -291,16 +397,54 @@ def x01_distinct(spark: SparkSession, d: str) -> DataFrame:
     return served.distinct("mart_data_completeness", "pollutant_code")
 
 
+def _served(spark: SparkSession, mart: str, df: DataFrame) -> serving.Marts:
+    return serving.Marts(spark, {mart: df})
+
+
 def x02_exceedances(spark: SparkSession, d: str) -> DataFrame:
-    served = serving.Marts(spark, {"mart_exceedances_yearly": m12_exceedances_yearly(spark, d)})
-    return served.exceedances("hourly_mean", None, (2025, 2026)).select("station_id", "year", "exceedances", "valid_periods")
+    return _served(spark, "mart_exceedances_yearly", m12_exceedances_yearly(spark, d)).exceedances("hourly_mean", None, (2025, 2026))
+
+
+def x03_pollutant_trend(spark: SparkSession, d: str) -> DataFrame:
+    return _served(spark, "mart_pollutant_trend", m14_pollutant_trend(spark, d)).pollutant_trend("NO2", None, (2025, 2026))
+
+
+def x04_traffic_vs_background(spark: SparkSession, d: str) -> DataFrame:
+    """The first place that has the pollutant, over a period."""
+    months = m15_traffic_vs_background(spark, d)
+    first = months.where("pollutant_code = 'PM10'").agg(F.min("municipality").alias("m")).first().m
+    return _served(spark, "mart_traffic_vs_background", months).traffic_vs_background("PM10", first or "", (date(2025, 1, 1), date(2026, 12, 31)))
+
+
+def x05_weather_correlation(spark: SparkSession, d: str) -> DataFrame:
+    return _served(spark, "mart_weather_correlation", m16_weather_correlation(spark, d)).weather_correlation(None, ["spring", "summer"])
 
 
 def x06_completeness(spark: SparkSession, d: str) -> DataFrame:
     """One series of completeness over a period; the station is given by its number in place of its name."""
     grid = m13_data_completeness(spark, d).withColumn("station_name", F.col("station_id").cast("string"))
-    served = serving.Marts(spark, {"mart_data_completeness": grid})
-    return served.completeness("9100001", ["PM10", "O3"], (date(2026, 5, 1), date(2026, 6, 15))).select("station_id", "pollutant_code", "measurement_date", "valid_measurements", "is_complete")
+    return _served(spark, "mart_data_completeness", grid).completeness("9100001", ["PM10", "O3"], (date(2026, 5, 1), date(2026, 6, 15)))
+
+
+def x09_export_exceedances(spark: SparkSession, d: str) -> DataFrame:
+    return serving.export_rows(_served(spark, "mart_exceedances_yearly", _exceedances(spark, d)), "exceedances.json")
+
+
+def x10_export_trend(spark: SparkSession, d: str) -> DataFrame:
+    return serving.export_rows(_served(spark, "mart_pollutant_trend", _trend(spark, d)), "pollutant-trend.json")
+
+
+def x11_export_traffic(spark: SparkSession, d: str) -> DataFrame:
+    """From means rounded to six decimals, as those of two stations often end in a half of the third."""
+    return serving.export_rows(_served(spark, "mart_traffic_vs_background", m15_traffic_vs_background(spark, d)), "traffic-vs-background.json")
+
+
+def x12_export_correlation(spark: SparkSession, d: str) -> DataFrame:
+    return serving.export_rows(_served(spark, "mart_weather_correlation", _correlation(spark, d)), "weather-correlation.json")
+
+
+def x13_export_completeness(spark: SparkSession, d: str) -> DataFrame:
+    return serving.export_rows(_served(spark, "mart_data_completeness", _completeness(spark, d)), "completeness-monthly.json")
 
 
 def x07_date_range(spark: SparkSession, d: str) -> DataFrame:
@@ -320,11 +464,14 @@ def x22_missing_months(spark: SparkSession, d: str) -> DataFrame:
 
 
 def x24_freshness(spark: SparkSession, d: str) -> DataFrame:
-    return serving.newest_instant(_facts(spark, d), "measured_at_utc")
+    """The verdict on the fact's age at a fixed instant."""
+    now = F.lit("2026-07-02 00:00:00").cast("timestamp")
+    verdict = serving.freshness(_facts(spark, d), "measured_at_utc", now, CONFIG.raw_freshness_hours)
+    return verdict.select("newest", F.round("age_hours", 6).alias("age_hours"), "passed")
 
 
 def x25_recent_completeness(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(serving.recent_completeness(marts.data_completeness(_daily(spark, d), _stations(spark, d)), CONFIG.completeness_days))
+    return _rounded(serving.completeness_verdict(marts.data_completeness(_daily(spark, d), _stations(spark, d)), CONFIG.completeness_days, CONFIG.min_recent_completeness))
 
 
 def w01_source_precedence(spark: SparkSession, d: str) -> DataFrame:
@@ -349,10 +496,12 @@ def o04_tagged_union(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        s05_archive_stamps, s07_archive_records, s14_weather_locations, f01_unit_conversion, f06_location_id, f10_calendar, f16_unpivot, pred04_latest_snapshot, pred05_incremental_scope,
-        pred06_reprocess_scope, m06_measurements_deduplicated, m06_incremental, m07_measurements_daily, m08_o3_8h_rolling, m09_stations_current, m10_station_types_current, m11_weather_daily,
-        m12_exceedances_yearly, m13_data_completeness, m14_pollutant_trend, m15_traffic_vs_background, m16_weather_correlation, k01_upsert, k09_scd2, k11_monthly_completeness, q01_duplicates,
-        q02_orphans, q02_unaccepted, q04_inconsistent_days, q06_flagged_but_valid, q09_symmetric_difference, x01_distinct, x02_exceedances, x06_completeness, x07_date_range, x19_loaded_days,
-        x22_missing_months, x24_freshness, x25_recent_completeness, w01_source_precedence, o02_sorted_top, o04_tagged_union,
+        s05_archive_stamps, s07_archive_records, s09_station_registry, s10_station_types, s11_weather, s14_weather_locations, f01_unit_conversion, f06_location_id, f10_calendar, f16_unpivot,
+        pred04_latest_snapshot, pred05_incremental_scope, pred06_reprocess_scope, m01_staged_measurements, m02_staged_stations, m04_staged_weather, m06_measurements_deduplicated, m06_incremental,
+        m07_measurements_daily, m08_o3_8h_rolling, m09_stations_current, m10_station_types_current, m11_weather_daily, m12_exceedances_yearly, m13_data_completeness, m14_pollutant_trend,
+        m15_traffic_vs_background, m16_weather_correlation, k01_upsert, k09_scd2, k11_monthly_completeness, q01_duplicates, q02_orphans, q02_nulls, q02_unaccepted, q03_correlations,
+        q04_inconsistent_days, q05_inconsistent_exceedances, q06_flagged_but_valid, q07_missing_kinds, q08_implausible, q08_negative, q08_stale_types, q09_symmetric_difference, x01_distinct,
+        x02_exceedances, x03_pollutant_trend, x04_traffic_vs_background, x05_weather_correlation, x06_completeness, x07_date_range, x09_export_exceedances, x10_export_trend, x11_export_traffic,
+        x12_export_correlation, x13_export_completeness, x19_loaded_days, x22_missing_months, x24_freshness, x25_recent_completeness, w01_source_precedence, o02_sorted_top, o04_tagged_union,
     )
 }

@@ -118,24 +118,97 @@ where f.measured_at_utc >= {0}
     select 1 from loaded l where l.station_id = f.station_id and l.pollutant_id = f.pollutant_id and l.measured_at_utc = f.measured_at_utc and l.source_name = 'archive'))
 """
 
+_YEARS = f"""
+station_years as (
+  select station_id, pollutant_id, pollutant_code, year(measurement_date) as year, avg(daily_mean_ugm3) as m, count(*) / {_DAYS_IN_YEAR.format("year(measurement_date)")} as c
+  from int_measurements_daily where is_valid_day group by station_id, pollutant_id, pollutant_code, year(measurement_date))
+"""
+
+_PAIRED = """
+means as (
+  select s.province as municipality, t.station_type, d.pollutant_id, d.pollutant_code, d.measurement_date, avg(d.daily_mean_ugm3) as m, count(*) as n
+  from int_measurements_daily d join types_current t using (station_id) join stations s using (station_id) where d.is_valid_day group by all),
+paired as (
+  select a.municipality, a.pollutant_id, a.pollutant_code, a.measurement_date, a.m as t, b.m as b, a.n as tn, b.n as bn
+  from means a join means b using (municipality, pollutant_id, measurement_date) where a.station_type = 'traffic' and b.station_type = 'background')
+"""
+
+_CORRELATED = """
+paired as (
+  select d.station_id, s.station_name, s.municipality, d.daily_mean_ugm3 as m, w.wind_speed_mean_ms as w, w.precipitation_mm as p,
+    case when month(d.measurement_date) in (12, 1, 2) then 'winter' when month(d.measurement_date) <= 5 then 'spring' when month(d.measurement_date) <= 8 then 'summer' else 'autumn' end as season
+  from int_measurements_daily d join stations s using (station_id) join weather w on w.location_id = s.weather_location_id and w.weather_date = d.measurement_date
+  where d.pollutant_code = 'PM10' and d.is_valid_day and w.hours / 24 >= 0.75),
+grouped as (
+  select station_id, station_name, municipality, season, count(*) as days, avg(m) as pm10_mean_ugm3,
+    case when count(*) >= 20 and var_pop(w) > 0 and var_pop(m) > 0 then corr(m, w) end as corr_pm10_wind,
+    case when count(*) >= 20 and var_pop(p) > 0 and var_pop(m) > 0 then corr(m, p) end as corr_pm10_precipitation,
+    count(case when w >= 3 then 1 end) as windy_days, avg(case when w >= 3 then m end) as pm10_mean_windy_ugm3, avg(case when w < 3 then m end) as pm10_mean_calm_ugm3,
+    count(case when p >= 1 then 1 end) as rainy_days, avg(case when p >= 1 then m end) as pm10_mean_rainy_ugm3, avg(case when p < 1 then m end) as pm10_mean_dry_ugm3
+  from paired group by station_id, station_name, municipality, season)
+"""
+
+_TREND = """
+select municipality, {0} pollutant_code, year, count(*) as stations, round(avg(m), {1}) as annual_mean_ugm3, round(min(m), {1}) as min_station_mean_ugm3, round(max(m), {1}) as max_station_mean_ugm3,
+  round(min(c), {1}) as min_year_coverage, min(c) >= 0.9 as is_representative from station_years join stations using (station_id) where municipality is not null {2} group by municipality, pollutant_id, pollutant_code, year"""
+
+_TRAFFIC = """
+select municipality, pollutant_code, cast(date_trunc('month', measurement_date) as date) as month, count(*) as days, max(tn) as traffic_stations, max(bn) as background_stations, round(avg(t), {0}) as traffic_mean_ugm3,
+  round(avg(b), {0}) as background_mean_ugm3, round(avg(t) - avg(b), {0}) as difference_ugm3, round(avg(t) / nullif(avg(b), 0), {0}) as traffic_to_background_ratio
+from paired {1} group by municipality, pollutant_id, pollutant_code, cast(date_trunc('month', measurement_date) as date)"""
+
+_THOUSANDTHS = """
+select * replace (round(traffic_mean_ugm3, 3) as traffic_mean_ugm3, round(background_mean_ugm3, 3) as background_mean_ugm3, round(difference_ugm3, 3) as difference_ugm3,
+  round(traffic_to_background_ratio, 3) as traffic_to_background_ratio) from ({0})"""
+
+_CORRELATION = """
+select station_id, station_name, municipality, season, days, round(pm10_mean_ugm3, {0}) as pm10_mean_ugm3, round(corr_pm10_wind, {0}) as corr_pm10_wind, round(corr_pm10_precipitation, {0}) as corr_pm10_precipitation,
+  windy_days, round(pm10_mean_windy_ugm3, {0}) as pm10_mean_windy_ugm3, round(pm10_mean_calm_ugm3, {0}) as pm10_mean_calm_ugm3, rainy_days, round(pm10_mean_rainy_ugm3, {0}) as pm10_mean_rainy_ugm3,
+  round(pm10_mean_dry_ugm3, {0}) as pm10_mean_dry_ugm3 from grouped {1}"""
+
+_EXPORTED = """
+exported as ({0})
+select to_json(e)::varchar as line from exported e"""
+
+_EXCEEDED = """
+select y.station_id, s.station_name, s.municipality, {0} pollutant_code, metric, year, exceedances, limit_ugm3, max_exceedances_per_year, exceedances > max_exceedances_per_year as is_over_allowed_exceedances,
+  round(max_value_ugm3, {1}) as max_value_ugm3, valid_periods, round(valid_periods / (n * (make_date(year + 1, 1, 1) - make_date(year, 1, 1))), {1}) as year_coverage
+from yearly y left join stations s using (station_id)"""
+
 ORACLES: dict[str, str] = {
     "s05_archive_stamps": """
-with rows as (
-  select file_name, row_no, cast(replace(cod_staz, '.', '') as bigint) as station_id,
-    try_strptime(data_inizio[1:10], '%d/%m/%Y') + to_hours(try_cast(data_inizio[12:13] as int)) as s, try_strptime(data_fine[1:10], '%d/%m/%Y') + to_hours(try_cast(data_fine[12:13] as int)) as e
-  from csv_row
-  where regexp_full_match(data_inizio, '[0-3][0-9]/[01][0-9]/20[0-9]{2} ([01][0-9]|2[0-4])') and regexp_full_match(data_fine, '[0-3][0-9]/[01][0-9]/20[0-9]{2} ([01][0-9]|2[0-4])'))
-select distinct file_name, row_no, station_id, case when e - s >= interval 24 hour then s else e end - interval 1 hour as measured_at_utc from rows where e > s""",
+with parsed as (
+  select file_name, row_no, case when regexp_full_match(replace(trim(cod_staz), '.', ''), '[0-9]{1,10}') then cast(replace(trim(cod_staz), '.', '') as bigint) end as station_id,
+    cast(id_param as bigint) as pollutant_id, try_cast(trim(valore) as double) as value,
+    case when regexp_full_match(trim(data_inizio), '\\d\\d/\\d\\d/\\d{4} ([01]\\d|2[0-4])') then try_strptime(trim(data_inizio)[1:10], '%d/%m/%Y') + to_hours(cast(trim(data_inizio)[12:13] as int)) end as s,
+    case when regexp_full_match(trim(data_fine), '\\d\\d/\\d\\d/\\d{4} ([01]\\d|2[0-4])') then try_strptime(trim(data_fine)[1:10], '%d/%m/%Y') + to_hours(cast(trim(data_fine)[12:13] as int)) end as e
+  from csv_row),
+judged as (
+  select *, case when station_id is null then 'station' when pollutant_id is null then 'parameter' when s is null or e is null then 'time' when value is null then 'value' when e <= s then 'interval' end as problem from parsed)
+select distinct file_name, row_no, station_id, pollutant_id, case when problem is null then case when e - s >= interval 24 hour then s else e end - interval 1 hour end as measured_at_utc, value, problem
+from judged""",
     "s07_archive_records": r"""
 with records as (
   select *, regexp_extract(reftime, '(Z|[+-]\d\d:\d\d)$', 1) as zone, try_cast(replace(regexp_extract(reftime, '^(.*?)(Z|[+-]\d\d:\d\d)$', 1), 'T', ' ') as timestamp) as local
-  from measurement_record where regexp_full_match(reftime, '20\d\d-\d\d-\d\d[T ]\d\d:\d\d(:\d\d([.]\d+)?)?(Z|[+-]\d\d:\d\d)')),
+  from measurement_record where try_cast(station_id as bigint) is not null),
 placed as (
-  select *, local - to_minutes(case when zone = 'Z' then 0 else case when zone[1] = '-' then -1 else 1 end * (coalesce(try_cast(zone[2:3] as int), 0) * 60 + coalesce(try_cast(zone[5:6] as int), 0)) end) as moment
-  from records where local is not null)
-select distinct cast(r.station_id as bigint) as station_id, cast(p.pollutant_id as bigint) as pollutant_id,
-  case when p.averaging_minutes = 1440 then moment - interval 1 day else moment + interval 1 hour end as measured_at_utc, value, reftime as raw_reftime
-from placed r join arpae_pollutants p on p.archive_parameter_id = r.parameter_id""",
+  select *, case when regexp_full_match(reftime, '20\d\d-\d\d-\d\d[T ]\d\d:\d\d(:\d\d([.]\d+)?)?(Z|[+-]\d\d:\d\d)')
+    then local - to_minutes(case when zone = 'Z' then 0 else case when zone[1] = '-' then -1 else 1 end * (coalesce(try_cast(zone[2:3] as int), 0) * 60 + coalesce(try_cast(zone[5:6] as int), 0)) end) end as moment
+  from records)
+select distinct _id as record_id, cast(r.station_id as bigint) as station_id, cast(p.pollutant_id as bigint) as pollutant_id,
+  case when p.pollutant_id is null then null when p.averaging_minutes = 1440 then moment - interval 1 day else moment + interval 1 hour end as measured_at_utc, value, reftime as raw_reftime,
+  case when p.pollutant_id is null then 'parameter' when moment is null then 'time' end as problem
+from placed r left join arpae_pollutants p on p.archive_parameter_id = r.parameter_id""",
+    "s09_station_registry": """
+select cast(station_id as bigint) as station_id, trim(station_name) as station_name, trim(municipality) as municipality, trim(province) as province, trim(address) as address, round(altitude_m, 6) as altitude_m,
+  round(longitude, 6) as longitude, round(latitude, 6) as latitude, cast(pollutant_id as bigint) as pollutant_id, trim(pollutant_name) as pollutant_name, trim(unit_original) as unit from stg_arpae__stations""",
+    "s10_station_types": """
+select distinct cast(station_id as bigint) as station_id, 'S' || station_id as station_name, 'BO' as province, case station_id % 3 when 0 then 'Urbana Traffico' when 1 then 'Urbana Fondo' else 'Rurale' end as type_label,
+  strftime(extracted_on, '%Y%m%d') as bulletin_id from stg_arpae__stations""",
+    "s11_weather": """
+select 'L' || station_id as location_id, 44.4::double as latitude, 44.5::double as grid_latitude, measured_at_utc as observed_at_utc, round(concentration_ugm3, 6) as temperature_c,
+  round(case when hour(measured_at_utc) % 3 <> 0 then concentration_ugm3 / 8 end, 6) as wind_speed_ms
+from int_measurements_deduplicated where pollutant_code = 'O3' and concentration_ugm3 is not null""",
     "s14_weather_locations": """
 with cells as (
   select cast(cast(round(latitude * 10) as bigint) as varchar) || '_' || cast(cast(round(longitude * 10) as bigint) as varchar) as location_id, latitude, longitude
@@ -159,6 +232,14 @@ from (unpivot (select station_id, pollutant_id, measurement_date, daily_mean_ugm
 select distinct station_id, pollutant_id, station_name, extracted_on from stg_arpae__stations where extracted_on = (select max(extracted_on) from stg_arpae__stations)""",
     "pred05_incremental_scope": _SCOPE.format("(select max(measured_at_utc) - interval 30 day from loaded)"),
     "pred06_reprocess_scope": _SCOPE.format("(select least(max(measured_at_utc) - interval 30 day, timestamp '2026-05-10' - interval 1 day) from loaded)"),
+    "m01_staged_measurements": """
+select station_id, pollutant_id, measured_at_utc, round(case when unit_original in ('ug/m3', 'µg/m³') then value_original when unit_original in ('mg/m3', 'mg/m³') then value_original * 1000 end, 6) as concentration_ugm3,
+  round(value_original, 6) as value_original, unit_original, validation_flag from stg_arpae__measurements""",
+    "m02_staged_stations": """
+select * replace (round(altitude_m, 6) as altitude_m, round(longitude, 6) as longitude, round(latitude, 6) as latitude) from stg_arpae__stations where extracted_on = (select max(extracted_on) from stg_arpae__stations)""",
+    "m04_staged_weather": """
+select station_id as location_id, measured_at_utc as observed_at_utc, round(rolling_8h_mean_ugm3, 6) as temperature_c, null::double as precipitation_mm, valid_hours_in_window::double as wind_speed_ms,
+  null::double as wind_direction_deg, null::double as surface_pressure_hpa from int_o3_8h_rolling""",
     "m06_measurements_deduplicated": f"""
 with {_FEED},
 united as (
@@ -210,37 +291,19 @@ from yearly y left join stations s using (station_id)""",
     "m13_data_completeness": f"with {_STATIONS}, {_GRID} select * replace (round(completeness, 6) as completeness) from completeness",
     "m14_pollutant_trend": f"""
 with {_STATIONS},
-station_years as (
-  select station_id, pollutant_id, pollutant_code, year(measurement_date) as year, avg(daily_mean_ugm3) as m, count(*) / {_DAYS_IN_YEAR.format("year(measurement_date)")} as c
-  from int_measurements_daily where is_valid_day group by station_id, pollutant_id, pollutant_code, year(measurement_date))
+{_YEARS}
 select municipality, pollutant_id, pollutant_code, year, count(*) as stations, round(avg(m), 6) as annual_mean_ugm3, round(min(m), 6) as min_station_mean_ugm3,
   round(max(m), 6) as max_station_mean_ugm3, round(min(c), 6) as min_year_coverage, min(c) >= 0.9 as is_representative
 from station_years join stations using (station_id) where municipality is not null group by all""",
     "m15_traffic_vs_background": f"""
 with {_STATIONS},
-means as (
-  select s.province as municipality, t.station_type, d.pollutant_id, d.pollutant_code, d.measurement_date, avg(d.daily_mean_ugm3) as m, count(*) as n
-  from int_measurements_daily d join types_current t using (station_id) join stations s using (station_id) where d.is_valid_day group by all),
-paired as (
-  select a.municipality, a.pollutant_id, a.pollutant_code, a.measurement_date, a.m as t, b.m as b, a.n as tn, b.n as bn
-  from means a join means b using (municipality, pollutant_id, measurement_date) where a.station_type = 'traffic' and b.station_type = 'background')
+{_PAIRED}
 select municipality, pollutant_id, pollutant_code, cast(date_trunc('month', measurement_date) as date) as month, count(*) as days, max(tn) as traffic_stations, max(bn) as background_stations,
   round(avg(t), 6) as traffic_mean_ugm3, round(avg(b), 6) as background_mean_ugm3, round(avg(t) - avg(b), 6) as difference_ugm3, round(avg(t) / nullif(avg(b), 0), 6) as traffic_to_background_ratio
 from paired group by all""",
     "m16_weather_correlation": f"""
 with {_STATIONS}, {_WEATHER},
-paired as (
-  select d.station_id, s.station_name, s.municipality, d.daily_mean_ugm3 as m, w.wind_speed_mean_ms as w, w.precipitation_mm as p,
-    case when month(d.measurement_date) in (12, 1, 2) then 'winter' when month(d.measurement_date) <= 5 then 'spring' when month(d.measurement_date) <= 8 then 'summer' else 'autumn' end as season
-  from int_measurements_daily d join stations s using (station_id) join weather w on w.location_id = s.weather_location_id and w.weather_date = d.measurement_date
-  where d.pollutant_code = 'PM10' and d.is_valid_day and w.hours / 24 >= 0.75),
-grouped as (
-  select station_id, station_name, municipality, season, count(*) as days, avg(m) as pm10_mean_ugm3,
-    case when count(*) >= 20 and var_pop(w) > 0 and var_pop(m) > 0 then corr(m, w) end as corr_pm10_wind,
-    case when count(*) >= 20 and var_pop(p) > 0 and var_pop(m) > 0 then corr(m, p) end as corr_pm10_precipitation,
-    count(case when w >= 3 then 1 end) as windy_days, avg(case when w >= 3 then m end) as pm10_mean_windy_ugm3, avg(case when w < 3 then m end) as pm10_mean_calm_ugm3,
-    count(case when p >= 1 then 1 end) as rainy_days, avg(case when p >= 1 then m end) as pm10_mean_rainy_ugm3, avg(case when p < 1 then m end) as pm10_mean_dry_ugm3
-  from paired group by station_id, station_name, municipality, season)
+{_CORRELATED}
 select station_id, station_name, municipality, season, days, round(pm10_mean_ugm3, 6) as pm10_mean_ugm3, round(corr_pm10_wind, 6) as corr_pm10_wind,
   round(corr_pm10_precipitation, 6) as corr_pm10_precipitation, windy_days, round(pm10_mean_windy_ugm3, 6) as pm10_mean_windy_ugm3, round(pm10_mean_calm_ugm3, 6) as pm10_mean_calm_ugm3,
   rainy_days, round(pm10_mean_rainy_ugm3, 6) as pm10_mean_rainy_ugm3, round(pm10_mean_dry_ugm3, 6) as pm10_mean_dry_ugm3
@@ -266,9 +329,23 @@ select station_id, pollutant_code, cast(date_trunc('month', measurement_date) as
     "q01_duplicates": """
 select station_id, pollutant_id, measured_at_utc, count(*) as rows from stg_arpae__measurements group by all having count(*) > 1""",
     "q02_orphans": """
-select distinct station_id, pollutant_id from int_measurements_deduplicated where station_id is not null and station_id not in (select station_id from snap_arpae__stations)""",
+select distinct station_id, pollutant_id from stg_arpae__stations s where station_id is not null and pollutant_id is not null
+  and not exists (select 1 from int_measurements_deduplicated f where f.station_id = s.station_id and f.pollutant_id = s.pollutant_id)""",
+    "q02_nulls": "select row_id from stg_arpae__measurements where unit_original is null",
     "q02_unaccepted": """
 select unit_original, count(*) as rows from stg_arpae__measurements where unit_original not in ('ug/m3', 'µg/m³', 'mg/m3', 'mg/m³') group by all""",
+    "q03_correlations": f"""
+with {_STATIONS}, {_WEATHER}, {_CORRELATED}
+select station_id, season, round(corr_pm10_wind, 6) as corr_pm10_wind, round(corr_pm10_precipitation, 6) as corr_pm10_precipitation from grouped
+where abs(corr_pm10_wind) > 0.1000001 or abs(corr_pm10_precipitation) > 0.1000001""",
+    "q05_inconsistent_exceedances": f"""
+with {_LIMITS} select station_id, pollutant_id, year, exceedances + 100 as exceedances, valid_periods from yearly where exceedances + 100 > valid_periods""",
+    "q07_missing_kinds": f"""
+with {_TYPES} select k as station_type from unnest(['traffic', 'background', 'industrial', 'harbour', 'other']) u(k) where k not in (select station_type from types_current)""",
+    "q08_implausible": "select station_id, pollutant_id, measured_at_utc, concentration_ugm3 from int_measurements_deduplicated where is_implausible",
+    "q08_negative": "select station_id, pollutant_id, measured_at_utc, concentration_ugm3 from int_measurements_deduplicated where is_negative",
+    "q08_stale_types": f"""
+with {_TYPES} select station_id, station_type, station_type_source, type_label_original from types_current where station_type_source in ('earlier_snapshot', 'reference')""",
     "q04_inconsistent_days": """
 with days as (
   select station_id, pollutant_id, pollutant_code, averaging_minutes, measurement_date, avg(case when is_valid then concentration_ugm3 end) as m, max(case when is_valid then concentration_ugm3 end) as x,
@@ -290,11 +367,29 @@ union all
 select station_id, pollutant_id, measurement_date, 'right' from (select * from held except all select * from own)""",
     "x01_distinct": "select distinct pollutant_code from int_measurements_daily where pollutant_code is not null",
     "x02_exceedances": f"""
-with {_LIMITS} select station_id, year, exceedances, valid_periods from yearly where metric = 'hourly_mean' and year between 2025 and 2026""",
+with {_STATIONS}, {_LIMITS} {_EXCEEDED.format("", 6)} where metric = 'hourly_mean' and year between 2025 and 2026""",
+    "x03_pollutant_trend": f"""
+with {_STATIONS}, {_YEARS} {_TREND.format("", 6, "and pollutant_code = 'NO2' and year between 2025 and 2026")}""",
+    "x04_traffic_vs_background": f"""
+with {_STATIONS}, {_PAIRED} {_TRAFFIC.format(6, "where pollutant_code = 'PM10' and municipality = (select min(municipality) from paired where pollutant_code = 'PM10') and date_trunc('month', measurement_date) between date '2025-01-01' and date '2026-12-31'")}""",
+    "x05_weather_correlation": f"""
+with {_STATIONS}, {_WEATHER}, {_CORRELATED} {_CORRELATION.format(6, "where season in ('spring', 'summer')")}""",
     "x06_completeness": f"""
 with {_STATIONS}, {_GRID}
-select station_id, pollutant_code, measurement_date, valid_measurements, is_complete from completeness
+select station_id, cast(station_id as varchar) as station_name, pollutant_code, measurement_date, expected_measurements, valid_measurements, round(completeness, 6) as completeness, is_complete from completeness
 where station_id = 9100001 and pollutant_code in ('PM10', 'O3') and measurement_date between date '2026-05-01' and date '2026-06-15'""",
+    "x09_export_exceedances": f"""
+with {_STATIONS}, {_LIMITS}, {_EXPORTED.format(_EXCEEDED.format("", 3))}""",
+    "x10_export_trend": f"""
+with {_STATIONS}, {_YEARS}, {_EXPORTED.format(_TREND.format("", 3, ""))}""",
+    "x11_export_traffic": f"""
+with {_STATIONS}, {_PAIRED}, {_EXPORTED.format(_THOUSANDTHS.format(_TRAFFIC.format(6, "")))}""",
+    "x12_export_correlation": f"""
+with {_STATIONS}, {_WEATHER}, {_CORRELATED}, {_EXPORTED.format(_CORRELATION.format(3, ""))}""",
+    "x13_export_completeness": f"""
+with {_STATIONS}, {_GRID}, {_EXPORTED.format("""
+select station_id, station_name, municipality, pollutant_code, cast(date_trunc('month', measurement_date) as date) as month, count(*) as days, count(*) filter (where is_complete) as complete_days,
+  round(avg(completeness), 3) as completeness from completeness group by all""")}""",
     "x07_date_range": "select min(measurement_date) as first, max(measurement_date) as last from int_measurements_daily",
     "x19_loaded_days": """
 select distinct cast(measured_at_utc + interval 1 hour - interval 1 second as date) as day from int_measurements_deduplicated where measured_at_utc is not null
@@ -306,10 +401,13 @@ months as (
   from (select cast(unnest(generate_series(date '2026-03-01', date '2026-09-01', interval 1 month)) as date) as m))
 select first, last from months
 where first not in (select day from loaded) or (last < date '2026-09-14' and last not in (select day from loaded)) order by first limit 12""",
-    "x24_freshness": "select max(measured_at_utc) as newest from int_measurements_deduplicated",
+    "x24_freshness": """
+select max(measured_at_utc) as newest, round(epoch_us(timestamp '2026-07-02 00:00:00' - max(measured_at_utc)) / 3.6e9, 6) as age_hours,
+  coalesce(epoch_us(timestamp '2026-07-02 00:00:00' - max(measured_at_utc)) / 3.6e9 <= 48, false) as passed from int_measurements_deduplicated""",
     "x25_recent_completeness": f"""
 with {_STATIONS}, {_GRID}
-select count(*) filter (where is_complete) as complete, count(*) as total, round(count(*) filter (where is_complete) / count(*), 6) as share from completeness
+select count(*) filter (where is_complete) as complete, count(*) as total, round(count(*) filter (where is_complete) / count(*), 6) as share,
+  count(*) filter (where is_complete) / count(*) >= 0.9 as passed from completeness
 where measurement_date > (select max(measurement_date) - 30 from completeness)""",
     "w01_source_precedence": """
 select l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem
