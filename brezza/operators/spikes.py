@@ -65,7 +65,7 @@ def _blocks(readings: DataFrame, own: Sequence[str], max_width: int) -> DataFram
     # The filter is the one that the join below infers, so that both of its sides use the same grouping.
     cut = readings.select(*own, block.alias("block"), "us", "v").where(F.col("block").isNotNull() & F.col("period_us").isNotNull())
     rows = cut.groupBy(*own, "block").agg(F.sort_array(F.collect_list(F.struct("us", "v"))).alias("r"))
-    halo, reach = 4 * max_width, 2 * max_width
+    halo, reach = 3 * max_width, 2 * max_width
     n, values = F.size("r"), F.col("r")["v"]
     first, last = F.get("r", F.lit(0))["v"], F.element_at("r", -1)["v"]
 
@@ -197,12 +197,19 @@ def _decompose(b: pa.RecordBatch, number: int) -> dict[str, pa.Array]:
     length = np.bincount(run, minlength=len(run_row)) + np.where(first, before, 0) + np.where(last, after, 0)
     counted = run_row[~(first & (before > 0))]
     longer = run_row[~(first & (before > 0)) & (length >= 2)]
-    lengths = np.zeros(len(us), dtype=np.int32)
-    lengths[inside] = length[run]
+    # Of runs, only those are passed on that may be stuck: where they begin and end in their row, and how long they are in the series.
+    starts = inside[begins] - (np.cumsum(total) - total)[run_row]
+    ends = starts + np.bincount(run, minlength=len(run_row))
+    long = length >= LEAST_RUN
+    held = np.bincount(run_row[long], minlength=n)
     return {
         "us": _lists(us, total, pa.int64()),
         "v": _lists(v, total, pa.float64()),
-        "run": _lists(lengths, total, pa.int32()),
+        "run_from": _lists(starts[long], held, pa.int32()),
+        "run_to": _lists(ends[long], held, pa.int32()),
+        "run_length": _lists(length[long], held, pa.int64()),
+        "own_from": pa.array(sizes[:, 0], pa.int32()),
+        "own_to": pa.array(sizes[:, 0] + sizes[:, 1], pa.int32()),
         **{f"d{k + 1}": _lists(d.astype(np.float32), total, pa.float32()) for k, d in enumerate(details)},
         "bins": _lists(code & ((1 << 32) - 1), histogram, pa.int64()),
         "counts": _lists(count, histogram, pa.int64()),
@@ -288,18 +295,19 @@ def flag_readings(
     own, number = [*keys, "period_us"], len(levels(max_width))
     blocks = _blocks(clean.where("not bad"), own, max_width)
     passed = [*own, "least_sigma"]
-    parts = {"us": pa.int64(), "v": pa.float64(), "run": pa.int32(), **{f"d{k}": pa.float32() for k in range(1, number + 1)}, "bins": pa.int64(), "counts": pa.int64()}
+    parts = {"us": pa.int64(), "v": pa.float64(), "run_from": pa.int32(), "run_to": pa.int32(), "run_length": pa.int64(), **{f"d{k}": pa.float32() for k in range(1, number + 1)}, "bins": pa.int64(), "counts": pa.int64()}
     spark_types = {pa.int64(): T.LongType(), pa.float64(): T.DoubleType(), pa.int32(): T.IntegerType(), pa.float32(): T.FloatType()}
     schema = T.StructType(
-        [blocks.schema[c] for c in passed] + [T.StructField(c, T.ArrayType(spark_types[t])) for c, t in parts.items()] + [T.StructField(c, T.LongType()) for c in ("runs", "long_runs")]
+        [blocks.schema[c] for c in passed] + [T.StructField(c, T.ArrayType(spark_types[t])) for c, t in parts.items()] + [T.StructField(c, T.IntegerType()) for c in ("own_from", "own_to")] + [T.StructField(c, T.LongType()) for c in ("runs", "long_runs")]
     )
+    order = [f.name for f in schema]
 
     def decompose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, whole.num_rows, _PART):
                 b = whole.slice(begin, _PART)
                 found = _decompose(b, number)
-                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in passed), *found.values()], [*passed, *found])
+                yield pa.RecordBatch.from_arrays([found[c] if c in found else b.column(c) for c in order], order)
 
     details = shared_checkpoint(blocks.mapInArrow(decompose, schema))
     scales = broadcast_if_small(shared_checkpoint(_scales(details, own, number)))
@@ -309,15 +317,22 @@ def flag_readings(
         for whole in batches:
             for begin in range(0, whole.num_rows, _PART):
                 b = whole.slice(begin, _PART)
-                row = _rows_of(np.asarray(b.column("us").value_lengths(), dtype=np.int64))
-                us, v, run, *d = (np.asarray(b.column(c).flatten()) for c in ("us", "v", "run", *(f"d{k}" for k in range(1, number + 1))))
+                total = np.asarray(b.column("us").value_lengths(), dtype=np.int64)
+                row, begun = _rows_of(total), np.cumsum(total) - total
+                us, v, *d = (np.asarray(b.column(c).flatten()) for c in ("us", "v", *(f"d{k}" for k in range(1, number + 1))))
                 t = us / np.asarray(b.column("period_us"), dtype=float)[row]
                 sigma = [
                     np.asarray(b.column(f"sigma{k}"), dtype=float)[row] * np.sqrt(np.clip(_stretch(t, row, k), 1, gap_periods)) for k in range(1, number + 1)
                 ]
-                # Readings around a block have no run length: they are judged in their own block.
-                spikes = np.flatnonzero(_pulses(d, sigma, row, max_width, sigmas, most_shift) & (run > 0))
-                stuck = np.flatnonzero(run >= np.asarray(b.column("stuck_from"))[row])
+                # Readings around a block are judged in their own block.
+                at = np.arange(len(us)) - begun[row]
+                own = (at >= np.asarray(b.column("own_from"))[row]) & (at < np.asarray(b.column("own_to"))[row])
+                spikes = np.flatnonzero(_pulses(d, sigma, row, max_width, sigmas, most_shift) & own)
+                run_row = _rows_of(np.asarray(b.column("run_length").value_lengths(), dtype=np.int64))
+                first, last, length = (np.asarray(b.column(c).flatten(), dtype=np.int64) for c in ("run_from", "run_to", "run_length"))
+                long = length >= np.asarray(b.column("stuck_from"))[run_row]
+                held = (last - first)[long]
+                stuck = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held) + np.repeat((begun[run_row] + first)[long], held)
                 at = np.concatenate([spikes, stuck])
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(c).take(pa.array(row[at])) for c in keys), pa.array(us[at]), pa.array(v[at]), pa.array(["spike"] * len(spikes) + ["stuck"] * len(stuck), pa.string())],
