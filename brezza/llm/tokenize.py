@@ -1,11 +1,13 @@
 """Encoding of whole texts with a public byte-level BPE tokenizer, and decoding of its ids.
 
-Scale: a narrow map over the rows, without a shuffle.  Each Python worker compiles the vocabulary once; words recur, so that
-most of a text is found in a bounded memory of encoded words and only new words go through the transducer.
+Scale: a narrow map over the rows, without a shuffle.  The vocabulary is read by the driver and broadcast (a file of up to a few megabytes), so that
+executors need no file of their own; each Python worker compiles it once.  Words recur, so that most of a text is found in a bounded memory of encoded
+words and only new words go through the transducer.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 from collections.abc import Iterator
@@ -14,6 +16,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -22,6 +25,7 @@ from brezza.llm.transducer import PIECES, Transducer, decode_stream, read_ranks
 
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k"
+MOST_BYTES = 32 * 1024 * 1024
 REMEMBERED_WORDS = 200_000
 REMEMBERED_STEPS = 400_000
 
@@ -42,8 +46,8 @@ class Encoder:
     Such words recur and are remembered: the newest ``remembered`` and, of those before them, the ones met again since.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED_WORDS):
-        self.ranks = read_ranks(path)
+    def __init__(self, data: bytes, remembered: int = REMEMBERED_WORDS):
+        self.ranks = read_ranks(data)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self._transducer = Transducer(self.ranks, REMEMBERED_STEPS)
         self._remembered = remembered
@@ -110,19 +114,33 @@ class Encoder:
         return "".join(decode_stream(ids, self.tokens))
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of this process for a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(data: bytes) -> Encoder:
+    """The encoder of this process for a vocabulary (the content of its file)."""
+    name = hashlib.sha256(data).hexdigest()
+    if name not in _encoders:
+        _encoders[name] = Encoder(data)
+    return _encoders[name]
+
+
+def read_vocabulary(path: str) -> bytes:
+    """The content of a vocabulary file; one beyond ``MOST_BYTES`` is an error, as it is broadcast."""
+    with open(path, "rb") as file:
+        data = file.read(MOST_BYTES + 1)
+    if len(data) > MOST_BYTES:
+        raise ValueError(f"{path} has more than {MOST_BYTES} bytes")
+    return data
+
+
+def _shipped(df: DataFrame, path: str) -> Broadcast[bytes]:
+    return df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
 
 def encode_texts(documents: DataFrame, key: str, text: str, path: str) -> DataFrame:
     """``key, ids``: the token ids of each text, an empty list for a null or empty one.  Each row gives one row, whatever its key."""
-    column = documents.schema[key]
+    column, shipped = documents.schema[key], _shipped(documents, path)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path).words
+        words = encoder(shipped.value).words
         for b in in_parts(batches):
             found = [words(t) if t else () for t in b.column(1).to_pylist()]
             ends = np.zeros(len(found) + 1, dtype=np.int32)
@@ -135,9 +153,10 @@ def encode_texts(documents: DataFrame, key: str, text: str, path: str) -> DataFr
 
 def count_tokens(documents: DataFrame, kept: list[str], text: str, path: str) -> DataFrame:
     """``kept, tokens``: the number of tokens of each text, 0 for a null or empty one."""
+    shipped = _shipped(documents, path)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = encoder(path).count
+        number = encoder(shipped.value).count
         for b in in_parts(batches):
             sizes = pa.array([number(t) for t in b.column(b.num_columns - 1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], sizes], [*kept, "tokens"])
@@ -148,9 +167,10 @@ def count_tokens(documents: DataFrame, kept: list[str], text: str, path: str) ->
 
 def round_trips(documents: DataFrame, key: str, text: str, path: str) -> DataFrame:
     """``key, tokens, exact``: whether decoding the encoded text gives the text back (a null text counts as empty)."""
+    shipped = _shipped(documents, path)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own = encoder(shipped.value)
         for b in in_parts(batches):
             ids = [own.encode(t) for t in b.column(1).to_pylist()]
             exact = [own.decode(i) == (t or "") for i, t in zip(ids, b.column(1).to_pylist(), strict=True)]

@@ -19,10 +19,9 @@ _NO_TOKEN = -1
 PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def read_ranks(path: str) -> dict[bytes, int]:
-    """Vocabulary of a file of lines ``base64(token) rank``."""
-    with open(path, "rb") as lines:
-        return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
+def read_ranks(data: bytes) -> dict[bytes, int]:
+    """Vocabulary of lines ``base64(token) rank``."""
+    return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in data.splitlines() if line.strip())}
 
 
 class Transducer:
@@ -46,6 +45,15 @@ class Transducer:
         self._steps: dict[int, tuple[int, tuple[int, ...]]] = {}
         self._ends: dict[int, tuple[int, ...]] = {}
 
+    def _restart(self, state: int) -> int:
+        """Forgets all steps, also in the middle of a piece; gives the number that the state has afterwards."""
+        key = self._keys[state]
+        self._forget()
+        if key not in self._states:
+            self._states[key] = len(self._keys)
+            self._keys.append(key)
+        return self._states[key]
+
     def merged(self, text: bytes) -> list[int]:
         """Encoding by the merges themselves: always the leftmost pair of least rank."""
         parts = [bytes([b]) for b in text]
@@ -114,14 +122,15 @@ class Transducer:
         whole = self._ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if len(self._steps) > self._limit:
-            self._forget()
         state, out, steps = 0, [], self._steps
         for byte in piece:
             at = state << 8 | byte
             known = steps.get(at)
             if known is None:
                 known = steps[at] = self._step(state, byte)
+                if len(steps) > self._limit:
+                    known = self._restart(known[0]), known[1]
+                    steps = self._steps
             state, emitted = known
             if emitted:
                 out.extend(emitted)

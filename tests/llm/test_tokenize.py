@@ -5,11 +5,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from brezza.llm import queries
-from brezza.llm.tokenize import Encoder, count_tokens, encode_texts, encoder, round_trips, vocabulary_path
+from brezza.llm.tokenize import Encoder, count_tokens, encode_texts, encoder, read_vocabulary, round_trips, vocabulary_path
 from brezza.llm.transducer import Transducer, Utf8, decode_stream
 
 tokenizers = pytest.importorskip("tokenizers")
 PATH = vocabulary_path()
+DATA = read_vocabulary(PATH)
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def reference():
 
 @pytest.fixture(scope="module")
 def own():
-    return encoder(PATH)
+    return encoder(DATA)
 
 
 ODD = ["", " ", "  ", "\n", " \n ", "a  b", "a \n b", " a", "a ", "\ta", "a  b", "a  b", "a\x1c b", "a\x85 b", "　 a", "<|endoftext|>", "don't'll we've", "é" * 50, "x" * 500, "1" * 99,
@@ -37,7 +38,7 @@ def test_odd_texts(own, reference, text):
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t'aeinrst.,1é")), max_size=80))
 def test_any_text(text):
-    own = encoder(PATH)
+    own = encoder(DATA)
     rust = tokenizers.Tokenizer.from_file(PATH.replace(".tiktoken", ".json")) if not hasattr(test_any_text, "rust") else test_any_text.rust
     rust.encode_special_tokens = True
     test_any_text.rust = rust
@@ -76,7 +77,7 @@ def test_states_are_met_lazily_and_shared(own):
 
 
 def test_forgetting_words_changes_nothing(reference):
-    tiny = Encoder(PATH, remembered=3)
+    tiny = Encoder(DATA, remembered=3)
     text = "the quick brown fox jumps over the lazy dog and the quick brown cat " * 5
     assert tiny.encode(text) == reference(text)
 
@@ -110,3 +111,32 @@ def test_corpus(spark, small, reference):
     assert got.dtypes == [("doc_id", "bigint"), ("ids", "array<int>")]
     ids = {r.doc_id: list(r.ids) for r in got.collect()}
     assert ids == {k: reference(t) if t else [] for k, t in texts.items()}
+
+
+def test_memory_is_bounded_within_a_piece(own):
+    """One long unbroken piece of random letters, by a transducer that may keep few steps."""
+    chance = random.Random(8)
+    piece = "".join(chance.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000)).encode()
+    small = Transducer(own.ranks, limit=300)
+    most = 0
+    step = small._step
+
+    def counted(state, byte):
+        nonlocal most
+        most = max(most, len(small._steps))
+        return step(state, byte)
+
+    small._step = counted
+    assert small.encode_piece(piece) == own._transducer.encode_piece(piece)
+    assert most <= 300
+
+
+def test_executors_need_no_file(spark, tmp_path):
+    """The vocabulary is shipped: its file may go once the query is made."""
+    import shutil
+
+    copy = tmp_path / "v.tiktoken"
+    shutil.copy(PATH, copy)
+    encoded = encode_texts(spark.createDataFrame([(1, "the court")], "doc_id bigint, text string"), "doc_id", "text", str(copy))
+    copy.unlink()
+    assert encoded.first().ids == encoder(DATA).encode("the court")
