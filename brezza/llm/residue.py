@@ -3,7 +3,8 @@
 Two kinds of document are found:
 
 * texts that consist of error messages, filler or demands for scripts, alone or under a heading.  A multi-pattern automaton marks fragments of such
-  messages in several languages over the whole text.  Strong fragments decide, weak ones count in a line that has a strong one, and a sentence
+  messages in several languages over the whole text.  Strong fragments decide, and so does a denial (built from forms and
+  verbs) beside a thing that fails; weak ones count in a line that has a strong one, and a sentence
   counts whole where its marks cover about half of it.  Lines of nonsense words or pseudo-Latin count where they have hardly any of the words that hold ordinary ones
   together.  The document is excluded when the marks cover at least ``LEAST_COVERAGE`` of the letters of its body;
 * texts in which a slot of a template was left unfilled, or was filled with what a program prints for no value.  The automaton finds openers and closers
@@ -38,7 +39,7 @@ LEAST_OF_SENTENCE = 0.5
 LEAST_WORDS, MOST_FUNCTION_WORDS = 4, 0.15
 LEAST_NONSENSE = 0.6
 
-_STRONG, _WEAK, _OPEN, _CLOSE, _EMPTY, _TELLING = range(6)
+_STRONG, _WEAK, _OPEN, _CLOSE, _EMPTY, _TELLING, _FAILURE, _THING = range(8)
 _LONG_WORD = 64
 _SYMMETRIC = ("@@", "%%", "$$", "__")
 _PAIRS = {"{{": "}}", "${": "}", "#{": "}", "{%": "%}", "<%": "%>", "<<": ">>", "[[": "]]", "&lt;": "&gt;", "{": "}", "«": "»", "[": "]", "(": ")", "<": ">"}
@@ -47,7 +48,7 @@ _NAME = re.compile(r":?\s*[A-Za-z][\w.-]*\s*:?")
 _SENTENCES = re.compile(r"(?<=[.!?…])\s+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _LETTER = re.compile(r"[^\W\d_]")
-_FRAME = re.compile(r"File \"[^\"\n]*\"(?:, line \d+)?(?:, in \S+)?|\bat [\w.$<>]+\([^()\n]*\)|\b\w*(?:Error|Exception|Failure|Warning)\b|\{main\}|\bin /\S+")
+_FRAME = re.compile(r"File \"[^\"\n]*\"(?:, line \d+)?(?:, in \S+)?|\bat [\w.$<>]+\([^()\n]*\)|(?<![\w.$])[\w.$]*(?:Error|Exception|Failure|Warning)\b|\{main\}|\bin /\S+")
 _NAVIGATION = re.compile(r"\s*[^\n·|›»•]+(?:[·|›»•][^\n·|›»•]*)+")
 _SENTENCE_END = re.compile(r"[.!?…;][\"'»”’)\]]*$")
 _LABELLED = re.compile(r"[^\W\d_][^\n:.!?]*:\s")
@@ -63,11 +64,17 @@ def _automata() -> tuple[ahocorasick.Automaton, ahocorasick.Automaton]:
     """The automaton of all that may decide, and the one of strong and weak fragments; compiled once per process."""
     if not _compiled:
         strong = {p for group in (W.ERRORS, W.SCRIPTS, W.FILLERS) for phrases in group.values() for p in phrases}
-        weak = {p for phrases in W.CARRIERS.values() for p in phrases} - strong
+        failures = {f"{denial} {done}" for denials, verbs in W.FAILURES.values() for denial in denials for done in verbs} - strong
+        weak = {p for phrases in W.CARRIERS.values() for p in phrases} - strong - failures - W.FAILING_THINGS
         first, second = ahocorasick.Automaton(), ahocorasick.Automaton()
         for phrase in strong:
             first.add_word(phrase, (_STRONG, len(phrase), phrase))
             second.add_word(phrase, (_STRONG, len(phrase), phrase))
+        for phrase in failures:
+            first.add_word(phrase, (_TELLING, len(phrase), phrase))
+            second.add_word(phrase, (_FAILURE, len(phrase), phrase))
+        for phrase in W.FAILING_THINGS - strong:
+            second.add_word(phrase, (_THING, len(phrase), phrase))
         for phrase in weak:
             second.add_word(phrase, (_WEAK, len(phrase), phrase))
         for part in W.PROGRAM_ERRORS:
@@ -263,12 +270,14 @@ def _judge(sentence: str) -> tuple[int, int, bool]:
     """(marked letters, letters, whether a strong fragment is among the marks) of a sentence; its function words are no letters where something is marked."""
     plain = _without_codes(sentence)
     spans = [m.span() for m in _FRAME.finditer(plain)]
-    lower, strong = _lower(plain), bool(spans)
+    framed = bool(spans)
+    lower, kinds = _lower(plain), set()
     for last, (kind, length, _) in _automata()[1].iter(lower):
         begin, end = last + 1 - length, last + 1
         if _whole(lower, begin, end):
             spans.append((begin, end))
-            strong = strong or kind == _STRONG
+            kinds.add(kind)
+    strong = _STRONG in kinds or {_FAILURE, _THING} <= kinds or framed
     words = list(_WORD.finditer(plain))
     letters = _letters(plain)
     if not strong and len(words) <= 3 and len(plain.split()) < len(sentence.split()):

@@ -13,20 +13,20 @@ def _listed(text: str) -> frozenset[str]:
 
 # Errors.
 ERRORS = {
-    "en": _listed("""not found|could not be found|cannot be found|can't be found|can't find|cannot find|couldn't find|could not find|no longer available|not available|unavailable|does not exist|doesn't exist|moved or deleted|
+    "en": _listed("""not found|could not be found|cannot be found|can't be found|can't find|cannot find|couldn't find|could not find|no longer available|not available|unavailable|does not exist|doesn't exist|seem to exist|moved or deleted|
         has been moved|has been removed|access denied|permission denied|don't have permission|do not have permission|forbidden|unauthorized|unauthorised|not authorized|not authorised|bad request|bad gateway|gateway|server error|
         an error|unexpected error|unknown error|fatal error|error occurred|error has occurred|error code|http error|error|went wrong|oops|whoops|try again|retry|refresh the page|session|expired|log in|sign in|timed out|timeout|
         too many requests|rate limit|scheduled maintenance|down for maintenance|maintenance|temporarily|not be loaded|could not load|failed to load|unable to load|could not be opened|cannot be displayed|could not be delivered|
         could not be retrieved|unable to complete|unable to connect|unable to handle|unable to access|can't connect|cannot connect|database connection|access to this|denied|blocked|interrupted|network change|exhausted|can't be reached|cannot be reached|took too long|isn't working|did not answer|did not respond|not responding|connection refused|connection reset|connection was reset|connection to|
         invalid|missing|uncaught|exception|traceback|most recent call last|stack trace|null pointer|segmentation fault|core dumped|no such file|not implemented|method not allowed|service is down|overloaded|contact the administrator|
-        contact support|quota exceeded|upstream|proxy error|host error|dns|file not|in fetch|stack overflow|out of memory|syntax error|warning"""),
+        contact support|quota exceeded|upstream|proxy error|host error|dns|runtime error|unexpected token|unexpected end of|undefined index|undefined variable|heap space|out of range|no module named|cannot get|logon denied|security service|online attacks|come back later|file not|in fetch|stack overflow|out of memory|syntax error|warning"""),
     "it": _listed("""non trovata|non trovato|non è stata trovata|non è stato trovato|impossibile trovare|non esiste|non disponibile|non è disponibile|non più disponibile|non è più disponibile|accesso negato|accesso non autorizzato|non autorizzato|
-        non autorizzata|non si dispone|vietato|richiesta non valida|errore|si è verificato|qualcosa è andato storto|andato storto|riprova|riprovare|sessione|scaduta|scaduto|effettuare l'accesso|effettua l'accesso|nuovamente l'accesso|login|permessi|autorizzazioni|tempo scaduto|
-        troppe richieste|manutenzione|temporaneamente|impossibile caricare|impossibile visualizzare|impossibile completare|impossibile aprire|connessione rifiutata|connessione interrotta|eccezione|ci scusiamo per il disagio"""),
+        non autorizzata|non si dispone|vietato|richiesta non valida|errore|si è verificato|qualcosa è andato storto|non ha funzionato|andato storto|riprova|riprovare|sessione|scaduta|scaduto|effettuare l'accesso|effettua l'accesso|nuovamente l'accesso|login|permessi|autorizzazioni|tempo scaduto|
+        troppe richieste|manutenzione|temporaneamente|impossibile caricare|impossibile visualizzare|impossibile completare|impossibile aprire|spostata o eliminata|spostato o eliminato|rimossa o eliminata|qualche minuto|connessione rifiutata|connessione interrotta|eccezione|ci scusiamo per il disagio"""),
     "de": _listed("""nicht gefunden|nicht auffinden|konnte nicht|konnten nicht|kann nicht angezeigt|existiert nicht|nicht mehr verfügbar|nicht verfügbar|nicht erreichbar|zugriff verweigert|zugriff nicht|keine berechtigung|verboten|ungültige anfrage|
         ungültig|fehler|fehlermeldung|ist aufgetreten|schiefgelaufen|schief gelaufen|versuchen sie es|erneut versuchen|sitzung|abgelaufen|melden sie sich|anmelden|zeitüberschreitung|zu viele anfragen|wartungsarbeiten|
         wartung|vorübergehend|laden fehlgeschlagen|fehlgeschlagen|verbindung|ausnahme|hoppla|interner serverfehler|serverfehler"""),
-    "fr": _listed("""introuvable|non trouvée|non trouvé|pas été trouvée|pas été trouvé|n'existe pas|n'existe plus|n'est pas disponible|n'est plus disponible|indisponible|accès refusé|accès interdit|accès non autorisé|pas l'autorisation|non autorisé|
+    "fr": _listed("""introuvable|connexion impossible|retiré ou déplacé|a été retiré|a été retirée|non trouvée|non trouvé|pas été trouvée|pas été trouvé|n'existe pas|n'existe plus|n'est pas disponible|n'est plus disponible|indisponible|accès refusé|accès interdit|accès non autorisé|pas l'autorisation|non autorisé|
         interdit|requête invalide|requête incorrecte|erreur|les droits|droits nécessaires|vous identifier|reconnecter|s'est produite|est survenue|mal passé|mal tourné|réessayer|réessayez|nouveau plus tard|session|expiré|expirée|reconnecter|vous connecter|délai|dépassé|trop de requêtes|
         maintenance|temporairement|impossible d'afficher|impossible de charger|impossible de trouver|n'a pas pu|connexion refusée|connexion interrompue|déplacé ou supprimé|a été déplacé|a été supprimé|oups|veuillez patienter"""),
     "more": _listed("""lo sentimos|no encontrada|no encontrado|no se encuentra|no se ha encontrado|no se pudo|no existe|no disponible|acceso denegado|prohibido|se ha producido|ha ocurrido|ocurrió un error|algo salió mal|inténtelo|inténtalo|intente de nuevo|
@@ -34,23 +34,49 @@ ERRORS = {
         tente novamente|sessão|expirou|manutenção|erro|niet gevonden|bestaat niet|niet beschikbaar|toegang geweigerd|er is een fout|fout opgetreden|er ging iets mis|probeer het|opnieuw|sessie|verlopen|onderhoud|tijdelijk"""),
 }
 
+# What could not be done, as (forms of denial, what is denied) of each language; every form goes with every verb.
+FAILURES = {
+    "en": (
+        _listed("can't|cannot|can not|could not|couldn't|unable to|failed to|fails to|trouble|problem|problems|we can't|we couldn't"),
+        _listed("open|load|find|reach|connect|process|display|access|complete|handle|show|retrieve|finding|loading|opening|connecting|displaying|be found|be opened|be loaded|be displayed|be reached|be processed|be retrieved"),
+    ),
+    "en states": (_listed("not|isn't|is not|aren't|wasn't|no longer|currently not|stopped|temporarily"), _listed("available|accessible|reachable|responding|loaded|displayed|suspended|offline")),
+    "it": (
+        _listed("non|impossibile|non è|non è più|non è possibile|non è stato possibile|non può essere|momentaneamente|temporaneamente"),
+        _listed("disponibile|accessibile|raggiungibile|trovata|trovato|aprire|caricare|visualizzare|mostrare|trovare|completare|elaborare|connettersi|visualizzata|caricata|sospeso|sospesa"),
+    ),
+    "de": (
+        _listed("nicht|nicht mehr|konnte nicht|konnten nicht|kann nicht|derzeit nicht|momentan nicht|leider nicht"),
+        _listed("gefunden|geladen|angezeigt|dargestellt|geöffnet|aufgerufen|abgerufen|verfügbar|erreichbar|verbunden|verarbeitet|zugänglich"),
+    ),
+    "fr": (
+        _listed("pas|plus|n'est plus|n'est pas|impossible de|impossible d'|n'a pas pu|n'a pu|momentanément"),
+        _listed("accessible|disponible|afficher|charger|ouvrir|trouver|joindre|traiter|se connecter|être affichée|être chargée|être trouvée|être trouvé|indisponible"),
+    ),
+    "es": (_listed("no|no está|no se puede|no se pudo|no ha podido|não|não está|não foi possível"), _listed("disponible|accesible|cargar|abrir|mostrar|encontrar|conectar|procesar|disponível|acessível|carregar|encontrada")),
+}
+# Of what such a failure is told; without one of them in the sentence it may be anybody's.
+FAILING_THINGS = _listed("""page|pages|site|website|server|browser|app|application|url|link|resource|content|request|internet|document|file|service|safari|chrome|firefox|
+    pagina|sito|risorsa|contenuto|documento|servizio|richiesta|connessione|applicazione|seite|webseite|website|inhalt|dokument|datei|dienst|anfrage|verbindung|anwendung|javascript|contenu|document|fichier|ressource|serveur|requête|connexion|navigateur|
+    página|sitio|recurso|contenido|servidor|servicio|solicitud|conteúdo|serviço""")
+
 # Demands for scripts, cookies or proof that one is human.
 SCRIPTS = {
     "en": _listed("""javascript|java script|scripts|scripting|enable cookies|cookies|your browser|this browser|unsupported browser|outdated browser|not a robot|you are a robot|captcha|are human|you're human|security check|connection is secure|attention required|cloudflare|ddos protection|
         loading|please wait|just a moment|one moment|redirected|redirecting|being checked|checking your|ad blocker|adblocker|turn them on|enable it|will not work without|reload|requires flash|plugin"""),
     "it": _listed("gli script|script|abilita i cookie|abilitare i cookie|i cookie|il tuo browser|il browser|il suo browser|un robot|sei umano|essere umano|verifica di sicurezza|caricamento|attendere prego|attendi|ricaricare|ricarica|reindirizzato"),
-    "de": _listed("skripte|skripts|cookies aktivieren|ihr browser|dein browser|der browser|kein roboter|ein mensch|sicherheitsprüfung|wird geladen|lädt|laden sie|bitte warten|einen moment|neu laden|weitergeleitet|erforderlich"),
+    "de": _listed("skripte|skripts|ohne javascript|cookies aktivieren|ihr browser|dein browser|der browser|kein roboter|ein mensch|sicherheitsprüfung|wird geladen|lädt|laden sie|bitte warten|einen moment|neu laden|weitergeleitet|erforderlich"),
     "fr": _listed("les scripts|scripts|activer les cookies|les cookies|votre navigateur|ton navigateur|le navigateur|un robot|n'êtes pas un robot|vérification que|êtes humain|vérification de sécurité|chargement|veuillez patienter|un instant|recharger|rechargez|redirigé"),
     "more": _listed("su navegador|tu navegador|habilite|habilitar|active javascript|un robot|cargando|espere|seu navegador|habilite|ative|carregando|aguarde|uw browser|je browser|schakel|inschakelen|bezig met laden|even geduld"),
 }
 
 # Filler and notices that a text is still to come.
 FILLERS = {
-    "en": _listed("""lorem ipsum|lipsum|placeholder|place holder|dummy text|dummy copy|sample text|example text|filler text|filler|blind text|goes here|text here|content here|to follow|to be completed|to be added|to be inserted|to be supplied|
-        to be provided|to be determined|to be announced|to be confirmed|tbc|tbd|tba|todo|to do|fixme|coming soon|under construction|content pending|pending|your text|add text|replace this|quick brown fox|lazy dog|click to edit|
+    "en": _listed("""lorem ipsum|lipsum|placeholder|place holder|dummy text|dummy copy|sample text|example text|filler text|filler|blind text|goes here|text here|content here|add a description|add a title|to follow|to be completed|to be added|to be inserted|to be supplied|
+        to be provided|to be determined|to be announced|to be confirmed|tbc|tbd|tba|todo|to do|fixme|coming soon|under construction|content pending|pending|your text|add text|replace this|will be replaced|only a sample|enter the body|enter the text|quick brown fox|lazy dog|click to edit|
         edit this|no content|empty page|intentionally left blank|work in progress|draft text|test post|hello world|the layout|layout|write this|edit or remove|edit this text"""),
     "it": _listed("testo segnaposto|segnaposto|testo fittizio|testo finto|testo di prova|testo di esempio|testo d'esempio|riempitivo|da completare|da inserire|da compilare|da definire|in costruzione|in allestimento|inserire qui|inserire testo|testo qui|"
-        "contenuto in arrivo|prossimamente|sostituire con|qui va il testo|seguirà"),
+        "contenuto in arrivo|prossimamente|verrà pubblicato|sarà pubblicato|sostituire con|qui va il testo|seguirà"),
     "de": _listed("blindtext|typoblindtext|platzhalter|platzhaltertext|mustertext|beispieltext|fülltext|dummytext|text folgt|folgt in kürze|inhalt folgt|alle buchstaben|später ersetzt|hier steht|hier text|text einfügen|text eingeben|noch auszufüllen|wird ergänzt|wird nachgereicht|"
         "im aufbau|in vorbereitung|in bearbeitung|kommt bald|ohne inhalt|nicht wirklich gelesen|taxi quer durch bayern|boxer jagen"),
     "fr": _listed("texte factice|faux texte|texte fictif|texte de remplissage|texte d'exemple|texte provisoire|texte à venir|contenu à venir|à remplacer|à compléter|à remplir|à définir|à insérer|insérer le texte|insérez|votre texte|texte ici|mise en page|"
@@ -64,7 +90,7 @@ CARRIERS = {
         please|you need to|you must|need to|must|needs|requires|required|enable|enabled|disable|disabled|turn on|switch on|switched off|turned off|activate|allow|allowed|support|supported|does not support|view|run|use|read|open|opening|display|
         work|properly|correctly|continue|to continue|proceed|reload the page|go back|back to|return to|home|homepage|home page|search|help|contact|administrator|webmaster|later|again|in a few|minutes|seconds|moments|wait|click|button|below|
         looking for|you asked for|you requested|you are|you have|your|for this|this is|on this|of this|in your|settings|account|password|user|the following|occurred|processing|process|while|verify|confirm|complete|proof|security|
-        sorry|looks like|section|inline|purposes|own|try|site's|reference number|change|detected|apologise|apologize|inconvenience|we|our|we're|it may have been|has occurred|have been|nothing happens|if nothing|before|replace|with the|show|shows|first|second|body|here|kind|report|detail|id"""),
+        sorry|internal|nginx|apache|tomcat|json|at position|thread|main|java|index|notice|looks like|section|inline|purposes|own|try|site's|reference number|change|detected|apologise|apologize|inconvenience|we|our|we're|it may have been|has occurred|have been|nothing happens|if nothing|before|replace|with the|show|shows|first|second|body|here|kind|report|detail|id"""),
     "it": _listed("""pagina|pagine|sito|applicazione|documento|risorsa|indirizzo|contenuto|testo|paragrafo|sentenza|decisione|portale|server|servizio|sistema|rete|browser|richiesta|richiesto|richiesti|richiede|per favore|si prega di|è necessario|
         bisogna|deve|devi|occorre|attivare|attiva|attivato|abilitare|abilita|abilitato|disabilitato|disattivato|consentire|supporta|non supporta|visualizzare|utilizzare|usare|leggere|aprire|continuare|per continuare|proseguire|torna|tornare|
         ricerca|contatta|contattare|amministratore|più tardi|tardi|di nuovo|minuti|secondi|qualche|stai cercando|che stai|cercata|cercato|spiacenti|ci dispiace|imprevisto|impostazioni|utente|verifica|conferma|confermare|questa|questo|sistema|programmata|al momento|nel tuo|da questo|del server|interno|qui|prova"""),

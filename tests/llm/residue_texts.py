@@ -244,3 +244,112 @@ Súd žalobu zamietol a žalovanému priznal náhradu trov konania.
 Apple, pear, plum and quince were the four trees that stood in the orchard when the lease began.
 Ship, cargo and freight were arrested at the port of discharge.
 """.strip().split("\n")
+
+RESIDUE_LATER = """
+Application error: a client-side exception has occurred (see the browser console for more information).
+The resource you are looking for has been removed, had its name changed, or is temporarily unavailable.
+Hmm. We're having trouble finding that site.
+Unable to connect to the server. Check your internet connection and refresh.
+We couldn't process your request right now. Please come back later.
+Safari can't open the page because the server stopped responding.
+404. That's an error. The requested URL was not found on this server. That's all we know.
+Sorry, this document isn't available at the moment.
+This feature requires a browser with JavaScript support.
+Cookies must be enabled in order to view this document.
+Your request has been blocked by the web application firewall.
+Error 1020 Access denied. This website is using a security service to protect itself from online attacks.
+ORA-01017: invalid username/password; logon denied
+panic: runtime error: index out of range [3] with length 3
+ModuleNotFoundError: No module named 'requests'
+Cannot GET /decisions/123
+Gateway timeout. The gateway did not receive a timely response from the upstream server.
+Placeholder for the decision text.
+Enter the body of the judgment here.
+This text is only a sample and will be replaced.
+Duis autem vel eum iriure dolor in hendrerit in vulputate velit esse molestie consequat.
+Donec ullamcorper nulla non metus auctor fringilla. Maecenas faucibus mollis interdum.
+yada yada yada blah blah blah
+La risorsa richiesta è stata spostata o eliminata.
+Per continuare attiva JavaScript e ricarica la pagina.
+Servizio momentaneamente sospeso, riprova tra qualche minuto.
+Il documento verrà pubblicato a breve.
+Der Inhalt konnte nicht geladen werden.
+Ups, da ist etwas schiefgelaufen. Bitte laden Sie die Seite neu.
+Ohne JavaScript kann diese Seite nicht dargestellt werden.
+Text wird nachgereicht.
+Ce contenu n'est plus accessible.
+Une erreur interne s'est produite, merci de réessayer ultérieurement.
+JavaScript semble être désactivé dans votre navigateur.
+Texte à compléter ultérieurement.
+El servidor no está disponible. Intente de nuevo en unos minutos.
+Oh no! We couldn't find what you were looking for.
+The document could not be displayed because it is corrupted.
+Login required. You must be signed in to see this content.
+The server is busy. Please retry in a few moments.
+Whoops! That page doesn't seem to exist anymore.
+Your IP address has been temporarily blocked due to unusual activity.
+It appears that cookies are disabled in your browser.
+Sorry, we no longer support your browser.
+Please stand by while we are checking your browser...
+Internal error. Please contact the system administrator and quote reference 8812.
+500 Internal Server Error nginx
+SyntaxError: Unexpected token < in JSON at position 0
+Exception in thread "main" java.lang.OutOfMemoryError: Java heap space
+Notice: Undefined index: title in /var/www/html/index.php on line 12
+The connection has timed out. The site could be temporarily unavailable or too busy.
+We are performing scheduled maintenance. We should be back online shortly.
+Text goes here
+[placeholder]
+Add a description of the case here.
+Lorem ipsum
+Quisque velit nisi, pretium ut lacinia in, elementum id enim.
+Consectetur adipiscing elit pellentesque habitant morbi tristique senectus.
+test test 123 test
+Pagina in allestimento.
+Ops! Qualcosa non ha funzionato.
+Impossibile connettersi al server. Verificare la connessione e riprovare.
+Questo browser non è supportato: abilita JavaScript.
+Zugriff nicht erlaubt. Bitte melden Sie sich an.
+Diese Funktion ist zurzeit nicht verfügbar. Bitte probieren Sie es später wieder.
+Bitte JavaScript einschalten und die Seite aktualisieren.
+Oups, cette page n'existe pas.
+Connexion impossible. Vérifiez votre accès à Internet et réessayez.
+Le document demandé a été retiré ou déplacé.
+Veuillez autoriser les cookies pour poursuivre votre navigation.
+Ha ocurrido un problema al cargar la página.
+O documento não está disponível.
+De server reageert niet. Probeer het later nog eens.
+""".strip().split("\n")
+
+ORDINARY_LATER = """
+The application was dismissed because the applicant had no standing to bring it.
+The reader of the notice would have understood that access to the yard was to be denied to all vehicles.
+An error of law is not shown, and the verdict stands.
+The page was missing from the bundle; counsel agreed that nothing turned on it.
+La richiesta di accesso agli atti è stata negata dal comune con nota del 3 maggio.
+Il server della società era stato sequestrato e i dati non sono più disponibili per la perizia.
+Die Verbindung der Verfahren war geboten, weil beide denselben Sachverhalt betreffen.
+Der Dienst wurde vorübergehend eingestellt, was der Kläger zu vertreten hat.
+L'erreur alléguée n'est pas établie et le jugement est confirmé.
+Le serveur de l'entreprise a été saisi au cours de l'enquête.
+Appeal allowed in part. Costs in the cause.
+The contract provided for a placeholder to be inserted where the price was not yet known, and the parties later agreed upon it orally.
+Ricorso inammissibile. Spese compensate integralmente.
+Revision zurückgewiesen. Kosten tragen beide.
+Rejet du pourvoi. Dépens à charge.
+The tribunal accepted that the notice was served on the right day.
+Mr Hale did not give evidence.
+The goods were lost at sea.
+The judgment is set aside and the matter is remitted.
+Interest runs from the date of the breach.
+Il termine per impugnare era decorso.
+La prova testimoniale non è stata ammessa.
+Der Kläger hat keinen Anspruch auf Ersatz.
+Die Frist ist versäumt.
+La cour confirme le jugement entrepris.
+Le bail est résilié de plein droit.
+The bridge was not accessible during the flood, and the carrier chose the longer road.
+The file had been closed and was never reopened by the trustee.
+The network of paths was not available to riders under the deed of gift.
+The connection between the two accidents was not established by the expert evidence.
+""".strip().split("\n")

@@ -3,7 +3,10 @@
 import pytest
 
 from brezza.llm.residue import reason_of
-from tests.llm.residue_texts import ORDINARY, RESIDUE, SLOTS
+from tests.llm.residue_texts import ORDINARY, ORDINARY_LATER, RESIDUE, RESIDUE_LATER, SLOTS
+
+# The vocabulary was extended after each set had been measured, at first sight with a recall of 0.80, 0.58 and 0.76 and a precision of 1.00, 1.00 and 0.97.
+RESIDUE, ORDINARY = RESIDUE + RESIDUE_LATER, ORDINARY + ORDINARY_LATER
 
 HEADING = "TRIBUNAL OF NORTHMOOR\nCase No. 17/2021\nHolt v Marsh & Sons Ltd.\n4 March 2022\n\nSummary: The notice was served out of time and the extension was rightly refused.\n\n"
 
