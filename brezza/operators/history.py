@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 _BEFORE_ALL = "0001-01-01"
 
 
-def attribute_hash(df: DataFrame, attributes: Sequence[str], decimals: int = 6) -> Column:
-    """Hash of attributes in which letter case, white space and digits beyond ``decimals`` make no difference.
+def attribute_hash(df: DataFrame, attributes: Sequence[str], decimals: int | None = 6, fold: bool = True) -> Column:
+    """Hash of attributes in which digits beyond ``decimals`` (None: all count) and, with ``fold``, letter case and white space make no difference.
 
     Null is a value of its own, different from the empty text.  NaN equals NaN, -0.0 equals 0.0.
     """
@@ -30,10 +30,10 @@ def attribute_hash(df: DataFrame, attributes: Sequence[str], decimals: int = 6)
     for name in attributes:
         kind, column = df.schema[name].dataType, F.col(name)
         if isinstance(kind, T.StringType):
-            text = F.regexp_replace(F.lower(F.upper(column)), r"[\s\p{Z}\x{200B}\x{FEFF}]+", "")
+            text = F.regexp_replace(F.lower(F.upper(column)), r"[\s\p{Z}\x{200B}\x{FEFF}]+", "") if fold else column
         elif isinstance(kind, T.DoubleType | T.FloatType | T.DecimalType):
             number = column.cast("double")
-            rounded = F.round(number, decimals)
+            rounded = number if decimals is None else F.round(number, decimals)
             text = F.when(F.isnan(number), F.lit("NaN")).otherwise((rounded + F.lit(0.0)).cast("string"))
         else:
             text = column.cast("string")
@@ -50,18 +50,20 @@ def snapshot_versions(
     earlier: DataFrame | None = None,
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
+    decimals: int | None = 6,
+    fold: bool = True,
 ) -> DataFrame:
     """``keys, attributes, valid_from, valid_to`` (null while open): one row per version, continuing an earlier history.
 
     ``earlier`` holds versions from before all snapshots with the same keys and attributes and the columns ``valid_from`` and
     ``valid_to``: closed ones stay, open ones go on while the first snapshot shows them unchanged, and end there otherwise.
     A version ends on the day of the first snapshot that differs or lacks the key; a key that returns opens a new version.
-    Rows with a null key or day are left out.  Equal ``loaded`` times are settled by the attribute hash, null times count as
+    What counts as a difference is told by ``decimals`` and ``fold`` (see ``attribute_hash``).  Rows with a null key or day are left out.  Equal ``loaded`` times are settled by the attribute hash, null times count as
     earliest.  Without any snapshot the earlier history is the result.
     """
     own = [*keys, "_day"]
     rows = snapshots.dropna(subset=[*keys, day]).select(
-        *keys, F.col(day).alias("_day"), F.col(loaded).alias("_loaded"), attribute_hash(snapshots, attributes).alias("_hash"), F.struct(*attributes).alias("_attributes")
+        *keys, F.col(day).alias("_day"), F.col(loaded).alias("_loaded"), attribute_hash(snapshots, attributes, decimals, fold).alias("_hash"), F.struct(*attributes).alias("_attributes")
     )
     # The order of structs puts nulls first, as wanted.  Hash and attributes are taken apart, so that a query without attributes never
     # moves them; the spelling decides between rows that are equal otherwise.
@@ -77,7 +79,7 @@ def snapshot_versions(
     )
     if earlier is not None:
         before = earlier.dropna(subset=list(keys)).select(
-            *keys, attribute_hash(earlier, attributes).alias("_hash"), F.struct(*attributes).alias("_attributes"), F.col(valid_from).alias("_since"), F.col(valid_to).alias("_until")
+            *keys, attribute_hash(earlier, attributes, decimals, fold).alias("_hash"), F.struct(*attributes).alias("_attributes"), F.col(valid_from).alias("_since"), F.col(valid_to).alias("_until")
         )
         closed = before.where(F.col("_until").isNotNull()).select(*keys, "_attributes.*", F.col("_since").alias(valid_from), F.col("_until").alias(valid_to))
         # An open version stands as if on a snapshot before the first one.

@@ -226,28 +226,40 @@ def normalise_timestamps(texts: DataFrame, text: str, feed: str, feeds: DataFram
     read = texts.select(F.struct(*kept).alias("_kept"), F.col(feed).alias("_feed"), _fields(plain).alias("_f"), zone.alias("_named"))
     read = read.join(rules, F.col("_feed") == F.col("feed_id"), "left").select("_kept", "_f", F.coalesce("_named", F.col("_rule.clock")).alias("_clock"), F.lower("_rule.date_order").alias("_order"))
 
+    # The fields become columns first, so that none of them is worked out more than once.
+    micros = F.expr("cast(rpad(substring(concat(coalesce(get(_f, 7), ''), '000000'), 1, 6), 6, '0') as int)")
+    texts_at, numbers_at = (0, 1, 2, 8, 9, 12), (1, 2, 3, 4, 5, 6, 10, 11)
+    fields = [F.get("_f", F.lit(k)).alias(f"_t{k}") for k in texts_at] + [F.expr(f"try_cast(nullif(get(_f, {k}), '') as int) as _n{k}") for k in numbers_at]
+    epoch = F.expr("case when get(_f, 0) = 'epoch' then try_cast(concat(get(_f, 1), rpad(coalesce(get(_f, 2), ''), 6, '0')) as bigint) end")
+    read = read.select("_kept", "_clock", "_order", *fields, micros.alias("_micros"), epoch.alias("_epoch"))
+
     def part(k: int) -> Column:
-        return F.get("_f", F.lit(k))
+        return F.col(f"_t{k}")
 
     def number(k: int) -> Column:
-        return F.expr(f"try_cast(nullif(get(_f, {k}), '') as int)")
-
-    kind, two = F.coalesce(part(0), F.lit("")), F.length(part(1)) == 2
+        return F.col(f"_n{k}")
+
+    month_by_name = F.when(number(2).isNull() & (part(2) != ""), _month_by_name(F.lower(part(2))))
+    two = F.length(part(1)) == 2
+    zone_letters = F.when(part(12) != "", F.try_element_at(_lookup(ZONE_LETTERS), F.upper(part(12))))
+    read = read.select(
+        "*",
+        F.coalesce("_t0", F.lit("")).alias("_kind"),
+        F.coalesce(number(2), month_by_name).alias("_named"),
+        F.when(two, F.lit(2000) + number(1)).otherwise(number(1)).alias("_y"),
+        zone_letters.alias("_letters"),
+    )
+    kind, named, year, micros = (F.col(c) for c in ("_kind", "_named", "_y", "_micros"))
     swapped = (kind == "xxy") & (F.col("_order") == "mdy")
     ordered = kind.isin("ymd", "ordinal", "week") | ((kind == "xxy") & F.col("_order").isin("dmy", "mdy"))
-    named = F.coalesce(number(2), _month_by_name(F.lower(part(2))))
-    year = F.when(two, F.lit(2000) + number(1)).otherwise(number(1))
     month, day = F.when(swapped, number(3)).otherwise(named), F.when(swapped, named).otherwise(number(3))
     half, raw_hour = F.upper(part(8)), number(4)
     whole_day = half.isNull() | (half == "")
     hour = F.when(whole_day, raw_hour).when(raw_hour.between(1, 12), F.pmod(raw_hour, F.lit(12)) + F.when(half == "P", 12).otherwise(0)).otherwise(F.lit(None))
     minute, second = F.coalesce(number(5), F.lit(0)), F.coalesce(number(6), F.lit(0))
-    micros = F.expr("cast(rpad(substring(concat(coalesce(get(_f, 7), ''), '000000'), 1, 6), 6, '0') as int)")
-    sign, letters = part(9), F.upper(part(12))
+    sign, letters = part(9), part(12)
     zone_hours, zone_minutes = number(10), F.coalesce(number(11), F.lit(0))
-    stated = F.when((sign != "") & (zone_hours <= 18) & (zone_minutes < 60), (zone_hours * 60 + zone_minutes) * F.when(sign == "-", -1).otherwise(1)).otherwise(
-        F.try_element_at(_lookup(ZONE_LETTERS), letters)
-    )
+    stated = F.when((sign != "") & (zone_hours <= 18) & (zone_minutes < 60), (zone_hours * 60 + zone_minutes) * F.when(sign == "-", -1).otherwise(1)).otherwise(F.col("_letters"))
     known_year = year.between(1, 9999)
     first_of_year = F.when(known_year, F.make_date(year, F.lit(1), F.lit(1)))
     first_of_month = F.when(month.between(1, 12) & known_year, F.make_date(year, month, F.lit(1)))
@@ -275,9 +287,8 @@ def normalise_timestamps(texts: DataFrame, text: str, feed: str, feeds: DataFram
     # one method of it that is too long for the JVM to compile (measured: three times slower).
     of_day = F.aggregate(F.array(hour, minute, second), F.lit(0), lambda total, part: total * 60 + part)
     local = (F.datediff(begins, F.lit("1970-01-01").cast("date")).cast("bigint") * 86400 + of_day) * MICROS + micros
-    epoch = F.expr("try_cast(concat(get(_f, 1), rpad(coalesce(get(_f, 2), ''), 6, '0')) as bigint)")
     zoned = ((F.coalesce(sign, F.lit("")) != "") | (F.coalesce(letters, F.lit("")) != "")).alias("_zoned")
-    timed = read.select("_kept", "_clock", F.when(kind == "epoch", epoch).alias("_epoch"), F.when((kind != "epoch") & in_calendar, local).alias("_local"), zoned, stated.alias("_stated"))
+    timed = read.select("_kept", "_clock", "_epoch", F.when((kind != "epoch") & in_calendar, local).alias("_local"), zoned, stated.alias("_stated"))
     at = F.timestamp_micros("_local")
     timed = timed.withColumn("_year", F.when(~F.col("_zoned"), F.year(at)))
     standing, moved = _standing_for(F.col("_year"), F.make_date(F.col("_year"), F.lit(1), F.lit(1)))

@@ -74,3 +74,13 @@ def test_merging_snapshots_one_by_one_gives_the_same(spark):
         history = merge_snapshot(history, snapshot(names), d)
     assert set(STATION_ATTRIBUTES) <= set(history.columns)
     assert rows(history, "station_id", "valid_from", "valid_to") == sorted([(1, D[0], D[2]), (1, D[2], None), (2, D[0], D[1]), (2, D[2], None)], key=lambda r: tuple((x is not None, str(x)) for x in r))
+
+
+def test_what_counts_as_a_difference_is_a_parameter(spark):
+    data = [(1, date(2024, 1, 1), None, "Via Roma", 1.0), (1, date(2024, 2, 1), None, "via  roma", 1.0000001)]
+    df = spark.createDataFrame(data, "k int, day date, loaded timestamp, name string, x double")
+
+    def number(**options):
+        return snapshot_versions(df, ["k"], ["name", "x"], "day", "loaded", **options).count()
+
+    assert (number(), number(fold=False), number(decimals=None), number(decimals=8), number(decimals=3)) == (1, 2, 2, 2, 1)
