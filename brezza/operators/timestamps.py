@@ -4,7 +4,7 @@ A text is rewritten by the pattern that fits it into one canonical row of fields
 zone in the text or else by the clock of its feed.  For a clock, the time line is cut into intervals of constant offset (in seconds), exploded by local
 year; the local time is joined as of these intervals: one match gives the offset, two mean an ambiguous time, none a nonexistent one.
 
-The intervals come from the transitions that the zone data list, and by days after the last of these.  They are worked out for FIRST_YEAR to LAST_YEAR.
+The intervals come from the transitions that the zone data list, and from the zone's rule after the last of these.  They are worked out for FIRST_YEAR to LAST_YEAR.
 Before, a clock has the offset that it begins with; later, its rules recur, so that a year stands for all of the same length that begin on the same
 weekday.  So every year has intervals.
 
@@ -83,8 +83,8 @@ def _is_zone(name: str) -> bool:
     return True
 
 
-def _listed_transitions(name: str) -> list[int]:
-    """Seconds since 1970 UTC of the changes that the data of a zone list; none for one without a file."""
+def _listed_transitions(name: str) -> tuple[list[int], bool]:
+    """Seconds since 1970 UTC of the changes that the data of a zone list, and whether a rule with further changes may follow them."""
     for folder in TZPATH:
         path = os.path.join(folder, *name.split("/"))
         if os.path.isfile(path):
@@ -96,17 +96,19 @@ def _listed_transitions(name: str) -> list[int]:
             *parts, last = name.split("/")
             data = resources.files(".".join(["tzdata", "zoneinfo", *parts])).joinpath(last).read_bytes()
         except (ModuleNotFoundError, FileNotFoundError, OSError):
-            return []
+            return [], True
     header = struct.Struct(">4sc15x6l")
     at, length = 0, 4
     magic, version, utc, std, leap, times, types, letters = header.unpack_from(data)
     if magic != b"TZif":
-        return []
+        return [], True
     if version >= b"2":
         # The second part of the file has the times in eight bytes.
         at, length = header.size + times * 5 + types * 6 + letters + leap * 8 + std + utc, 8
         times = header.unpack_from(data, at)[5]
-    return list(struct.unpack_from(f">{times}{'q' if length == 8 else 'l'}", data, at + header.size))
+    listed = list(struct.unpack_from(f">{times}{'q' if length == 8 else 'l'}", data, at + header.size))
+    # The rule is the last line; one with summer time names its days after a comma.
+    return listed, length == 4 or b"," in data.rstrip(b"\n").rsplit(b"\n", 1)[-1]
 
 
 @lru_cache(maxsize=1024)
@@ -132,11 +134,12 @@ def clock_offsets(clock: str) -> tuple[tuple[int, int, int], ...]:
         return int(((origin + timedelta(seconds=t)).astimezone(zone).utcoffset() or timedelta(0)).total_seconds())
 
     first, last = seconds(start), seconds(end)
-    changes = [t for t in _listed_transitions(clock) if first < t < last]
-    # After the listed ones a rule holds, whose changes are looked for by days.
-    here = max(changes, default=first)
+    listed, ruled = _listed_transitions(clock)
+    changes = [t for t in listed if first < t < last]
+    # After the listed ones a rule holds with two changes a year at most, months apart, which are looked for by weeks.
+    here = max(changes, default=first) if ruled else last
     while here < last:
-        after = min(here + 86_400, last)
+        after = min(here + 7 * 86_400, last)
         if offset_at(here) != offset_at(after):
             low, high = here, after
             while high - low > 1:
