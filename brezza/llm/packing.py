@@ -129,14 +129,14 @@ def crossover(sizes: Sequence[int], giver: Solution, taker: Solution, capacity:
     return _settle(sizes, [*injected, *kept], displaced, capacity)
 
 
-def first_solutions(sizes: Sequence[int], capacity: int, island: int, number: int, chance: random.Random) -> list[Solution]:
+def first_solutions(sizes: Sequence[int], capacity: int, island: int, number: int, chance: random.Random) -> Iterator[Solution]:
     """The population that an island begins with: the first of decreasing orders, the others of orders ever more shaken, the last of any order."""
     decreasing = sorted(range(len(sizes)), key=lambda i: -sizes[i])
     shake = min(1.0, island / max(1, ISLANDS - 1))
-    people = [best_fit(sizes, decreasing, capacity)] if island == 0 else []
-    while len(people) < number:
-        people.append(best_fit(sizes, sorted(decreasing, key=lambda i: -sizes[i] * (1 - shake) * chance.uniform(0.8, 1.2) - shake * capacity * chance.random()), capacity))
-    return people
+    if island == 0:
+        yield best_fit(sizes, decreasing, capacity)
+    for _ in range(number - (island == 0)):
+        yield best_fit(sizes, sorted(decreasing, key=lambda i: -sizes[i] * (1 - shake) * chance.uniform(0.8, 1.2) - shake * capacity * chance.random()), capacity)
 
 
 def evolve(
@@ -144,15 +144,17 @@ def evolve(
 ) -> list[Solution]:
     """The population of an island after so many children, the best solution first.
 
-    It begins with the given solutions, filled up with ``first_solutions``.  A solution with as few containers as the sum of the sizes needs cannot be
+    It begins with the given solutions, filled up with ``first_solutions`` while none is known to be the best.  A solution with as few containers as the sum of the sizes needs cannot be
     bettered and ends the search.
     """
     population, generations = population or POPULATION, GENERATIONS if generations is None else generations
     chance = random.Random(seed)
     fewest = -(-sum(sizes) // capacity)
     ranked = [(fitness(sizes, s, capacity), [list(b) for b in s]) for s in people]
-    if len(ranked) < population:
-        ranked += [(fitness(sizes, s, capacity), s) for s in first_solutions(sizes, capacity, island, population - len(ranked), chance)]
+    for s in first_solutions(sizes, capacity, island, population - len(ranked), chance) if len(ranked) < population else ():
+        if any(len(known) <= fewest for _, known in ranked):
+            break
+        ranked.append((fitness(sizes, s, capacity), s))
     ranked.sort(key=lambda r: r[0], reverse=True)
     for _ in range(generations):
         if -ranked[0][0][0] <= fewest:
