@@ -4,6 +4,8 @@ The days of an entity are cut into shards of ``shard_days`` (a power of two).  E
 two arrays in heap order (node 1 is the root, node ``shard_days + k`` the leaf of the shard's k-th day): sums and counts.
 A trailing period is a range of days, answered from O(log shard_days) nodes in each shard that it touches.
 A late correction of a day changes its leaf and that leaf's ancestors, in its own shard only.
+Sums are held in units of 2**20 millionths: values with up to six decimal places add up without error below 2**53 millionths,
+so that neither files nor partitions nor the tree's order of addition decide how a mean at a rounding boundary comes out.
 
 Scale: readings are summed per entity and day before the first shuffle, so that an entity with a third of all rows
 costs no more than its days; a shard is one row of fixed size; along an entity only its shards are ordered, one for
@@ -23,6 +25,7 @@ from pyspark.sql import types as T
 from brezza.functions.temporal import day_from_number, day_number
 
 SHARD_DAYS = 64
+PARTS = 1e6 / 2**20  # units in one: exact as a double, and below one, so that no sum overflows that would not without it
 
 
 def _trees(leaf_sums: np.ndarray, leaf_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,8 +70,15 @@ def _lists(matrix: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)), pa.array(matrix.ravel(), type=kind))
 
 
+def _in_parts(value: Column) -> Column:
+    """The value in units of 2**20 millionths: whole millionths for a value with up to six decimal places, others as they are."""
+    scaled = value.cast("double") * PARTS
+    whole = F.rint(scaled * 2**20) / 2**20
+    return F.when(whole / PARTS == value, whole).otherwise(scaled)
+
+
 def day_leaves(df: DataFrame, keys: Sequence[str], day: str, value: str, valid: Column) -> DataFrame:
-    """One row per entity and day: ``day_no, leaf_sum, leaf_count``.
+    """One row per entity and day: ``day_no, leaf_sum, leaf_count``; the sum in units of 2**20 millionths.
 
     Rows with a null key or day are left out.  ``valid`` null counts as false.  A valid null value counts but adds nothing.
     """
@@ -78,7 +88,7 @@ def day_leaves(df: DataFrame, keys: Sequence[str], day: str, value: str, valid:
         .dropna(subset=list(keys))
         .groupBy(*keys, day_number(F.col(day)).alias("day_no"))
         .agg(
-            F.sum(F.when(ok, F.coalesce(F.col(value), F.lit(0.0))).otherwise(0.0)).alias("leaf_sum"),
+            F.sum(F.when(ok, F.coalesce(_in_parts(F.col(value)), F.lit(0.0))).otherwise(0.0)).alias("leaf_sum"),
             F.count(F.when(ok, 1)).alias("leaf_count"),
         )
     )
@@ -122,14 +132,14 @@ def build_forest(leaves: DataFrame, keys: Sequence[str], shard_days: int = SHARD
 def correct_forest(forest: DataFrame, corrections: DataFrame, keys: Sequence[str], shard_days: int = SHARD_DAYS) -> DataFrame:
     """The forest after late corrections: rows of ``keys, day_no, sum_change, count_change``.  Store the forest before (a checkpoint or a table).
 
-    Corrections of one day add up.  Only the corrected leaves and their ancestors change, all of a batch at once; shards without a correction
+    Corrections, in the values' own unit, add up by day.  Only the corrected leaves and their ancestors change, all of a batch at once; shards without a correction
     pass through as they are and never leave the JVM; a correction of a shard that does not exist yet makes it.  Days whose count falls to 0 stay
     days of the series.  The bounds follow the corrected days.
     """
     changes = (
         corrections.dropna(subset=[*keys, "day_no"])
         .groupBy(*keys, "day_no")
-        .agg(F.sum("sum_change").alias("sum_change"), F.sum("count_change").alias("count_change"))
+        .agg(F.sum(_in_parts(F.col("sum_change"))).alias("sum_change"), F.sum("count_change").alias("count_change"))
         .groupBy(*keys, F.floor(F.col("day_no") / shard_days).cast("int").alias("shard"))
         .agg(F.collect_list(F.struct(F.col("day_no").cast("bigint").alias("day"), F.col("sum_change").cast("double").alias("s"), F.col("count_change").cast("bigint").alias("c"))).alias("changes"))
     )
@@ -241,8 +251,8 @@ def query_forest(
                         *(b.column(c).take(pa.array(row)) for c in keys),
                         pa.array(day, pa.int32()),
                         pa.array(length, pa.int32()),
-                        pa.array(total, pa.float64(), mask=none),
-                        pa.array(total / np.where(none, 1, number), pa.float64(), mask=none),
+                        pa.array(total / PARTS, pa.float64(), mask=none),
+                        pa.array(total / (PARTS * np.where(none, 1, number)), pa.float64(), mask=none),
                         pa.array(number, pa.int64()),
                     ],
                     [*keys, "day_no", "period_days", "total", "mean", "readings"],

@@ -1,5 +1,6 @@
 import random
 from datetime import date, timedelta
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +84,28 @@ def test_empty_and_clashing_names(spark):
         trailing.query_forest(spark.createDataFrame([], "k string"), ["k"], [0])
     renamed = clash.withColumnRenamed("shard", "k")
     assert trailing.trailing_totals(renamed, ["k"], "day", "v", F.col("ok"), [7]).count() == 1
+
+
+def test_means_at_rounding_boundaries_do_not_depend_on_the_order_of_addition(spark):
+    chance, start, exact, data = random.Random(11), date(2024, 1, 20), {}, []
+    for k in map(str, range(60)):
+        hundredths = [chance.randrange(1, 9000) for _ in range(96)]
+        hundredths[0] += (3 - sum(hundredths)) % 6  # 3, 9, 15 ... hundredths over 96 readings: the seventh place of the mean is a 5, the last
+        exact[k] = Decimal(sum(hundredths)) / 100
+        data += [(k, start + timedelta(days=n % 32), x / 100, True, 1.0) for n, x in enumerate(hundredths)]
+    for rows_ in (data, data[::-1], chance.sample(data, len(data))):
+        totals = trailing.trailing_totals(spark.createDataFrame(rows_, SCHEMA), ["k"], "day", "v", F.col("ok"), [32])
+        last = totals.where(F.col("day") == start + timedelta(days=31)).select("k", "total", "readings", F.round("mean", 6).alias("mean"))
+        found = {r.k: (r.total, r.readings, r.mean) for r in last.collect()}
+        assert found == {k: (float(x), 96, float((x / 96).quantize(Decimal("0.000001"), ROUND_HALF_UP))) for k, x in exact.items()}
+
+
+def test_decimals_and_their_corrections_add_up_without_error_and_large_values_stay(spark):
+    start = date(2024, 3, 1)
+    df = spark.createDataFrame([("a", start, 0.1, True, 1.0), ("b", start, 1.5e308, True, 1.0), ("c", start, 1e-9, True, 1.0), ("d", start, float("inf"), True, 1.0)], SCHEMA)
+    forest = trailing.build_forest(trailing.day_leaves(df, ["k"], "day", "v", F.col("ok")), ["k"])
+    late = spark.createDataFrame([("a", (start - date(1970, 1, 1)).days, 0.2, 1)], "k string, day_no int, sum_change double, count_change bigint")
+    found = {r.k: (r.total, r.mean, r.readings) for r in trailing.query_forest(trailing.correct_forest(forest, late, ["k"]), ["k"], [2]).collect()}
+    assert found.pop("a") == (0.3, 0.15, 2)
+    assert found.pop("d") == (float("inf"), float("inf"), 1)
+    assert found == {"b": (pytest.approx(1.5e308),) * 2 + (1,), "c": (pytest.approx(1e-9, abs=0),) * 2 + (1,)}
